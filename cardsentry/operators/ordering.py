@@ -3,7 +3,7 @@
 * ``running_totals``  prefix sums over a total order: rows are range-partitioned on the order itself, so one group may
   span as many tasks as it needs. Per-chunk totals (one row per chunk and group) carry the sums from chunk to chunk.
 * ``values_at_ranks``  exact order statistics of numeric columns by repeatedly zooming into a bounded histogram. No sort;
-  each pass ships at most ``BUCKETS`` rows per searched interval.
+  each pass ships at most about ``LISTED_ROWS`` rows.
 * ``lookup``  left equi-lookup into a state table: broadcast only after its rows were counted, otherwise a join in which
   the heaviest keys are served from a bounded broadcast and their rows are spread over all tasks.
 """
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from cardsentry.session import materialise
 
 BUCKETS = 1024
+LISTED_ROWS = 60_000
 BROADCAST_ROWS = 200_000
 HEAVY_KEYS = 10_000
 
@@ -62,85 +63,79 @@ def running_totals(
     return frozen.join(carry, keys).select(*df.columns, *totals)
 
 
-def values_at_ranks(df: DataFrame, ranks: dict[str, list[int]]) -> dict[str, dict[int, float]]:
-    """Exact 0-based order statistics of the non-null values of numeric columns: ``{column: {rank: value}}``."""
+def _number(column: str) -> Column:
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+
+
+def _extremes(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float, int]]:
+    """(lowest, highest, number of values) per column, from one aggregate."""
+    stats = {"lo": F.min, "hi": F.max, "n": F.count}
+    row = df.agg(*[f(_number(c)).alias(f"{k}_{i}") for i, c in enumerate(columns) for k, f in stats.items()]).first()
+    return {c: (row[f"lo_{i}"], row[f"hi_{i}"], row[f"n_{i}"]) for i, c in enumerate(columns)}
+
+
+def values_at_ranks(
+    df: DataFrame, ranks: dict[str, list[int]], extremes: dict[str, tuple[float, float, int]] | None = None
+) -> dict[str, dict[int, float]]:
+    """Exact 0-based order statistics of the non-null values of numeric columns: ``{column: {rank: value}}``.
+
+    Each pass over the table looks at the interval of every rank still searched. While the intervals hold many rows they
+    are cut into buckets; once they hold few, their values are listed. Either way a pass returns a bounded table.
+    """
     wanted = {c: sorted(set(r)) for c, r in ranks.items() if r}
-    if not wanted:
-        return {}
-    number = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in wanted}
-    ends = df.agg(
-        *[F.min(x).alias(f"lo_{i}") for i, x in enumerate(number.values())],
-        *[F.max(x).alias(f"hi_{i}") for i, x in enumerate(number.values())],
-    ).first()
-    # open searches: (column, rank) -> (lowest value, highest value, rows below the interval, rows inside or None)
-    open_ = {
-        (c, r): (ends[f"lo_{i}"], ends[f"hi_{i}"], 0, None) for i, c in enumerate(wanted) for r in wanted[c]
-    }
+    extremes = extremes or (_extremes(df, list(wanted)) if wanted else {})
     found: dict[str, dict[int, float]] = {c: {} for c in wanted}
+    # searched ranks: (column, rank) -> (lowest value, highest value, rows inside, rows below)
+    search = {(c, r): (*extremes[c], 0) for c in wanted for r in wanted[c]}
+    for (c, r), (_, _, n, _) in search.items():
+        if not 0 <= r < n:
+            raise ValueError(f"rank {r} is outside column {c}, which has {n} values")
     while True:
-        for key in [k for k, (lo, hi, _, _) in open_.items() if lo == hi]:
-            found[key[0]][key[1]] = open_.pop(key)[0]
-        if not open_:
+        for (c, r), (lo, hi, _, _) in list(search.items()):
+            if lo == hi:
+                found[c][r] = lo
+                del search[c, r]
+        if not search:
             return found
-        spans = sorted({(c, lo, hi, inside) for (c, _), (lo, hi, _, inside) in open_.items()}, key=str)
-        pieces = []
-        for i, (c, lo, hi, inside) in enumerate(spans):
-            x = number[c]
-            step = (hi - lo) / BUCKETS
-            if step == 0 or (inside is not None and inside <= BUCKETS):
-                # few rows are left: list their values
-                bucket = x
-            else:
-                bucket = F.least(F.floor((x - F.lit(lo)) / F.lit(step)), F.lit(BUCKETS - 1)).cast("double")
-            pieces.append(
-                F.when(
-                    x.between(F.lit(lo), F.lit(hi)),
-                    F.struct(F.lit(i).alias("span"), bucket.alias("bucket"), x.alias("x")),
-                )
-            )
-        # one narrow explode; the partial aggregate keeps at most BUCKETS rows per span and task
-        hist = (
-            df.select(F.explode(F.array(*pieces)).alias("p"))
+        spans = sorted({(c, lo, hi, n) for (c, _), (lo, hi, n, _) in search.items()})
+        few = sum(n for _, _, n, _ in spans) <= LISTED_ROWS
+        buckets = max(32, min(BUCKETS, LISTED_ROWS // len(spans)))
+        # the spans of one column are disjoint, so a value falls into one of them at most
+        cell: dict[str, Column] = {}
+        for i, (c, lo, hi, _) in enumerate(spans):
+            x = _number(c)
+            step = (hi - lo) / buckets
+            bucket = x if few or step == 0 else F.least(F.floor((x - lo) / step), F.lit(buckets - 1)).cast("double")
+            inside = x.between(F.lit(lo), F.lit(hi))
+            piece = F.struct(F.lit(i).alias("span"), bucket.alias("bucket"), x.alias("x"))
+            cell[c] = cell[c].when(inside, piece) if c in cell else F.when(inside, piece)
+        counted = (
+            df.select(F.explode(F.array(*cell.values())).alias("p"))
             .where("p IS NOT NULL")
             .groupBy("p.span", "p.bucket")
             .agg(F.count(F.lit(1)).alias("n"), F.min("p.x").alias("lo"), F.max("p.x").alias("hi"))
-            .collect()
+            .toPandas()
         )
-        by_span: dict[int, list] = {}
-        for row in sorted(hist, key=lambda r: (r["span"], r["bucket"])):
-            by_span.setdefault(row["span"], []).append(row)
-        index = {s: i for i, s in enumerate(spans)}
-        for (c, r), (lo, hi, below, inside) in list(open_.items()):
-            for row in by_span.get(index[(c, lo, hi, inside)], []):
-                if r < below + row["n"]:
-                    open_[(c, r)] = (row["lo"], row["hi"], below, row["n"])
-                    break
-                below += row["n"]
-            else:
-                raise ValueError(f"rank {r} is outside column {c}")
+        tables = {span: t.sort_values("bucket") for span, t in counted.groupby("span")}
+        index = {(c, lo, hi): i for i, (c, lo, hi, _) in enumerate(spans)}
+        for (c, r), (lo, hi, _, below) in list(search.items()):
+            t = tables[index[c, lo, hi]]
+            upto = below + t["n"].to_numpy().cumsum()
+            at = int(upto.searchsorted(r, side="right"))
+            row = t.iloc[at]
+            search[c, r] = (float(row["lo"]), float(row["hi"]), int(row["n"]), int(upto[at] - row["n"]))
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict[str, list[float] | None]:
     """Exact quantiles with linear interpolation between neighbours; ``None`` for a column without values."""
-    counts = df.agg(*[F.count(F.col(c)).alias(f"n_{i}") for i, c in enumerate(columns)]).first()
-    ranks: dict[str, list[int]] = {}
-    for i, c in enumerate(columns):
-        n = counts[f"n_{i}"]
-        for p in probs if n else []:
-            at = (n - 1) * p
-            ranks.setdefault(c, []).extend([math.floor(at), math.ceil(at)])
-    values = values_at_ranks(df, ranks)
-    out: dict[str, list[float] | None] = {}
-    for i, c in enumerate(columns):
-        n = counts[f"n_{i}"]
-        if not n:
-            out[c] = None
-            continue
-        out[c] = []
-        for p in probs:
-            at = (n - 1) * p
-            low, high = values[c][math.floor(at)], values[c][math.ceil(at)]
-            out[c].append(low + (high - low) * (at - math.floor(at)))
+    extremes = _extremes(df, columns)
+    at = {c: [(extremes[c][2] - 1) * p for p in probs] for c in columns if extremes[c][2]}
+    ranks = {c: [f(x) for x in xs for f in (math.floor, math.ceil)] for c, xs in at.items()}
+    values = values_at_ranks(df, ranks, extremes)
+    out: dict[str, list[float] | None] = dict.fromkeys(columns)
+    for c, xs in at.items():
+        ends = [(values[c][math.floor(x)], values[c][math.ceil(x)], x - math.floor(x)) for x in xs]
+        out[c] = [low + (high - low) * part for low, high, part in ends]
     return out
 
 

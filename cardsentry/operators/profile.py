@@ -2,12 +2,13 @@
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardsentry.functions.scalar import AGE_GROUPS, age_group, age_years
 from cardsentry.operators.ordering import exact_quantiles, running_totals
 from cardsentry.schema import LABEL, TIME
+from cardsentry.session import small_table
 
 DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
@@ -49,15 +50,14 @@ def top_rates(df: DataFrame, key: str, k: int = 10, at_least: int = 0) -> DataFr
 def fraud_by_age_group(df: DataFrame) -> DataFrame:
     """All four groups, also empty ones; exactly 17 years belong to none here."""
     found = fraud_by(df, age_group(age_years(F.col(TIME), F.col("dob")), include_lowest=False), "age_group")
-    groups = df.sparkSession.createDataFrame([(name,) for _, name in AGE_GROUPS], "age_group string")
+    groups = small_table(df.sparkSession, [(name,) for _, name in AGE_GROUPS], "age_group string")
     return groups.join(found, "age_group", "left").na.fill(0, ["total", "fraud"])
 
 
 def class_counts(df: DataFrame) -> DataFrame:
     counts = df.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    # one row on the right
-    return counts.join(F.broadcast(total), F.lit(True)).select(LABEL, "n", (100.0 * F.col("n") / F.col("total")).alias("pct"))
+    share = 100.0 * F.col("n") / F.sum("n").over(Window.partitionBy())  # over one row per class
+    return counts.select(LABEL, "n", share.alias("pct"))
 
 
 def mean_age_by_class(df: DataFrame) -> DataFrame:
@@ -160,11 +160,13 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """(a, b, corr) for every pair of columns, over the rows in which both are known; null for a constant column."""
     number = {c: F.col(c).cast("double") for c in columns}
     pairs = list(combinations(columns, 2))
+    holes = df.agg(*[F.count_if(x.isNull()).alias(c) for c, x in number.items()]).first()
     aggs = []
     for i, (a, b) in enumerate(pairs):
-        x, y = (F.when(number[a].isNotNull() & number[b].isNotNull(), number[c]) for c in (a, b))
-        spread = F.stddev_pop(x) * F.stddev_pop(y)
-        aggs.append(F.try_divide(F.covar_pop(x, y), spread).alias(f"r{i}"))
+        x, y = number[a], number[b]
+        if holes[a] or holes[b]:
+            x, y = (F.when(x.isNotNull() & y.isNotNull(), v) for v in (x, y))
+        aggs.append(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias(f"r{i}"))
     for i, c in enumerate(columns):
         aggs.append(F.when(F.stddev_pop(number[c]) > 0, F.lit(1.0)).alias(f"s{i}"))
     wide = df.agg(*aggs)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardsentry.schema import EXPECTED_NUMERIC, LABEL, NON_NULL_COLUMNS, REQUIRED_COLUMNS, ROW_ID, STREAM_REQUIRED
+from cardsentry.session import small_table
 
 
 def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -44,7 +45,7 @@ def schema_report(df: DataFrame, strict: bool = False) -> DataFrame:
         )
         for c in REQUIRED_COLUMNS
     ]
-    report = df.sparkSession.createDataFrame(rows, "column string, present boolean, type string, type_ok boolean")
+    report = small_table(df.sparkSession, rows, "column string, present boolean, type string, type_ok boolean")
     present = [c for c in REQUIRED_COLUMNS if c in types]
     return report.join(null_profile(df.select(*present)), "column", "left") if present else report
 

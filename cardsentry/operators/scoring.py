@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cardsentry.operators import evaluate as E
 from cardsentry.schema import AMOUNT, LABEL, ROW_ID, TIME
+from cardsentry.session import small_table
 
 SCORES = ["iso_score", "ae_score", "xgb_score"]
 # Tier limits, alert threshold before fitting, weight grid step.
@@ -56,7 +57,7 @@ def weight_search(df: DataFrame, label: str = LABEL) -> DataFrame:
     )
     long = df.select(F.col(label).cast("int").alias("label"), F.explode(blends).alias("b")).select("label", "b.*")
     found = E.average_precision(E.curve(long, ["idx"]), ["idx"])
-    weights = df.sparkSession.createDataFrame(grid, "idx int, w_iso double, w_ae double, w_xgb double")
+    weights = small_table(df.sparkSession, grid, "idx int, w_iso double, w_ae double, w_xgb double")
     return weights.join(found, "idx")
 
 

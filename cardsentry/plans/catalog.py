@@ -43,7 +43,7 @@ TXN = """SELECT e.event_id::VARCHAR trans_num, e.event_id, e.ts trans_date_trans
  'NATION_' || (e.event_id%25)::VARCHAR merch_state,
  CASE WHEN json_extract_string(e.props,'$.k')::INT=0 OR e.value>200 THEN 1 ELSE 0 END is_fraud,
  least(e.value/300::DOUBLE,1::DOUBLE) iso_score, json_extract_string(e.props,'$.k')::INT/99::DOUBLE ae_score,
- ((e.event_id*7919)%1000)/999::DOUBLE xgb_score, 5::DOUBLE + ((e.event_id*37)%1000)/100::DOUBLE processing_time_ms
+ ((e.event_id*7919)%1000)/999::DOUBLE xgb_score, 5::DOUBLE + ((e.event_id*37)%997)/100::DOUBLE processing_time_ms
 FROM events e LEFT JOIN customer c ON e.user_id=c.c_custkey LEFT JOIN nation n ON c.c_nationkey=n.n_nationkey"""
 
 # chronological 70 / 15 / 15

@@ -7,7 +7,10 @@ Lineage is cut only with reliable checkpoints or written tables. The folder is t
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -38,3 +41,11 @@ def materialise(df: DataFrame) -> DataFrame:
     """Compute once, store reliably, and return a frame whose rows never change on recomputation."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def small_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A local table whose size the optimizer knows, so that joins with it are broadcast without a hint."""
+    schema = StructType.fromDDL(ddl)
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    arrow = to_arrow_schema(schema)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow))

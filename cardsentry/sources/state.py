@@ -11,11 +11,12 @@ from cardsentry.operators.features import FeatureStore
 from cardsentry.operators.preprocess import Preprocessor
 from cardsentry.operators.scoring import Ensemble
 from cardsentry.operators.transaction import TransactionModel
+from cardsentry.session import small_table
 
 
 def save_scalars(spark: SparkSession, values: dict, path: str) -> None:
     rows = [(k, json.dumps(v)) for k, v in values.items()]
-    spark.createDataFrame(rows, "name string, value string").coalesce(1).write.mode("overwrite").parquet(path)
+    small_table(spark, rows, "name string, value string").coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def load_scalars(spark: SparkSession, path: str) -> dict:
