@@ -111,7 +111,8 @@ class IsolationForest:
 
         nodes = materialise(drawn.groupBy("tree").applyInPandas(build, NODES))
         model = IsolationForest(nodes, features, sample)
-        ends = normal.agg(F.min(model.raw(normal)).alias("lo"), F.max(model.raw(normal)).alias("hi")).first()
+        raw = normal.select(model.raw(normal).alias("raw"))
+        ends = raw.agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).first()
         model.low, model.high = ends["lo"], ends["hi"]
         model.metadata = {
             "training_date": datetime.now(timezone.utc).isoformat(),
