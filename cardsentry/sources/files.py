@@ -54,23 +54,14 @@ def with_bad_record(schema: T.StructType) -> T.StructType:
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """One JSON object per line; blank lines are skipped, broken ones carry their text in ``_corrupt_record``."""
-    return (
-        spark.read.schema(with_bad_record(schema))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD_RECORD)
-        .json(path)
-    )
+    return parse_json_text(spark.read.text(path), "value", schema)
 
 
 def stream_jsonl(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
-    reader = (
-        spark.readStream.schema(with_bad_record(schema))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD_RECORD)
-    )
+    reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.json(path)
+    return parse_json_text(reader.text(path), "value", schema)
 
 
 def good_and_bad(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -79,7 +70,7 @@ def good_and_bad(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def parse_json_text(df: DataFrame, text: str, schema: T.StructType) -> DataFrame:
-    """Parse a JSON text column (messages of a broker) into columns; broken texts are kept in ``_corrupt_record``."""
+    """Parse a column of JSON texts (lines, messages) into columns; broken texts are kept in ``_corrupt_record``."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}
     present = df.where(F.trim(F.col(text)) != "")
     return present.select(F.from_json(F.col(text), with_bad_record(schema), options).alias("j")).select("j.*")
