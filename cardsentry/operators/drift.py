@@ -121,7 +121,9 @@ class DriftBaseline:
         known = [c for c in self.edges if c != SCORE and c in df.columns]
         named = df.select(*known, F.col(score).alias(SCORE))
         counts = bin_counts(named, {c: self.edges[c] for c in [*known, SCORE]})
-        return psi(self.table(df.sparkSession), proportions(counts))
+        rows = psi(self.table(df.sparkSession), proportions(counts)).collect()
+        # one row per column; every report below reads this instead of the table again
+        return small_table(df.sparkSession, [tuple(r) for r in rows], "feature string, psi double")
 
     def save(self, spark: SparkSession, path: str) -> None:
         save_scalars(spark, {"edges": self.edges, "shares": self.shares, "mean_score": self.mean_score}, path)

@@ -34,7 +34,7 @@ class FeatureStore:
     @staticmethod
     def fit(train: DataFrame, category: str = "category", k: int = TOP_CATEGORIES) -> FeatureStore:
         model = TransactionModel.fit(train, category, k)
-        columns = model.transform(train).columns + VELOCITY_FEATURES
+        columns = [*train.columns, *model.added_columns(train), *VELOCITY_FEATURES]
         return FeatureStore(model, global_amount_std(train), feature_names(columns))
 
     def engineer(self, df: DataFrame, velocity: str = "stateful", row_id: str = ROW_ID) -> DataFrame:

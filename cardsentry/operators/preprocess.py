@@ -85,13 +85,16 @@ def indicators(df: DataFrame, levels: dict[str, list[str]]) -> dict:
     }
 
 
+def _scale(quartiles: list[float] | None) -> tuple[float, float]:
+    low, mid, high = quartiles or (0.0, 0.0, 0.0)
+    return mid, (high - low) or 1.0
+
+
 def fit_robust_scale(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
     """(median, interquartile range or 1) per column."""
-    out = {}
-    for c, q in exact_quantiles(df, columns, [0.25, 0.5, 0.75]).items():
-        low, mid, high = q or (0.0, 0.0, 0.0)
-        out[c] = (mid, (high - low) or 1.0)
-    return out
+    if not columns:
+        return {}
+    return {c: _scale(q) for c, q in exact_quantiles(df, columns, [0.25, 0.5, 0.75]).items()}
 
 
 def robust_scale(df: DataFrame, scales: dict[str, tuple[float, float]]) -> DataFrame:
@@ -122,10 +125,15 @@ class Preprocessor:
     @staticmethod
     def fit(train: DataFrame) -> Preprocessor:
         data = Preprocessor.prepare(train)
-        medians = fit_medians(data, SCALED)
+        quartiles = exact_quantiles(data, SCALED, [0.25, 0.5, 0.75])
+        medians = {c: q[1] if q else 0.0 for c, q in quartiles.items()}
+        scales = {c: _scale(q) for c, q in quartiles.items()}
+        holes = data.agg(*[F.count_if(clean(c).isNull()).alias(c) for c in SCALED]).first().asDict()
         data = fill_unknown(impute(data, medians), CODED + INDICATED)
+        # only where values were filled in do the quartiles differ from those of the known values
+        scales |= fit_robust_scale(data, [c for c in SCALED if holes[c]])
         codes = materialise(ordinal_codes(data, CODED))
-        return Preprocessor(medians, codes, indicator_levels(data, INDICATED), fit_robust_scale(data, SCALED))
+        return Preprocessor(medians, codes, indicator_levels(data, INDICATED), scales)
 
     def feature_names(self) -> list[str]:
         return [*SCALED, *CODED, *[f"{c}_{v}" for c, vs in self.levels.items() for v in vs]]

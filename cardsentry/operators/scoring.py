@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardsentry.operators import evaluate as E
@@ -16,6 +19,7 @@ SCORES = ["iso_score", "ae_score", "xgb_score"]
 LOW_BELOW, HIGH_FROM = 0.3, 0.7
 DEFAULT_THRESHOLD = 0.5
 GRID_STEP = 0.1
+FEW_POSITIVES = 100_000
 
 
 def normalised(weights: tuple[float, float, float]) -> tuple[float, float, float]:
@@ -42,9 +46,53 @@ def weight_grid() -> list[tuple[int, float, float, float]]:
 def weight_search(df: DataFrame, label: str = LABEL) -> DataFrame:
     """(idx, w_iso, w_ae, w_xgb, average_precision) of all 66 grid cells.
 
-    Every row is expanded to its 66 blended scores, which are counted per (cell, score) before the shuffle; the curves
-    of all cells are then built side by side.
+    Average precision only asks, for each positive row, how many rows score at least as high. While the positives are
+    few, their blended scores are therefore sent to all tasks and the rows are merely counted between them. With many
+    positives the curves of all cells are built side by side.
     """
+    df = df.na.fill(0.0, SCORES)
+    positives = df.where(F.col(label).cast("int") == 1).select(*SCORES).limit(FEW_POSITIVES + 1).toPandas()
+    if 0 < len(positives) <= FEW_POSITIVES:
+        found = _precision_by_counting(df, positives, label)
+    else:
+        found = _precision_by_curves(df, label)
+    weights = small_table(df.sparkSession, weight_grid(), "idx int, w_iso double, w_ae double, w_xgb double")
+    return weights.join(found, "idx")
+
+
+def _precision_by_counting(df: DataFrame, positives: pd.DataFrame, label: str) -> DataFrame:
+    """One pass without a shuffle of rows: every task returns at most one count per cell and positive score."""
+    known = positives.to_numpy(dtype=float)
+    levels = [np.unique(a * known[:, 0] + b * known[:, 1] + c * known[:, 2]) for _, a, b, c in weight_grid()]
+    shared = df.sparkSession.sparkContext.broadcast(levels)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cells = list(zip(weight_grid(), shared.value, strict=True))
+        rows = [np.zeros(len(v) + 1, dtype=np.int64) for _, v in cells]
+        hits = [np.zeros(len(v) + 1, dtype=np.int64) for _, v in cells]
+        for batch in batches:
+            iso, ae, xgb, y = (batch[c].to_numpy(dtype=float) for c in (*SCORES, "label"))
+            for (k, a, b, c), v in cells:
+                # how many of the positive scores the row reaches
+                slot = np.searchsorted(v, a * iso + b * ae + c * xgb, side="right")
+                rows[k] += np.bincount(slot, minlength=len(v) + 1)
+                hits[k] += np.bincount(slot[y == 1], minlength=len(v) + 1)
+        for (k, *_), _ in cells:
+            at = np.flatnonzero(rows[k])
+            yield pd.DataFrame({"idx": k, "reached": at, "n": rows[k][at], "pos": hits[k][at]})
+
+    scores = df.select(*SCORES, F.col(label).cast("int").alias("label"))
+    counted = scores.mapInPandas(count, "idx int, reached long, n long, pos long")
+    slots = counted.groupBy("idx", "reached").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+    # at most FEW_POSITIVES + 1 rows per cell
+    down = Window.partitionBy("idx").orderBy(F.desc("reached")).rowsBetween(Window.unboundedPreceding, 0)
+    points = slots.withColumns({"k": F.sum("n").over(down), "tp": F.sum("pos").over(down)})
+    totals = F.sum("pos").over(Window.partitionBy("idx"))
+    return E.average_precision(points.withColumn("positives", totals), ["idx"])
+
+
+def _precision_by_curves(df: DataFrame, label: str) -> DataFrame:
+    """Every row is expanded to its 66 blended scores, which are counted per (cell, score) before the shuffle."""
     grid = weight_grid()
     blends = F.array(
         *[
@@ -56,9 +104,7 @@ def weight_search(df: DataFrame, label: str = LABEL) -> DataFrame:
         ]
     )
     long = df.select(F.col(label).cast("int").alias("label"), F.explode(blends).alias("b")).select("label", "b.*")
-    found = E.average_precision(E.curve(long, ["idx"]), ["idx"])
-    weights = small_table(df.sparkSession, grid, "idx int, w_iso double, w_ae double, w_xgb double")
-    return weights.join(found, "idx")
+    return E.average_precision(E.curve(long, ["idx"]), ["idx"])
 
 
 def optimize_weights(df: DataFrame, label: str = LABEL) -> DataFrame:

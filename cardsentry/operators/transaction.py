@@ -95,6 +95,11 @@ class TransactionModel:
             model.high_risk = tuple(r[0] for r in top_categories(model.category_rates, category, k).collect())
         return model
 
+    def added_columns(self, df: DataFrame) -> list[str]:
+        """The features ``transform`` adds to a table with the columns of ``df``."""
+        by_state = {"amount_to_mean_ratio": AMOUNT, "category_fraud_rate": self.category, "is_high_risk_category": self.category}
+        return [*stateless_columns(df), *[f for f, c in by_state.items() if c in df.columns]]
+
     def transform(self, df: DataFrame) -> DataFrame:
         have = set(df.columns)
         out = df

@@ -28,6 +28,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named
     if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cardsentry-"))
     return sc.getCheckpointDir()
 

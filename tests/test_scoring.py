@@ -100,3 +100,13 @@ def test_fitted_ensemble_prefers_the_informative_score(spark):
     assert e.weights[2] > 0.5
     by_f1 = SC.Ensemble().fit(df, method="f1")
     assert 0 < by_f1.threshold <= 1
+
+
+def test_both_ways_of_the_weight_search_agree(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(rng.randrange(9) / 9, rng.random(), rng.randrange(5) / 5, int(rng.random() < 0.1)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "iso_score double, ae_score double, xgb_score double, is_fraud int").repartition(4)
+    counted = {r["idx"]: r["average_precision"] for r in SC.weight_search(df).collect()}
+    monkeypatch.setattr(SC, "FEW_POSITIVES", 3)
+    curves = {r["idx"]: r["average_precision"] for r in SC.weight_search(df).collect()}
+    assert len(counted) == 66 and curves == pytest.approx(counted, abs=1e-12)
