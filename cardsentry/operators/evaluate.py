@@ -33,9 +33,9 @@ def curve(long: DataFrame, by: list[str]) -> DataFrame:
     """Per group and distinct score, descending: rows and positives at the score (n, pos), at or above it (k, tp), and
     of the whole group (total, positives)."""
     counts = long.groupBy(*by, "score").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos"))
-    running = running_totals(counts, by, [F.col("score").desc()], sums={"k": "n", "tp": "pos"})
-    totals = running.groupBy(*by).agg(F.max("k").alias("total"), F.max("tp").alias("positives"))
-    return running.join(totals, by)
+    return running_totals(
+        counts, by, [F.col("score").desc()], sums={"k": "n", "tp": "pos"}, group_sums={"total": "n", "positives": "pos"}
+    )
 
 
 def pr_curve(points: DataFrame) -> DataFrame:
@@ -61,10 +61,10 @@ def _roc_auc() -> Column:
 
 
 def _best_f1() -> Column:
-    """(f1, -threshold) of the highest F1, lowest threshold on ties."""
+    """(f1, -threshold, k, tp) of the highest F1, lowest threshold on ties."""
     precision, recall = F.col("tp") / F.col("k"), ratio_or_zero(F.col("tp"), F.col("positives"))
     f1 = 2 * precision * recall / (precision + recall + F1_EPSILON)
-    return F.max(F.struct(f1.alias("f1"), (-F.col("score")).alias("minus")))
+    return F.max(F.struct(f1.alias("f1"), (-F.col("score")).alias("minus"), "k", "tp"))
 
 
 def average_precision(points: DataFrame, by: list[str]) -> DataFrame:
@@ -107,23 +107,34 @@ def precision_recall_f1(cells: DataFrame) -> DataFrame:
 
 def model_metrics(long: DataFrame, threshold: float | None = None) -> DataFrame:
     """One row per model: areas, the confusion cells and rates at ``threshold`` (default: that of the best F1)."""
-    points = curve(long, ["model"])
-    chosen = -F.col("b.minus") if threshold is None else F.lit(float(threshold))
-    summary = points.groupBy("model").agg(
-        _average_precision().alias("pr_auc"), _roc_auc().alias("roc_auc"), _best_f1().alias("b")
-    )
-    summary = summary.select("model", "pr_auc", "roc_auc", chosen.alias("optimal_threshold"))
-    hit, pos, neg = F.col("score") >= F.col("optimal_threshold"), F.col("pos"), F.col("n") - F.col("pos")
-    cells = (
-        points.join(summary, "model")
-        .groupBy("model", "pr_auc", "roc_auc", "optimal_threshold")
+    if threshold is None:
+        at, k, tp = -F.col("b.minus"), F.col("b.k"), F.col("b.tp")
+        best = _best_f1()
+    else:
+        at, k, tp = F.lit(float(threshold)), F.col("b.k"), F.col("b.tp")
+        hit = F.col("score") >= at
+        best = F.struct(F.sum(F.when(hit, F.col("n")).otherwise(0)).alias("k"), F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"))
+    summary = (
+        curve(long, ["model"])
+        .groupBy("model")
         .agg(
-            F.sum(F.when(~hit, neg).otherwise(0)).alias("tn"),
-            F.sum(F.when(hit, neg).otherwise(0)).alias("fp"),
-            F.sum(F.when(~hit, pos).otherwise(0)).alias("fn"),
-            F.sum(F.when(hit, pos).otherwise(0)).alias("tp"),
+            _average_precision().alias("pr_auc"),
+            _roc_auc().alias("roc_auc"),
+            best.alias("b"),
+            F.max("total").alias("total"),
+            F.max("positives").alias("positives"),
         )
     )
+    cells = summary.select(
+        "model",
+        "pr_auc",
+        "roc_auc",
+        at.alias("optimal_threshold"),
+        (F.col("total") - F.col("positives") - (k - tp)).alias("tn"),
+        (k - tp).alias("fp"),
+        (F.col("positives") - tp).alias("fn"),
+        tp.alias("tp"),
+    )
     return precision_recall_f1(cells)
 
 
@@ -144,19 +155,39 @@ def thresholds_reached(score: Column) -> Column:
     return (exact + 1).cast("int")
 
 
+def _reached(long: DataFrame) -> DataFrame:
+    """(model, reached, counts): rows by the number of thresholds they reach, at most 92 per model."""
+    label, default = F.col("label"), F.col("score") >= F.lit(DEFAULT_CUT)
+    return (
+        long.withColumn("reached", thresholds_reached(F.col("score")))
+        .groupBy("model", "reached")
+        .agg(
+            F.count_if(label == 0).alias("neg"),
+            F.count_if(label == 1).alias("pos"),
+            F.count_if((label == 0) & default).alias("default_fp"),
+            F.count_if((label == 1) & ~default).alias("default_fn"),
+        )
+    )
+
+
+def _cost(fp: str, fn: str, cost_fp: float, cost_fn: float) -> Column:
+    return F.col(fp) * F.lit(float(cost_fp)) + F.col(fn) * F.lit(float(cost_fn))
+
+
 def cost_curve(
     long: DataFrame, cost_fp: float = COST_FALSE_POSITIVE, cost_fn: float = COST_FALSE_NEGATIVE
 ) -> DataFrame:
     """(model, idx, threshold, fp, fn, cost) for the 91 thresholds: one aggregate to at most 92 rows per model, then
     sums over those."""
-    reached = (
-        long.withColumn("reached", thresholds_reached(F.col("score")))
-        .groupBy("model", "reached")
-        .agg(F.count_if(F.col("label") == 0).alias("neg"), F.count_if(F.col("label") == 1).alias("pos"))
-    )
-    steps = F.explode(F.sequence(F.lit(0), F.lit(THRESHOLDS))).alias("reached")
-    grid = reached.select("model").distinct().select("model", steps)
-    full = grid.join(reached, ["model", "reached"], "left").na.fill(0, ["neg", "pos"])
+    return _costs(_reached(long), cost_fp, cost_fn)
+
+
+def _costs(reached: DataFrame, cost_fp: float, cost_fn: float) -> DataFrame:
+    entries = F.map_from_entries(F.collect_list(F.struct("reached", F.struct("neg", "pos"))))
+    slots = F.explode(F.sequence(F.lit(0), F.lit(THRESHOLDS))).alias("reached")
+    full = reached.groupBy("model").agg(entries.alias("counts")).select("model", "counts", slots)
+    found = F.try_element_at("counts", F.col("reached"))
+    full = full.withColumns({c: F.coalesce(found[c], F.lit(0)) for c in ("neg", "pos")})
     ahead = Window.partitionBy("model").orderBy("reached").rowsBetween(1, Window.unboundedFollowing)
     behind = Window.partitionBy("model").orderBy("reached").rowsBetween(Window.unboundedPreceding, 0)
     sums = full.select(
@@ -166,7 +197,7 @@ def cost_curve(
         F.sum("neg").over(ahead).alias("fp"),
         F.sum("pos").over(behind).alias("fn"),
     ).where(F.col("idx") < THRESHOLDS)
-    return sums.withColumn("cost", F.col("fp") * F.lit(float(cost_fp)) + F.col("fn") * F.lit(float(cost_fn)))
+    return sums.withColumn("cost", _cost("fp", "fn", cost_fp, cost_fn))
 
 
 def best_cost(costs: DataFrame) -> DataFrame:
@@ -176,21 +207,17 @@ def best_cost(costs: DataFrame) -> DataFrame:
 
 
 def cost_analysis(
-    long: DataFrame,
-    cost_fp: float = COST_FALSE_POSITIVE,
-    cost_fn: float = COST_FALSE_NEGATIVE,
-    default_threshold: float = DEFAULT_CUT,
+    long: DataFrame, cost_fp: float = COST_FALSE_POSITIVE, cost_fn: float = COST_FALSE_NEGATIVE
 ) -> DataFrame:
-    best = best_cost(cost_curve(long, cost_fp, cost_fn))
-    default = confusion_at_threshold(long, default_threshold).select(
-        "model",
-        (F.col("fp") * F.lit(float(cost_fp)) + F.col("fn") * F.lit(float(cost_fn))).alias("cost_at_default"),
-    )
+    """Per model the cheapest threshold and its cost, beside the cost at 0.5; the scores are read once."""
+    reached = _reached(long)
+    best = best_cost(_costs(reached, cost_fp, cost_fn))
+    default = reached.groupBy("model").agg(F.sum("default_fp").alias("fp"), F.sum("default_fn").alias("fn"))
     return best.join(default, "model").select(
         "model",
         F.col("threshold").alias("cost_optimal_threshold"),
         F.col("cost").alias("cost_at_optimal"),
-        "cost_at_default",
+        _cost("fp", "fn", cost_fp, cost_fn).alias("cost_at_default"),
         F.lit(float(cost_fp)).alias("cost_fp"),
         F.lit(float(cost_fn)).alias("cost_fn"),
     )

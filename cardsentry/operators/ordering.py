@@ -30,10 +30,12 @@ def running_totals(
     prior_sums: dict[str, str] | None = None,
     prior_max: dict[str, str] | None = None,
     prior_min: dict[str, str] | None = None,
+    group_sums: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add running aggregates per ``by`` group along ``order`` (which must be total within a group).
 
-    ``sums`` include the current row, the ``prior_*`` aggregates see strictly earlier rows only.
+    ``sums`` include the current row, the ``prior_*`` aggregates see strictly earlier rows only, and ``group_sums`` are
+    those of the whole group (a join back on the group alone would gather a large group in one task).
     """
     # (output, input, aggregate, frame includes the current row, carry-in combiner)
     specs = [(o, c, F.sum, 0) for o, c in (sums or {}).items()]
@@ -46,9 +48,16 @@ def running_totals(
     frozen = materialise(ranged.withColumn("_chunk", F.spark_partition_id()))
 
     keys = [*by, "_chunk"]
-    chunk_totals = frozen.groupBy(*keys).agg(*[agg(c).alias(f"_t_{o}") for o, c, agg, _ in specs])
+    whole = group_sums or {}
+    chunk_totals = frozen.groupBy(*keys).agg(
+        *[agg(c).alias(f"_t_{o}") for o, c, agg, _ in specs], *[F.sum(c).alias(f"_t_{o}") for o, c in whole.items()]
+    )
     earlier_chunks = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = chunk_totals.select(*keys, *[agg(f"_t_{o}").over(earlier_chunks).alias(f"_c_{o}") for o, _, agg, _ in specs])
+    carry = chunk_totals.select(
+        *keys,
+        *[agg(f"_t_{o}").over(earlier_chunks).alias(f"_c_{o}") for o, _, agg, _ in specs],
+        *[F.sum(f"_t_{o}").over(Window.partitionBy(*by)).alias(o) for o in whole],
+    )
 
     in_chunk = Window.partitionBy(*keys).orderBy(*order)
     combine = {F.max: F.greatest, F.min: F.least}
@@ -60,7 +69,7 @@ def running_totals(
         else:
             total = combine[agg](local, F.col(f"_c_{o}"))  # greatest/least skip nulls
         totals.append(total.alias(o))
-    return frozen.join(carry, keys).select(*df.columns, *totals)
+    return frozen.join(carry, keys).select(*df.columns, *totals, *whole)
 
 
 def _number(column: str) -> Column:

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardsentry.functions.scalar import AGE_GROUPS, age_group, age_years
-from cardsentry.operators.ordering import exact_quantiles, running_totals
+from cardsentry.operators.ordering import exact_quantiles, lookup, running_totals
 from cardsentry.schema import LABEL, TIME
-from cardsentry.session import small_table
+from cardsentry.session import materialise, small_table
 
 DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
@@ -93,9 +93,7 @@ def quantiles_by(df: DataFrame, key: str, value: str, probs: list[float]) -> tup
         .groupBy(key, "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    running = running_totals(counts, [key], [F.col("value")], sums={"upto": "n"})
-    totals = running.groupBy(key).agg(F.max("upto").alias("total"))
-    points = running.join(totals, key)
+    points = running_totals(counts, [key], [F.col("value")], sums={"upto": "n"}, group_sums={"total": "n"})
     ends = []
     for i, p in enumerate(probs):
         at = (F.col("total") - 1) * F.lit(float(p))
@@ -106,17 +104,18 @@ def quantiles_by(df: DataFrame, key: str, value: str, probs: list[float]) -> tup
     for i, p in enumerate(probs):
         at = (F.col("total") - 1) * F.lit(float(p))
         out.append((F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (at - F.floor(at))).alias(f"q{i}"))
-    return wide.select(key, "total", *out), running
+    return wide.select(key, "total", *out), points.drop("total")
 
 
 def boxplot_stats(df: DataFrame, key: str = "category", value: str = "amt") -> DataFrame:
     """Quartiles, and whiskers at the last values within 1.5 interquartile ranges."""
     quartiles, points = quantiles_by(df, key, value, [0.25, 0.5, 0.75])
-    reach = 1.5 * (F.col("q2") - F.col("q0"))
-    inside = F.col("value").between(F.col("q0") - reach, F.col("q2") + reach)
+    table = materialise(quartiles.select(key, F.struct("q0", "q1", "q2").alias("q"), "total"))
+    low, mid, high = (F.col(f"q.q{i}") for i in range(3))
+    inside = F.col("value").between(low - 1.5 * (high - low), high + 1.5 * (high - low))
     return (
-        points.join(quartiles, key)
-        .groupBy(key, F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"))
+        lookup(points, table, key, "q", "total")
+        .groupBy(key, low.alias("q25"), mid.alias("q50"), high.alias("q75"))
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
