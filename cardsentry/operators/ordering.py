@@ -107,7 +107,7 @@ def values_at_ranks(
         if not search:
             return found
         spans = sorted({(c, lo, hi, n) for (c, _), (lo, hi, n, _) in search.items()})
-        few = sum(n for _, _, n, _ in spans) <= LISTED_ROWS
+        few = sum(n for *_, n in spans) <= LISTED_ROWS
         buckets = max(32, min(BUCKETS, LISTED_ROWS // len(spans)))
         # the spans of one column are disjoint, so a value falls into one of them at most
         cell: dict[str, Column] = {}
