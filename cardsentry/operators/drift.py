@@ -6,12 +6,13 @@ per column and bin before anything is shuffled.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cardsentry.operators.ordering import exact_quantiles
+from cardsentry.operators.ordering import exact_quantiles, slots
 from cardsentry.session import small_table
 from cardsentry.sources.state import load_scalars, save_scalars
 
@@ -43,31 +44,22 @@ def quantile_edges(df: DataFrame, columns: list[str], n_bins: int = N_BINS) -> d
     return out
 
 
-def bin_index(x: Column, edges: list[float]) -> Column:
-    """Values below the first edge fall into the first bin. Values above a positive last edge are dropped (null), above
-    any other last edge they fall into the last bin."""
-    x = F.nanvl(x.cast("double"), F.lit(None).cast("double"))
-    index = F.lit(0)
-    for e in edges[1:-1]:
-        index = index + (x >= F.lit(float(e))).cast("int")
-    dropped = (x > F.lit(float(edges[-1]))) if edges[-1] > 0 else F.lit(False)
-    return F.when(x.isNotNull() & ~dropped, index)
-
-
 def bin_counts(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
-    """(feature, bin, n) for every bin of every column, empty ones included."""
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("feature"), bin_index(F.col(c), e).alias("bin")) for c, e in edges.items()]
-    )
+    """(feature, bin, n) for every bin of every column, empty ones included.
+
+    Bins are closed below, the last one on both sides. Values below the first edge fall into the first bin. Values above
+    the last edge are dropped if that edge is positive, and fall into the last bin otherwise.
+    """
+    tops = [e[-1] if e[-1] > 0 else math.inf for e in edges.values()]
     found = (
-        df.select(F.explode(cells).alias("c"))
-        .where("c.bin IS NOT NULL")
-        .groupBy("c.feature", "c.bin")
+        slots(df, {c: e[1:-1] for c, e in edges.items()})
+        .where(F.col("x") <= F.element_at(F.lit(tops), F.col("i") + 1))
+        .groupBy("i", F.col("slot").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    grid = [(c, i) for c, e in edges.items() for i in range(len(e) - 1)]
-    every = small_table(df.sparkSession, grid, "feature string, bin int")
-    return every.join(found, ["feature", "bin"], "left").na.fill(0, ["n"])
+    grid = [(i, c, b) for i, (c, e) in enumerate(edges.items()) for b in range(len(e) - 1)]
+    every = small_table(df.sparkSession, grid, "i int, feature string, bin int")
+    return every.join(found, ["i", "bin"], "left").select("feature", "bin", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def _shares(value: Column) -> Column:

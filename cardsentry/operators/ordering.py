@@ -10,6 +10,7 @@
 
 import math
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,7 +74,28 @@ def running_totals(
 
 
 def _number(column: str) -> Column:
-    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+    """As a double; NaN is unknown, and there is one zero."""
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double")) + F.lit(0.0)
+
+
+def slots(df: DataFrame, bounds: dict[str, list[float]]) -> DataFrame:
+    """(i, x, slot) for every known value x of the columns: the column's number, and how many of its (ascending) bounds
+    are at or below x. A binary search per value, so many bounds cost neither time nor generated code."""
+    inner = [i for i, b in enumerate(bounds.values()) if b]
+    wide = df.select(*[_number(c).alias(f"x{i}") for i, c in enumerate(bounds)])
+    if inner:
+        splits = [[-math.inf, *b, math.inf] for b in bounds.values() if b]
+        names = ([f"x{i}" for i in inner], [f"slot{i}" for i in inner])
+        wide = Bucketizer(inputCols=names[0], outputCols=names[1], splitsArray=splits, handleInvalid="keep").transform(wide)
+    cells = [
+        F.struct(
+            F.lit(i).alias("i"),
+            F.col(f"x{i}").alias("x"),
+            (F.col(f"slot{i}").cast("int") if i in inner else F.lit(0)).alias("slot"),
+        )
+        for i in range(len(bounds))
+    ]
+    return wide.select(F.explode(F.array(*cells)).alias("c")).select("c.*").where("x IS NOT NULL")
 
 
 def _extremes(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float, int]]:
@@ -109,20 +131,22 @@ def values_at_ranks(
         spans = sorted({(c, lo, hi, n) for (c, _), (lo, hi, n, _) in search.items()})
         few = sum(n for *_, n in spans) <= LISTED_ROWS
         buckets = max(32, min(BUCKETS, LISTED_ROWS // len(spans)))
-        # the spans of one column are disjoint, so a value falls into one of them at most
-        cell: dict[str, Column] = {}
-        for i, (c, lo, hi, _) in enumerate(spans):
-            x = _number(c)
-            step = (hi - lo) / buckets
-            bucket = x if few or step == 0 else F.least(F.floor((x - lo) / step), F.lit(buckets - 1)).cast("double")
-            inside = x.between(F.lit(lo), F.lit(hi))
-            piece = F.struct(F.lit(i).alias("span"), bucket.alias("bucket"), x.alias("x"))
-            cell[c] = cell[c].when(inside, piece) if c in cell else F.when(inside, piece)
+        # the spans of one column are disjoint: a value can only be in the last one that starts at or below it
+        starts: dict[str, list[float]] = {}
+        for c, lo, _, _ in spans:
+            starts.setdefault(c, []).append(lo)
+        first = [next(i for i, s in enumerate(spans) if s[0] == c) for c in starts]
+        lows, highs = [s[1] for s in spans], [s[2] for s in spans]
+        steps = [(hi - lo) / buckets for _, lo, hi, _ in spans]
+        x, span = F.col("x"), F.col("span")
+        placed = slots(df, starts).where("slot > 0")
+        placed = placed.select("x", (F.element_at(F.lit(first), F.col("i") + 1) + F.col("slot")).alias("span"))
+        bucket = F.floor(F.try_divide(x - F.element_at(F.lit(lows), span), F.element_at(F.lit(steps), span)))
+        bucket = F.coalesce(F.least(bucket, F.lit(buckets - 1)).cast("double"), x)
         counted = (
-            df.select(F.explode(F.array(*cell.values())).alias("p"))
-            .where("p IS NOT NULL")
-            .groupBy("p.span", "p.bucket")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("p.x").alias("lo"), F.max("p.x").alias("hi"))
+            placed.where(x <= F.element_at(F.lit(highs), span))
+            .groupBy((span - 1).alias("span"), (x if few else bucket).alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
             .toPandas()
         )
         tables = {span: t.sort_values("bucket") for span, t in counted.groupby("span")}

@@ -398,3 +398,15 @@ def _concat_columns(spark, sf_dir):
     codes = materialise(P.ordinal_codes(df, ["state"]))
     wide = P.apply_codes(df.withColumns(cells), codes, ["state"])
     return wide.select("trans_num", r6("amt").alias("amt"), F.col("state").cast("long").alias("state"), *cells)
+
+
+@query("state_load", _preprocess_sql("WHERE split = 'val'"))
+def _state_load(spark, sf_dir):
+    """Fit, save, load, apply."""
+    from cardsentry.sources.state import load_preprocessor, save_preprocessor
+
+    df = transactions(spark, sf_dir)
+    first, second, _ = SP.TimeSplit.fit(df).parts(df)
+    path = scratch_path(spark, "preprocessor")
+    save_preprocessor(P.Preprocessor.fit(first), spark, path)
+    return _rounded(load_preprocessor(spark, path).transform(second))

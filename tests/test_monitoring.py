@@ -63,11 +63,12 @@ def test_same_table_has_no_drift_and_empty_ones_are_uniform(spark):
 
 
 def test_values_outside_the_edges(spark):
-    df = spark.createDataFrame([(v,) for v in (-5.0, 0.0, 1.0, 1.5, 3.0, 3.1)], "x double")
-    up = df.select(D.bin_index(F.col("x"), [0.0, 1.0, 3.0]).alias("i")).collect()
-    assert [r["i"] for r in up] == [0, 0, 1, 1, 1, None]  # above a positive last edge: dropped
-    down = df.select(D.bin_index(F.col("x"), [-9.0, -5.0, 0.0]).alias("i")).collect()
-    assert [r["i"] for r in down] == [1, 1, 1, 1, 1, 1]  # above any other last edge: last bin
+    df = columns(spark, x=[-5.0, -0.0, 0.0, 1.0, 1.5, 3.0, 3.1, None, float("nan")])
+    counts = lambda edges: [r["n"] for r in D.bin_counts(df, {"x": edges}).orderBy("bin").collect()]
+    assert counts([0.0, 1.0, 3.0]) == [3, 3]  # above a positive last edge: dropped
+    assert counts([-9.0, -5.0, 0.0]) == [0, 7]  # above any other last edge: last bin
+    assert counts([-9.0, 0.0, 9.0]) == [1, 6]  # both zeros are the edge
+    assert counts([0.0, 3.0]) == [6]
 
 
 def test_status_limits(spark):
