@@ -98,7 +98,7 @@ def slots(df: DataFrame, bounds: dict[str, list[float]]) -> DataFrame:
     return wide.select(F.explode(F.array(*cells)).alias("c")).select("c.*").where("x IS NOT NULL")
 
 
-def _extremes(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float, int]]:
+def extremes(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float, int]]:
     """(lowest, highest, number of values) per column, from one aggregate."""
     stats = {"lo": F.min, "hi": F.max, "n": F.count}
     row = df.agg(*[f(_number(c)).alias(f"{k}_{i}") for i, c in enumerate(columns) for k, f in stats.items()]).first()
@@ -106,7 +106,7 @@ def _extremes(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float
 
 
 def values_at_ranks(
-    df: DataFrame, ranks: dict[str, list[int]], extremes: dict[str, tuple[float, float, int]] | None = None
+    df: DataFrame, ranks: dict[str, list[int]], ends: dict[str, tuple[float, float, int]] | None = None
 ) -> dict[str, dict[int, float]]:
     """Exact 0-based order statistics of the non-null values of numeric columns: ``{column: {rank: value}}``.
 
@@ -114,10 +114,10 @@ def values_at_ranks(
     are cut into buckets; once they hold few, their values are listed. Either way a pass returns a bounded table.
     """
     wanted = {c: sorted(set(r)) for c, r in ranks.items() if r}
-    extremes = extremes or (_extremes(df, list(wanted)) if wanted else {})
+    ends = ends or (extremes(df, list(wanted)) if wanted else {})
     found: dict[str, dict[int, float]] = {c: {} for c in wanted}
     # searched ranks: (column, rank) -> (lowest value, highest value, rows inside, rows below)
-    search = {(c, r): (*extremes[c], 0) for c in wanted for r in wanted[c]}
+    search = {(c, r): (*ends[c], 0) for c in wanted for r in wanted[c]}
     for (c, r), (_, _, n, _) in search.items():
         if not 0 <= r < n:
             raise ValueError(f"rank {r} is outside column {c}, which has {n} values")
@@ -161,14 +161,14 @@ def values_at_ranks(
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict[str, list[float] | None]:
     """Exact quantiles with linear interpolation between neighbours; ``None`` for a column without values."""
-    extremes = _extremes(df, columns)
-    at = {c: [(extremes[c][2] - 1) * p for p in probs] for c in columns if extremes[c][2]}
+    ends = extremes(df, columns)
+    at = {c: [(ends[c][2] - 1) * p for p in probs] for c in columns if ends[c][2]}
     ranks = {c: [f(x) for x in xs for f in (math.floor, math.ceil)] for c, xs in at.items()}
-    values = values_at_ranks(df, ranks, extremes)
+    values = values_at_ranks(df, ranks, ends)
     out: dict[str, list[float] | None] = dict.fromkeys(columns)
     for c, xs in at.items():
-        ends = [(values[c][math.floor(x)], values[c][math.ceil(x)], x - math.floor(x)) for x in xs]
-        out[c] = [low + (high - low) * part for low, high, part in ends]
+        around = [(values[c][math.floor(x)], values[c][math.ceil(x)], x - math.floor(x)) for x in xs]
+        out[c] = [low + (high - low) * part for low, high, part in around]
     return out
 
 

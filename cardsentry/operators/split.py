@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardsentry.functions.scalar import micros, stable_hash
-from cardsentry.operators.ordering import values_at_ranks
+from cardsentry.operators.ordering import extremes, values_at_ranks
 from cardsentry.operators.quality import require_columns
 from cardsentry.operators.transaction import is_positive
 from cardsentry.schema import LABEL, ROW_ID, TIME
@@ -25,13 +25,14 @@ class TimeSplit:
     def fit(df: DataFrame, train: float = TRAIN_SHARE, val: float = VALIDATION_SHARE) -> "TimeSplit":
         require_columns(df, [TIME, LABEL])
         us = df.select(micros(F.col(TIME)).alias("us"))
-        n = us.count()
+        ends = extremes(us, ["us"])
+        n = ends["us"][2]
         n_train, n_val = int(n * train), int(n * val)
         if n_train == 0 or n_val == 0:
             raise ValueError(f"{n} rows leave an empty train or validation part")
         cut = n_train + n_val
         # whole numbers below 2**53 are exact as doubles
-        at = values_at_ranks(us, {"us": [r for r in (n_train - 1, n_train, cut - 1, cut) if r < n]})["us"]
+        at = values_at_ranks(us, {"us": [r for r in (n_train - 1, n_train, cut - 1, cut) if r < n]}, ends)["us"]
         if at[n_train - 1] >= at[n_train] or (cut < n and at[cut - 1] >= at[cut]):
             raise ValueError("rows of equal time on both sides of a boundary would leak between the parts")
         return TimeSplit(int(at[n_train - 1]), int(at[cut - 1]))
