@@ -42,7 +42,7 @@ class FeatureStore:
         if velocity == "stateful":
             df = velocity_features(df, self.amount_std, row_id=row_id)
         elif velocity == "stateless":
-            df = single_row_velocity(df, self.amount_std)
+            df = single_row_velocity(df)
         return self.transaction.transform(df)
 
     def transform(

@@ -8,7 +8,7 @@ make one long task, and its sliding frames cost rows x frame. Such cards are tur
 time and summed by ``running_totals``, which spreads one card over any number of tasks and is linear in its rows.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardsentry.functions.scalar import micros
@@ -19,7 +19,7 @@ from cardsentry.schema import AMOUNT, CARD, ROW_ID, TIME, VELOCITY_FEATURES
 TEN_MINUTES, ONE_HOUR, ONE_DAY = 600, 3600, 86400
 RAPID_FIRE_ABOVE = 3
 MIN_HISTORY = 3
-HOT_CARD_ROWS = 50_000
+HOT_CARD_ROWS = 20_000
 
 
 def frame_micros(seconds: int) -> int:
@@ -157,15 +157,18 @@ def velocity_features(
     )
 
 
-def single_row_velocity(df: DataFrame, global_std: float = 1.0) -> DataFrame:
-    """What the features are when every record is scored without history (one-record serving)."""
-    return df.withColumns(
-        {
-            "time_since_last_txn": F.lit(None).cast("double"),
-            "rapid_fire_flag": F.lit(0),
-            "txn_count_1h": F.lit(1).cast("long"),
-            "txn_count_24h": F.lit(1).cast("long"),
-            "avg_amount_24h": F.col(AMOUNT).cast("double"),
-            "amount_zscore": F.lit(0.0),
-        }
-    )
+def single_row_values() -> dict[str, Column]:
+    """What the features are for a record without any history."""
+    return {
+        "time_since_last_txn": F.lit(None).cast("double"),
+        "rapid_fire_flag": F.lit(0),
+        "txn_count_1h": F.lit(1).cast("long"),
+        "txn_count_24h": F.lit(1).cast("long"),
+        "avg_amount_24h": F.col(AMOUNT).cast("double"),
+        "amount_zscore": F.lit(0.0),
+    }
+
+
+def single_row_velocity(df: DataFrame) -> DataFrame:
+    """Every record on its own, as in one-record serving."""
+    return df.withColumns(single_row_values())

@@ -13,6 +13,7 @@ from cardsentry.schema import PREDICTION_LOG_SCHEMA, ROW_ID, TIME, TRANSACTION_S
 STRAY_INDEX = "Unnamed: 0"
 MODEL_VERSION = "1.0.0"
 BAD_RECORD = "_corrupt_record"
+PLACE = "_place"
 
 
 def parse_datetimes(df: DataFrame) -> DataFrame:
@@ -21,10 +22,15 @@ def parse_datetimes(df: DataFrame) -> DataFrame:
     return df.withColumns({c: x for c, x in casts.items() if c in df.columns})
 
 
-def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Columns are matched by name and cast to the transaction schema; extra columns stay texts; a stray index column is
-    dropped."""
-    raw = spark.read.option("header", True).csv(path).drop(STRAY_INDEX)
+def _read(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """The file's rows with their place in the input: file, block, then the order within the block."""
+    raw = spark.read.format(fmt).options(**({"header": True} if fmt == "csv" else {})).load(path)
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    return raw.select("*", place.alias(PLACE)).drop(STRAY_INDEX)
+
+
+def typed_transactions(raw: DataFrame) -> DataFrame:
+    """Columns are matched by name and cast to the transaction schema; extra columns stay as they are."""
     typed = {
         f.name: F.col(f.name).cast(f.dataType)
         for f in TRANSACTION_SCHEMA.fields
@@ -33,13 +39,17 @@ def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
     return parse_datetimes(raw.withColumns(typed))
 
 
+def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The typed table; a stray index column is dropped."""
+    return typed_transactions(_read(spark, path, "csv")).drop(PLACE)
+
+
 def load_transactions(spark: SparkSession, path: str, fmt: str = "csv", strict: bool = True) -> DataFrame:
     """Read, validate (missing columns and nulls in key columns raise) and keep the first row of every id."""
-    df = read_transactions_csv(spark, path) if fmt == "csv" else parse_datetimes(spark.read.format(fmt).load(path))
+    placed = typed_transactions(_read(spark, path, fmt))
     if strict:
-        schema_report(df, strict=True)
-    in_order = df.withColumn("_pos", F.monotonically_increasing_id())  # grows along the input files
-    return dedup_first(in_order, ROW_ID, "_pos").drop("_pos")
+        schema_report(placed.drop(PLACE), strict=True)
+    return dedup_first(placed, ROW_ID, PLACE).drop(PLACE)
 
 
 def write_transactions_csv(df: DataFrame, path: str, single_file: bool = False) -> None:

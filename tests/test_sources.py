@@ -25,6 +25,12 @@ def test_csv_round_trip_with_stray_index_and_copies(spark, tmp_path):
     assert got.select("trans_num", "amt", "dob").exceptAll(df.select("trans_num", "amt", "dob")).count() == 0
 
 
+def test_the_first_copy_in_the_input_stays(spark, tmp_path):
+    for i, v in enumerate((7, 9, 8)):
+        files.write_transactions_csv(full(spark, city_pop=v).limit(1), str(tmp_path / "t" / f"part={i}"), single_file=True)
+    assert files.load_transactions(spark, str(tmp_path / "t")).first()["city_pop"] == 7
+
+
 def test_loading_refuses_missing_columns(spark, tmp_path):
     files.write_transactions_csv(full(spark).drop("state"), str(tmp_path / "t"))
     with pytest.raises(ValueError, match="state"):

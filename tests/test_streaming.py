@@ -74,6 +74,21 @@ def test_scored_stream_equals_batch(spark, tmp_path, trained, velocity):
         assert got[k]["timestamp"] == w["timestamp"] and got[k]["amount"] == w["amount"]
 
 
+def test_late_and_unfit_records_are_not_lost(spark, tmp_path, trained):
+    df, scorer = trained
+    noon = F.lit("2024-01-15").cast("timestamp")
+    early, late = df.where(F.col("trans_date_trans_time") < noon), df.where(F.col("trans_date_trans_time") >= noon)
+    got = by_id(collect(spark, tmp_path, scoring.stream_score(stream_of(spark, tmp_path, [late, early]), scorer)))
+    alone = by_id(scored_record(scorer.score(early, "stateless")))
+    assert len(got) == df.count()
+    known = {r[0] for r in late.select("cc_num").distinct().collect()}
+    for r in early.where(F.col("cc_num").isin(known)).select("trans_num").collect():
+        assert got[r[0]]["fraud_score"] == pytest.approx(alone[r[0]]["fraud_score"], abs=2e-4)
+    unfit = early.limit(3).withColumn("amt", F.lit(None).cast("double"))
+    found = collect(spark, tmp_path, scoring.rejected(stream_of(spark, tmp_path, [late.unionByName(unfit)]))).collect()
+    assert [r["missing_fields"] for r in found] == ["amt"] * 3
+
+
 def test_a_repeated_batch_replaces_its_output(spark, tmp_path, trained):
     df, scorer = trained
     batch = scored_record(scorer.score(df, "stateless"))
