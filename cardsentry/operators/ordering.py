@@ -159,9 +159,11 @@ def values_at_ranks(
             search[c, r] = (float(row["lo"]), float(row["hi"]), int(row["n"]), int(upto[at] - row["n"]))
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict[str, list[float] | None]:
+def exact_quantiles(
+    df: DataFrame, columns: list[str], probs: list[float], ends: dict[str, tuple[float, float, int]] | None = None
+) -> dict[str, list[float] | None]:
     """Exact quantiles with linear interpolation between neighbours; ``None`` for a column without values."""
-    ends = extremes(df, columns)
+    ends = ends or extremes(df, columns)
     at = {c: [(ends[c][2] - 1) * p for p in probs] for c in columns if ends[c][2]}
     ranks = {c: [f(x) for x in xs for f in (math.floor, math.ceil)] for c, xs in at.items()}
     values = values_at_ranks(df, ranks, ends)
@@ -172,13 +174,16 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> di
     return out
 
 
-def lookup(df: DataFrame, table: DataFrame, key: str, value: str, weight: str) -> DataFrame:
-    """Left-join ``table(key, value, weight)`` on ``key``. ``table`` must be materialised (its rows are counted here).
+def lookup(
+    df: DataFrame, table: DataFrame, key: str, value: str, weight: str, rows: int | None = None
+) -> DataFrame:
+    """Left-join ``table(key, value, weight)`` on ``key``. ``table`` must be materialised: its rows are counted here,
+    unless the caller knows them.
 
     ``weight`` is the number of rows behind each key when the table was fitted; it picks the keys served by broadcast
     when the whole table is too large for one.
     """
-    if table.count() <= BROADCAST_ROWS:
+    if (table.count() if rows is None else rows) <= BROADCAST_ROWS:
         return df.join(F.broadcast(table.select(key, value)), key, "left")
     heavy = table.orderBy(F.desc(weight), key).limit(HEAVY_KEYS).select(key, F.col(value).alias("_heavy"))
     tagged = df.join(F.broadcast(heavy.withColumn("_is_heavy", F.lit(True))), key, "left")

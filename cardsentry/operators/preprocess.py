@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardsentry.functions.scalar import age_years, clip_unit
-from cardsentry.operators.ordering import exact_quantiles, lookup, running_totals
+from cardsentry.operators.ordering import exact_quantiles, extremes, lookup, running_totals
 from cardsentry.schema import LABEL, RAW_NUMERIC, ROW_ID, TIME
 from cardsentry.session import materialise
 
@@ -61,21 +61,21 @@ def ordinal_codes(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def apply_codes(df: DataFrame, codes: DataFrame, columns: list[str]) -> DataFrame:
     """Replace texts by their codes; unseen texts become -1. ``codes`` must be materialised."""
+    rows = {r["column"]: r["count"] for r in codes.groupBy("column").count().collect()}
     for c in columns:
         mine = codes.where(F.col("column") == c).select(F.col("value").alias(c), F.col("code").alias("_code"), "n")
-        df = lookup(df, mine, c, "_code", "n").withColumn(c, F.coalesce("_code", F.lit(-1))).drop("_code")
+        df = lookup(df, mine, c, "_code", "n", rows.get(c, 0)).withColumn(c, F.coalesce("_code", F.lit(-1))).drop("_code")
     return df
 
 
 def indicator_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """Distinct values per column, sorted. Every level becomes a column, so their number is checked first."""
-    out = {}
-    for c in columns:
-        levels = df.where(F.col(c).isNotNull()).select(c).distinct().limit(MAX_INDICATORS + 1).collect()
-        if len(levels) > MAX_INDICATORS:
-            raise ValueError(f"{c} has more than {MAX_INDICATORS} values; code it by position instead")
-        out[c] = sorted(r[0] for r in levels)
-    return out
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
+    pairs = df.select(F.explode(cells).alias("c")).select("c.*").where("value IS NOT NULL").distinct()
+    found = pairs.limit(MAX_INDICATORS + 1).collect()
+    if len(found) > MAX_INDICATORS:
+        raise ValueError(f"{columns} have more than {MAX_INDICATORS} values; code them by position instead")
+    return {c: sorted(r["value"] for r in found if r["column"] == c) for c in columns}
 
 
 def indicators(df: DataFrame, levels: dict[str, list[str]]) -> dict:
@@ -125,13 +125,14 @@ class Preprocessor:
     @staticmethod
     def fit(train: DataFrame) -> Preprocessor:
         data = Preprocessor.prepare(train)
-        quartiles = exact_quantiles(data, SCALED, [0.25, 0.5, 0.75])
+        ends = extremes(data.withColumn("_all", F.lit(1)), [*SCALED, "_all"])
+        rows = ends.pop("_all")[2]
+        quartiles = exact_quantiles(data, SCALED, [0.25, 0.5, 0.75], ends)
         medians = {c: q[1] if q else 0.0 for c, q in quartiles.items()}
         scales = {c: _scale(q) for c, q in quartiles.items()}
-        holes = data.agg(*[F.count_if(clean(c).isNull()).alias(c) for c in SCALED]).first().asDict()
         data = fill_unknown(impute(data, medians), CODED + INDICATED)
         # only where values were filled in do the quartiles differ from those of the known values
-        scales |= fit_robust_scale(data, [c for c in SCALED if holes[c]])
+        scales |= fit_robust_scale(data, [c for c in SCALED if ends[c][2] < rows])
         codes = materialise(ordinal_codes(data, CODED))
         return Preprocessor(medians, codes, indicator_levels(data, INDICATED), scales)
 

@@ -15,7 +15,7 @@ from cardsentry.plans.catalog_scoring import (
     BEST_COST, BEST_F1, BLEND, BLENDED, COST_TABLE, COSTS, EVALUATION, GRID, LONG, METRICS, MODELS, POINTS, THIRDS, TIER,
 )
 from cardsentry.schema import TIME
-from cardsentry.session import scratch_path, small_table
+from cardsentry.session import materialise, scratch_path, small_table
 from cardsentry.sources import files
 from cardsentry.sources.tables import transactions
 
@@ -71,7 +71,8 @@ def _sides(spark, sf_dir):
 
 def _fitted(spark, sf_dir):
     train, test = _sides(spark, sf_dir)
-    return D.DriftBaseline.fit(train, FEATURES, "blend"), test
+    # joined and derived columns that several passes read
+    return D.DriftBaseline.fit(materialise(train), FEATURES, "blend"), materialise(test)
 
 
 def _edge_rows(spark, edges):
