@@ -40,14 +40,14 @@ def admit(times: np.ndarray, sent: list[int], limit: int, window: int) -> list[i
     return out
 
 
-def _admit_batches(batches: Iterator[pd.DataFrame], entry: dict, limit: int, window: int):
+def _admit_batches(batches: Iterator[pd.DataFrame], entry: dict, initial: dict, limit: int, window: int):
     """Yield (chunk, channel, sent times, admitted rows) per batch and channel; rows come in channel and time order."""
     channel, sent = None, []
     for batch in batches:
         for (chunk, name), part in batch.groupby(["_chunk", "_channel"], sort=False):
             if name != channel:
                 known = entry.get(int(chunk))
-                sent = list(known[1]) if known and known[0] == name else []
+                sent = list(known[1] if known and known[0] == name else initial.get(name, []))
                 channel = name
             kept = part.iloc[admit(part["_us"].to_numpy(), sent, limit, window)]
             yield int(chunk), name, list(sent), kept
@@ -61,8 +61,10 @@ def rate_limited_alerts(
     channel: Column | None = None,
     limit: int = MAX_PER_WINDOW,
     seconds: float = WINDOW_SECONDS,
+    initial: dict[str, list[int]] | None = None,
 ) -> DataFrame:
     """The alerts that are sent: one goes out if fewer than ``limit`` were *sent* in the window before it.
+    ``initial`` holds the last sent times of channels that were active before.
 
     The rule is sequential along time. To keep any one channel out of a single task, the alerts are cut into time
     chunks that run in parallel. A chunk depends on the chunks before it only through the last ``limit`` sent times, so
@@ -70,7 +72,7 @@ def rate_limited_alerts(
     changes. A pause of one window makes the guess right at once; the first wrong chunk is always settled per round, so
     the end state is exact. The driver holds ``limit`` numbers per chunk.
     """
-    window = int(seconds * 1_000_000)
+    window, initial = int(seconds * 1_000_000), initial or {}
     tagged = alerts.withColumns({"_channel": channel if channel is not None else F.lit(""), "_us": us})
     ranged = tagged.repartitionByRange("_channel", "_us", row_id).sortWithinPartitions("_channel", "_us", row_id)
     frozen = materialise(ranged.withColumn("_chunk", F.spark_partition_id()))
@@ -84,7 +86,7 @@ def rate_limited_alerts(
 
         def run(batches, known=known):
             last = {}
-            for chunk, name, sent, _ in _admit_batches(batches, known, limit, window):
+            for chunk, name, sent, _ in _admit_batches(batches, known, initial, limit, window):
                 last[chunk] = (name, sent)
             yield pd.DataFrame([(c, n, s) for c, (n, s) in last.items()], columns=["chunk", "channel", "sent"])
 
@@ -97,7 +99,7 @@ def rate_limited_alerts(
         entry = wanted
 
     def keep(batches, known=entry):
-        for _, _, _, kept in _admit_batches(batches, known, limit, window):
+        for _, _, _, kept in _admit_batches(batches, known, initial, limit, window):
             yield kept.drop(columns=["_chunk", "_channel", "_us"])
 
     return frozen.mapInPandas(keep, alerts.schema)

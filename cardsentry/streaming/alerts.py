@@ -1,52 +1,62 @@
-"""The alert rate limit on a stream: per channel the state is the last sent times, at most ``limit`` of them."""
+"""The alert rate limit on a stream. Every micro-batch runs the batch operator, so that a busy channel is spread over all
+tasks, and continues from the last sent times of each channel, which are kept in a small table per batch."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from cardsentry.operators.alerts import MAX_PER_WINDOW, WINDOW_SECONDS, admit
-from cardsentry.streaming.run import use_rocksdb
+from cardsentry.operators.alerts import MAX_PER_WINDOW, WINDOW_SECONDS, rate_limited_alerts
+from cardsentry.streaming.run import batch_folder, latest_per_key, read_batches
 
+MAX_CHANNELS = 100_000
 
-class LimitProcessor(StatefulProcessor):
-    def __init__(self, limit: int, window: int, row_id: str) -> None:
-        self.limit, self.window, self.row_id = limit, window, row_id
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.sent = handle.getValueState("sent", "times array<long>")
+def _sent_before(spark: SparkSession, path: str, batch_id: int) -> dict[str, list[int]]:
+    """The last sent times per channel as of the batches before this one."""
+    try:
+        table = read_batches(spark, path).where(F.col("batch") < batch_id)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    rows = latest_per_key(table, ["channel"]).limit(MAX_CHANNELS + 1).collect()
+    if len(rows) > MAX_CHANNELS:
+        raise ValueError(f"more than {MAX_CHANNELS} alert channels")
+    return {r["channel"]: list(r["times"]) for r in rows}
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        sent = [int(t) for t in self.sent.get()[0]] if self.sent.exists() else []
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["event_us", self.row_id], kind="stable")
-        kept = admit(batch["event_us"].to_numpy(), sent, self.limit, self.window)
-        self.sent.update((sent,))
-        yield batch.iloc[kept]
 
-    def close(self) -> None:
-        pass
-
-
-def stream_rate_limit(
-    alerts: DataFrame,
+def rate_limit_sink(
+    sent_path: str,
+    state_path: str,
     us: Column,
     row_id: str,
     *,
     channel: Column | None = None,
     limit: int = MAX_PER_WINDOW,
     seconds: float = WINDOW_SECONDS,
-) -> DataFrame:
-    """The alerts of a stream that are sent, channel by channel; ``alerts`` are already reduced to high scores."""
-    use_rocksdb(alerts.sparkSession)
-    tagged = alerts.withColumns({"channel_key": channel if channel is not None else F.lit(""), "event_us": us})
-    limited = tagged.groupBy("channel_key").transformWithStateInPandas(
-        statefulProcessor=LimitProcessor(limit, int(seconds * 1_000_000), row_id),
-        outputStructType=tagged.schema,
-        outputMode="Append",
-        timeMode="None",
-    )
-    return limited.select(*alerts.columns)
+) -> Callable[[DataFrame, int], None]:
+    """Batch sink: writes the alerts that are sent, then the channels' last sent times. Both belong to the batch, so a
+    repeated batch starts from the same state and replaces its output."""
+    name = channel if channel is not None else F.lit("")
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = _sent_before(spark, state_path, batch_id)
+        sent = rate_limited_alerts(batch, us, row_id, channel=channel, limit=limit, seconds=seconds, initial=before)
+        sent.write.mode("overwrite").parquet(batch_folder(sent_path, batch_id))
+
+        # the limit itself bounds how many alerts a channel has sent
+        written = spark.read.schema(batch.schema).parquet(batch_folder(sent_path, batch_id))
+        newest = Window.partitionBy("channel").orderBy(F.desc("us"), F.desc("id"))
+        last = written.select(name.alias("channel"), us.alias("us"), F.col(row_id).alias("id"))
+        last = last.withColumn("rank", F.row_number().over(newest)).where(F.col("rank") <= limit)
+        fresh = last.groupBy("channel").agg(F.sort_array(F.collect_list("us")).alias("fresh")).collect()
+        times = [(r["channel"], (before.get(r["channel"], []) + list(r["fresh"]))[-limit:]) for r in fresh]
+        state = spark.createDataFrame(times, "channel string, times array<long>")
+        state.coalesce(1).write.mode("overwrite").parquet(batch_folder(state_path, batch_id))
+
+    return each

@@ -10,7 +10,9 @@ from cardsentry.operators.velocity import velocity_features
 from cardsentry.plans.training import train
 from cardsentry.sources.tables import transactions
 from cardsentry.streaming import run, scoring
+from cardsentry.streaming.alerts import rate_limit_sink
 from cardsentry.streaming.velocity import stream_velocity
+from tests.test_monitoring import limited_by_hand
 from tests.test_velocity import T0, edge_rows, frame, random_rows
 
 
@@ -89,6 +91,21 @@ def test_late_and_unfit_records_are_not_lost(spark, tmp_path, trained):
     assert [r["missing_fields"] for r in found] == ["amt"] * 3
 
 
+def test_rate_limit_continues_over_batches_and_repeats(spark, tmp_path):
+    rng = random.Random(9)
+    rows, us = [], 0
+    for i in range(600):
+        us += rng.randrange(0, 9_000_000)
+        rows.append((rng.choice("ab"), us, f"r{i:04d}"))
+    schema = "channel string, us long, id string"
+    sent, state = str(tmp_path / "sent"), str(tmp_path / "state")
+    sink = rate_limit_sink(sent, state, F.col("us"), "id", channel=F.col("channel"))
+    for b in (0, 1, 1, 2):  # the second batch is delivered twice
+        sink(spark.createDataFrame(rows[b * 200 : (b + 1) * 200], schema), b)
+    got = {r["id"] for r in run.read_batches(spark, sent).collect()}
+    assert got == limited_by_hand(rows, 10, 60_000_000)
+
+
 def test_a_repeated_batch_replaces_its_output(spark, tmp_path, trained):
     df, scorer = trained
     batch = scored_record(scorer.score(df, "stateless"))
