@@ -87,6 +87,11 @@ def test_edges_and_random_histories(spark, hot_card_rows):
     check(spark, random_rows(600, 8, 3), hot_card_rows=hot_card_rows)
 
 
+def test_too_many_hot_cards_for_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr("cardsentry.operators.velocity.BROADCAST_ROWS", 1)
+    check(spark, edge_rows() + [(f"r{r[0]}", r[1] + 100, *r[2:]) for r in random_rows(300, 5, 11)], hot_card_rows=20)
+
+
 def test_missing_column_is_reported(spark):
     with pytest.raises(ValueError, match="cc_num"):
         velocity_features(frame(spark, edge_rows()).drop("cc_num"))
