@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from cardsentry.plans import catalog
 from tools.compare import compare, connect
 
 
@@ -11,7 +12,7 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query(spark, con, sf_dir, name):
     ok, message, _ = compare(spark, con, name, sf_dir)
     assert ok, message
