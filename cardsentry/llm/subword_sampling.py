@@ -11,7 +11,8 @@ share a beginning and leave it by other edges than those already taken. The larg
 itself Gumbel distributed around the log of the set's mass, cut off at the value of the set it was split from, so that
 bound is drawn exactly and not estimated. The search takes the set with the largest bound, samples its best path from
 the lattice, emits it, and splits the rest at every later place. The bound that leads after k paths is the threshold t of
-the inclusion score 1 - exp(-exp(log p - t)): the probability that a path is among the samples, given t.
+the inclusion score 1 - exp(-exp(log p - t)): the probability that a path is among the samples, given t. Scores of long texts
+are too small for a number, so their logarithms are returned.
 
 No piece goes on from other characters into a space, and none holds a line end or tab beside other characters, so a text
 is a chain of the lattices of its words ("units": spaces and what follows them, or a line end). Their conditional edge probabilities are kept for words seen often. All random numbers come from
@@ -129,10 +130,12 @@ class Lattices:
         """The states before the units; a unit of n characters has the n states from there on."""
         if self.used[1] > KNOWN_EDGES:
             self.clear()
-        new = [*{u for u in units if u not in self.state_of}]
+        known = self.state_of
+        found = np.array([known.get(u, -1) for u in units], np.int64)
+        absent = np.flatnonzero(found < 0).tolist()
         size = 0
         some: list[str] = []
-        for u in new:
+        for u in {units[i] for i in absent}:
             some.append(u)
             size += len(u)
             if size > TOGETHER // 4:
@@ -140,7 +143,8 @@ class Lattices:
                 some, size = [], 0
         if some:
             self.add(some)
-        return np.fromiter(map(self.state_of.__getitem__, units), np.int64, len(units))
+        found[absent] = [known[units[i]] for i in absent]
+        return found
 
     def add(self, units: list[str]) -> None:
         """Sum the paths from every place to the unit's end, all units side by side, and from that the edges."""
@@ -317,10 +321,17 @@ class Search:
         return True
 
 
+def log_inclusion(ahead: float) -> float:
+    """log(1 - exp(-exp(ahead))), also where the score itself is too small for a number."""
+    if ahead > 5:
+        return 0.0
+    return ahead if ahead < -30 else float(np.log(-np.expm1(-np.exp(ahead))))
+
+
 def segmentations(
     texts: list[str], seeds: list[int], samples: int, lattices: Lattices
 ) -> Iterator[list[tuple[np.ndarray, float, float, float]]]:
-    """Per text its samples (edge numbers, log p, perturbed value, inclusion score), the largest value first."""
+    """Per text its samples (edge numbers, log p, perturbed value, log of the inclusion score), the largest value first."""
     units = [UNITS.findall(t) for t in texts]
     flat = [u for us in units for u in us]
     states = lattices.states(flat)
@@ -348,8 +359,7 @@ def segmentations(
         out = []
         for path in search.found:
             log = path["log"]
-            score = -np.expm1(-np.exp(min(log - threshold, 50.0))) if np.isfinite(threshold) else 1.0
-            out.append((arrays[1][path["rows"]], log, path["value"], float(score)))
+            out.append((arrays[1][path["rows"]], log, path["value"], log_inclusion(log - threshold)))
         yield out
 
 
@@ -357,15 +367,15 @@ def sample_segmentations(
     docs: DataFrame, key: str = "doc_id", path: str = MODEL, samples: int = SAMPLES, alpha: float = ALPHA, seed: int = 5
 ) -> DataFrame:
     """One row per row of ``docs(key, text)`` and sample: key, sample (1 for the largest perturbed value), ids,
-    n_tokens, log_prob, perturbed, inclusion, round_trip (the ids decode to the normal form of the text).
+    n_tokens, log_prob, perturbed, log_inclusion, round_trip (the ids decode to the normal form of the text).
 
-    Texts of one possible segmentation, or of fewer than ``samples``, give all they have, with inclusion 1. Null and
+    Texts of one possible segmentation, or of fewer than ``samples``, give all they have, with log_inclusion 0. Null and
     empty texts give one sample without ids, of probability 1. Rows with equal keys and texts are sampled alike; null
     keys too. An empty table gives an empty one; other columns are ignored.
     """
     with open(path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
-    names = [key, "sample", "ids", "n_tokens", "log_prob", "perturbed", "inclusion", "round_trip"]
+    names = [key, "sample", "ids", "n_tokens", "log_prob", "perturbed", "log_inclusion", "round_trip"]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(shared.value, alpha)
@@ -383,7 +393,7 @@ def sample_segmentations(
                 ids, rows, scores, flags = [], [], [], []
                 for k, found in enumerate(segmentations(texts[i:j], seeds[i:j], samples, lattices)):
                     spelled = texts[i + k].encode()
-                    for n, (edges, *numbers) in enumerate(found or [(np.zeros(0, np.int64), 0.0, 0.0, 1.0)]):
+                    for n, (edges, *numbers) in enumerate(found or [(np.zeros(0, np.int64), 0.0, 0.0, 0.0)]):
                         own = vocabulary.ids_of(edges)
                         ids.append(own)
                         rows.append((i + k, n + 1))
@@ -408,7 +418,7 @@ def sample_segmentations(
     kind = docs.schema[key].dataType.simpleString()
     schema = (
         f"`{key}` {kind}, sample int, ids array<int>, n_tokens long, log_prob double, perturbed double, "
-        "inclusion double, round_trip boolean"
+        "log_inclusion double, round_trip boolean"
     )
     own: Column = F.xxhash64(F.col(key), F.lit(seed))
     return docs.select(F.col(key).alias("key"), own.alias("seed"), "text").mapInArrow(run, schema)

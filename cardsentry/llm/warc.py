@@ -211,14 +211,16 @@ def look_up(keys: DataFrame, directory: DataFrame, index: str, archives: str) ->
     # it, and to those before it that the same key runs through
     asked = wanted.select(F.col("k").alias("first"), F.lit(1).alias("asked"), *(F.lit(None).cast(t).alias(c) for c, t in SPOT))
     marks = directory.select("first", F.lit(0).alias("asked"), *(c for c, _ in SPOT))
-    merged = asked.unionByName(marks).repartitionByRange("first").withColumn("part", F.spark_partition_id())
+    # the number is given, as a key is small but stands for a record that is read
+    n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    merged = asked.unionByName(marks).repartitionByRange(n, "first").withColumn("part", F.spark_partition_id())
     merged = written(merged, "lookups")
     # the block that reaches into a range from the range before: the last one that starts below it
     last = F.max(F.when(F.col("asked") == 0, F.struct("first", *(c for c, _ in SPOT)))).alias("b")
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     carried = merged.groupBy("part").agg(last).select("part", F.max("b").over(earlier).alias("b")).where("b IS NOT NULL")
     carried = carried.select("b.first", F.lit(0).alias("asked"), *(f"b.{c}" for c, _ in SPOT), "part")
-    side = merged.unionByName(carried).repartition("part").sortWithinPartitions("part", "first", "asked", "file", "offset")
+    side = merged.unionByName(carried).repartition(n, "part").sortWithinPartitions("part", "first", "asked", "file", "offset")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks, files = Ranges(*opened(index)), Ranges(*opened(archives))
