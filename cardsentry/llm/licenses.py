@@ -5,9 +5,14 @@ normalised (lower case, everything but letters and digits of ASCII to single spa
 bigrams. Two sets of a and b bigrams can only reach a Dice coefficient of t if a lies between b t / (2 - t) and
 b (2 - t) / t. So a unit meets those templates alone that admit its size: an equality join on the size with the small
 table of (size, template), after which the bigrams in common are counted.
+
+It also follows that they have at least b t / (2 - t) bigrams in common. So a unit has one of any words that more than the
+rest of the template's bigrams hold; a text without any such word of any template is left before its bigrams are made.
 """
 
 import math
+import re
+from collections import defaultdict
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +21,7 @@ from pyspark.sql import functions as F
 from cardsentry.session import small_table
 
 DICE = 0.8
+VOWEL = re.compile("[aeiouy]")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Wording of public licence notices.
@@ -104,6 +110,21 @@ def admitted(templates: list[tuple[str, str]], dice: float) -> list[tuple[int, i
     return out
 
 
+def telling_words(templates: list[tuple[str, str]], dice: float) -> list[str]:
+    """For every template its longest words, as many as more bigrams hold than may be missing; of equally long ones first
+    those without a vowel, which are rarer."""
+    out: set[str] = set()
+    for _, text in templates:
+        left = bigrams_of(text)
+        b = len(left)
+        for word in sorted({w for pair in left for w in pair.split()}, key=lambda w: (-len(w), bool(VOWEL.search(w)), w)):
+            if b - len(left) > b - b * dice / (2 - dice) + 1e-9:
+                break
+            out.add(word)
+            left = {pair for pair in left if word not in pair.split()}
+    return sorted(out)
+
+
 def units(text: Column) -> Column:
     """Lines, paragraphs and the whole, each once: what is equal to a smaller unit is not repeated."""
     return F.array_distinct(
@@ -124,7 +145,12 @@ def scan(docs: DataFrame, dice: float = DICE, templates: list[tuple[str, str]] |
     bags = [F.array(*map(F.lit, sorted(bigrams_of(t)))) for _, t in templates]
     # units that hold too few words for any template are left before their bigrams are made
     least = min((len(bigrams_of(t)) for _, t in templates), default=0) * dice / (2 - dice)
-    each = docs.select("doc_id", F.explode(units(F.col("text"))).alias("unit"))
+    marks = defaultdict(list)
+    for word in telling_words(templates, dice):
+        marks[word[0]].append(word[1:])
+    pattern = "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in marks.items())  # one branch a letter
+    told = lambda c: F.translate(F.col(c), UPPER, LOWER).rlike(pattern or "$^")
+    each = docs.where(told("text")).select("doc_id", F.explode(units(F.col("text"))).alias("unit")).where(told("unit"))
     words = each.select("doc_id", F.split(normal(F.col("unit")), " ").alias("words")).where(F.size("words") > least)
     sets = words.select("doc_id", bigrams(F.col("words")).alias("own")).withColumn("size", F.size("own"))
     near = sets.join(F.broadcast(sizes), "size")  # a few hundred rows, whatever the documents
