@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +23,7 @@ from cardsentry.llm.common import batches, mix64, texts_of
 BUCKETS = 1 << 17
 NGRAMS = (3, 4, 5)
 DIMENSIONS = 8
-SAMPLE = 6_000  # labelled rows that the model is fitted to, taken in the order of a hash of the id
+SAMPLE = 4_000  # labelled rows that the model is fitted to, taken in the order of a hash of the id
 EPOCHS = 4
 KNOWN_WORDS = 200_000
 THRESHOLD = 0.3
@@ -139,13 +140,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityMode
     # at most `sample` small rows are broadcast
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
     schema = "doc_id long, label int, ids binary, shares binary"
-    got = texts.select(F.col("doc_id").cast("long"), "label", "text").mapInArrow(run, schema).toPandas()
-    if got.empty:
+    got = texts.select(F.col("doc_id").cast("long"), "label", "text").mapInArrow(run, schema).toArrow()
+    if not got.num_rows:
         return QualityModel(np.zeros(BUCKETS), 0.0)
-    got = got.assign(size=got["ids"].map(len)).sort_values(["doc_id", "size"], kind="stable").drop_duplicates("doc_id")
-    ids = [np.frombuffer(x, np.int32) for x in got["ids"]]
-    shares = [np.frombuffer(x, np.float32) for x in got["shares"]]
-    return train(ids, shares, got["label"].to_numpy())
+    place = np.lexsort((pc.binary_length(got["ids"]).to_numpy(), got["doc_id"].to_numpy()))
+    first = place[np.unique(got["doc_id"].to_numpy()[place], return_index=True)[1]]  # one text of an id that repeats
+    ids = [np.frombuffer(got["ids"][k].as_buffer(), np.int32) for k in first.tolist()]
+    shares = [np.frombuffer(got["shares"][k].as_buffer(), np.float32) for k in first.tolist()]
+    return train(ids, shares, got["label"].to_numpy()[first])
 
 
 def score(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
