@@ -5,13 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardsentry.session import materialise
-
-# An alert needs a score above the limit; at most ten are sent in any minute; the last hundred are kept.
+# Fixed values, also the texts and field names of the messages below: an alert needs a score above the limit; at most ten are sent in any minute; the last hundred are kept.
 ALERT_ABOVE = 0.7
 MAX_PER_WINDOW, WINDOW_SECONDS = 10, 60
 HISTORY = 100
@@ -40,19 +38,6 @@ def admit(times: np.ndarray, sent: list[int], limit: int, window: int) -> list[i
     return out
 
 
-def _admit_batches(batches: Iterator[pd.DataFrame], entry: dict, initial: dict, limit: int, window: int):
-    """Yield (chunk, channel, sent times, admitted rows) per batch and channel; rows come in channel and time order."""
-    channel, sent = None, []
-    for batch in batches:
-        for (chunk, name), part in batch.groupby(["_chunk", "_channel"], sort=False):
-            if name != channel:
-                known = entry.get(int(chunk))
-                sent = list(known[1] if known and known[0] == name else initial.get(name, []))
-                channel = name
-            kept = part.iloc[admit(part["_us"].to_numpy(), sent, limit, window)]
-            yield int(chunk), name, list(sent), kept
-
-
 def rate_limited_alerts(
     alerts: DataFrame,
     us: Column,
@@ -61,48 +46,61 @@ def rate_limited_alerts(
     channel: Column | None = None,
     limit: int = MAX_PER_WINDOW,
     seconds: float = WINDOW_SECONDS,
-    initial: dict[str, list[int]] | None = None,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """The alerts that are sent: one goes out if fewer than ``limit`` were *sent* in the window before it.
-    ``initial`` holds the last sent times of channels that were active before.
+    ``before(channel, times)`` holds the last sent times of channels that were active earlier.
+
+    The rule is sequential along time, but a pause of a window forgets everything before it. A channel is therefore cut
+    where a whole window of the clock has no alert; the segments between are tasks' work side by side, each in one pass
+    over its sorted rows that keeps ``limit`` numbers. The work is linear in the alerts. One unbroken segment is one
+    sequential run, which binary search shortens to what it sends; a row more or less costs it a sort.
 
-    The rule is sequential along time. To keep any one channel out of a single task, the alerts are cut into time
-    chunks that run in parallel. A chunk depends on the chunks before it only through the last ``limit`` sent times, so
-    those are guessed (empty at first), all chunks run, and the chunks whose guess proved wrong run again until nothing
-    changes. A pause of one window makes the guess right at once; the first wrong chunk is always settled per round, so
-    the end state is exact. The driver holds ``limit`` numbers per chunk.
+    A null channel is a channel. Alerts without a time come first, at one moment.
     """
-    window, initial = int(seconds * 1_000_000), initial or {}
-    tagged = alerts.withColumns({"_channel": channel if channel is not None else F.lit(""), "_us": us})
-    ranged = tagged.repartitionByRange("_channel", "_us", row_id).sortWithinPartitions("_channel", "_us", row_id)
-    frozen = materialise(ranged.withColumn("_chunk", F.spark_partition_id()))
-    narrow = frozen.select("_chunk", "_channel", "_us")
-
-    entry: dict[int, tuple[str, list[int]]] = {}
-    exits: dict[int, tuple[str, list[int]]] = {}
-    todo: set[int] | None = None
-    while todo is None or todo:
-        known = dict(entry)
-
-        def run(batches, known=known):
-            last = {}
-            for chunk, name, sent, _ in _admit_batches(batches, known, initial, limit, window):
-                last[chunk] = (name, sent)
-            yield pd.DataFrame([(c, n, s) for c, (n, s) in last.items()], columns=["chunk", "channel", "sent"])
-
-        part = narrow if todo is None else narrow.where(F.col("_chunk").isin(sorted(todo)))
-        for r in part.mapInPandas(run, "chunk int, channel string, sent array<long>").collect():
-            exits[r["chunk"]] = (r["channel"], list(r["sent"]))
-        order = sorted(exits)
-        wanted = {later: exits[earlier] for earlier, later in zip(order, order[1:], strict=False)}
-        todo = {c for c in wanted if wanted[c] != entry.get(c)}
-        entry = wanted
-
-    def keep(batches, known=entry):
-        for _, _, _, kept in _admit_batches(batches, known, initial, limit, window):
-            yield kept.drop(columns=["_chunk", "_channel", "_us"])
-
-    return frozen.mapInPandas(keep, alerts.schema)
+    window = int(seconds * 1_000_000)
+    never = F.lit(-(1 << 60))
+    name = F.lit("") if channel is None else channel
+    known = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("null"))
+    columns = alerts.columns
+    row = F.struct(*columns)
+    new = alerts.select(
+        known(name).alias("channel"),
+        F.coalesce(us, never).alias("us"),
+        F.lit(False).alias("sent"),
+        F.col(row_id).cast("string").alias("id"),
+        row.alias("row"),
+    )
+    if before is not None:
+        old = before.select(known(F.col("channel")).alias("channel"), F.explode("times").alias("us"))
+        new = new.unionByName(old.withColumn("sent", F.lit(True)), allowMissingColumns=True)
+    slot = F.floor(F.col("us") / window)
+    slots = new.select("channel", slot.alias("slot")).distinct()
+    along = Window.partitionBy("channel").orderBy("slot")
+    segments = slots.withColumn("segment", F.col("slot") - F.row_number().over(along))
+    cut = new.withColumn("slot", slot).join(segments, ["channel", "slot"])
+    in_order = cut.repartition("channel", "segment").sortWithinPartitions("channel", "segment", F.desc("sent"), "us", "id")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, times = None, []
+        for batch in batches:
+            names, segment = batch["channel"].to_pylist(), batch["segment"].to_pylist()
+            at, sent = batch["us"].to_numpy(), batch["sent"].to_numpy(zero_copy_only=False)
+            ends = [i for i in range(1, len(names)) if (names[i], segment[i]) != (names[i - 1], segment[i - 1])]
+            picked = [np.zeros(0, np.int64)]
+            for low, high in zip([0, *ends], [*ends, len(names)], strict=True):
+                if low == high:
+                    continue
+                if (names[low], segment[low]) != key:
+                    key, times = (names[low], segment[low]), []
+                times.extend(at[low:high][sent[low:high]].tolist())
+                del times[:-limit]
+                fresh = low + np.flatnonzero(~sent[low:high])
+                picked.append(fresh[admit(at[fresh], times, limit, window)])
+            rows = batch["row"].take(pa.array(np.concatenate(picked)))
+            yield pa.RecordBatch.from_arrays(rows.flatten(), names=columns)
+
+    return in_order.select("channel", "segment", "sent", "us", "row").mapInArrow(keep, alerts.schema)
 
 
 def _number(name: str, columns: list[str]) -> Column:
@@ -141,15 +139,25 @@ def alert_payload(scored: DataFrame) -> DataFrame:
 
 
 def drift_alert(overall: DataFrame) -> DataFrame:
-    """The alert row of a drift result, or none if the status is OK. Drift alerts are not rate-limited."""
+    """The alert row of a drift result, with text and payload, or none if the status is OK. Drift alerts are not
+    rate-limited. A column ``prediction_psi``, where it exists, is reported too."""
     status = F.upper("overall_status")
+    psi = F.col("prediction_psi") if "prediction_psi" in overall.columns else F.lit(None).cast("double")
     text = F.concat_ws(
         "\n",
         F.lit("--- DRIFT ALERT ---"),
         F.format_string("  overall_status: %s", status),
         F.format_string("  features_with_drift: %s", F.concat_ws(", ", "features_with_drift")),
+        F.when(psi.isNotNull(), F.format_string("  prediction_drift PSI: %.4f", psi)),
+    )
+    message = F.struct(
+        F.lit("drift").alias("type"),
+        status.alias("overall_status"),
+        F.col("features_with_drift"),
+        F.struct(psi.alias("psi")).alias("prediction_drift"),
     )
-    return overall.where(status.isin("WARNING", "CRITICAL")).withColumn("text", text)
+    payload = F.to_json(message, {"ignoreNullFields": "false"})
+    return overall.where(status.isin("WARNING", "CRITICAL")).withColumns({"text": text, "payload": payload})
 
 
 def alert_history(sent: DataFrame, at: str, row_id: str, keep: int = HISTORY) -> DataFrame:

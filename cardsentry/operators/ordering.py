@@ -81,19 +81,23 @@ def _number(column: str) -> Column:
 def slots(df: DataFrame, bounds: dict[str, list[float]]) -> DataFrame:
     """(i, x, slot) for every known value x of the columns: the column's number, and how many of its (ascending) bounds
     are at or below x. A binary search per value, so many bounds cost neither time nor generated code."""
-    inner = [i for i, b in enumerate(bounds.values()) if b]
     wide = df.select(*[_number(c).alias(f"x{i}") for i, c in enumerate(bounds)])
+    # all values are at or above -inf, and only inf is at inf; the search is among the finite bounds
+    finite = {i: [v for v in b if not math.isinf(v)] for i, b in enumerate(bounds.values())}
+    inner = [i for i, b in finite.items() if b]
     if inner:
-        splits = [[-math.inf, *b, math.inf] for b in bounds.values() if b]
+        splits = [[-math.inf, *finite[i], math.inf] for i in inner]
         names = ([f"x{i}" for i in inner], [f"slot{i}" for i in inner])
         wide = Bucketizer(inputCols=names[0], outputCols=names[1], splitsArray=splits, handleInvalid="keep").transform(wide)
+
+    def slot(i: int, own: list[float]) -> Column:
+        found = F.col(f"slot{i}").cast("int") if i in inner else F.lit(0)
+        at_end = F.when(F.col(f"x{i}") == math.inf, F.lit(sum(v == math.inf for v in own))).otherwise(F.lit(0))
+        return (found + F.lit(sum(v == -math.inf for v in own)) + at_end).cast("int")
+
     cells = [
-        F.struct(
-            F.lit(i).alias("i"),
-            F.col(f"x{i}").alias("x"),
-            (F.col(f"slot{i}").cast("int") if i in inner else F.lit(0)).alias("slot"),
-        )
-        for i in range(len(bounds))
+        F.struct(F.lit(i).alias("i"), F.col(f"x{i}").alias("x"), slot(i, b).alias("slot"))
+        for i, b in enumerate(bounds.values())
     ]
     return wide.select(F.explode(F.array(*cells)).alias("c")).select("c.*").where("x IS NOT NULL")
 
@@ -112,6 +116,10 @@ def values_at_ranks(
 
     Each pass over the table looks at the interval of every rank still searched. While the intervals hold many rows they
     are cut into buckets; once they hold few, their values are listed. Either way a pass returns a bounded table.
+
+    The first pass cuts by sign and power of two, which puts infinities, zero and numbers of any size apart; after it an
+    interval spans a factor of two at most. Every later one cuts an interval into equal parts, and goes on between the
+    smallest and the largest value that are there. So few passes are enough whatever the values are: ten bits each.
     """
     wanted = {c: sorted(set(r)) for c, r in ranks.items() if r}
     ends = ends or (extremes(df, list(wanted)) if wanted else {})
@@ -137,12 +145,18 @@ def values_at_ranks(
             starts.setdefault(c, []).append(lo)
         first = [next(i for i, s in enumerate(spans) if s[0] == c) for c in starts]
         lows, highs = [s[1] for s in spans], [s[2] for s in spans]
-        steps = [(hi - lo) / buckets for _, lo, hi, _ in spans]
+        # within a factor of two no difference overflows; wider intervals are cut by powers of two
+        wide = [not 0 < max(abs(lo), abs(hi)) <= 2 * min(abs(lo), abs(hi)) or (lo < 0) != (hi < 0) for _, lo, hi, _ in spans]
+        steps = [1.0 if w else (hi - lo) / buckets for w, (_, lo, hi, _) in zip(wide, spans, strict=True)]
         x, span = F.col("x"), F.col("span")
         placed = slots(df, starts).where("slot > 0")
         placed = placed.select("x", (F.element_at(F.lit(first), F.col("i") + 1) + F.col("slot")).alias("span"))
-        bucket = F.floor(F.try_divide(x - F.element_at(F.lit(lows), span), F.element_at(F.lit(steps), span)))
-        bucket = F.coalesce(F.least(bucket, F.lit(buckets - 1)).cast("double"), x)
+        size = F.abs(x)
+        power = F.when(size == math.inf, F.lit(1100.0)).when(size > 0, F.floor(F.log2(size)).cast("double"))
+        power = F.signum(x) * (F.coalesce(power, F.lit(0.0)) + 1200)  # zero gives 0; the smallest number has power -1074
+        part = F.floor(F.try_divide(x - F.element_at(F.lit(lows), span), F.element_at(F.lit(steps), span)))
+        part = F.coalesce(F.least(part, F.lit(buckets - 1)).cast("double"), x)
+        bucket = F.when(F.element_at(F.lit(wide), span), power).otherwise(part)
         counted = (
             placed.where(x <= F.element_at(F.lit(highs), span))
             .groupBy((span - 1).alias("span"), (x if few else bucket).alias("bucket"))

@@ -18,7 +18,6 @@ SCALED = [*RAW_NUMERIC, "age"]
 CODED = ["merchant", "city", "job", "state"]
 INDICATED = ["category", "gender"]
 UNKNOWN = "unknown"
-MAX_INDICATORS = 5_000
 
 
 def drop_columns(df: DataFrame, columns: list[str] = DROPPED) -> DataFrame:
@@ -69,12 +68,11 @@ def apply_codes(df: DataFrame, codes: DataFrame, columns: list[str]) -> DataFram
 
 
 def indicator_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Distinct values per column, sorted. Every level becomes a column, so their number is checked first."""
+    """Distinct values per column, sorted. Every level becomes a column of its own; where there are too many for that,
+    ``sparse_indicators`` holds the same in one column."""
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
     pairs = df.select(F.explode(cells).alias("c")).select("c.*").where("value IS NOT NULL").distinct()
-    found = pairs.limit(MAX_INDICATORS + 1).collect()
-    if len(found) > MAX_INDICATORS:
-        raise ValueError(f"{columns} have more than {MAX_INDICATORS} values; code them by position instead")
+    found = pairs.collect()
     return {c: sorted(r["value"] for r in found if r["column"] == c) for c in columns}
 
 
@@ -85,6 +83,19 @@ def indicators(df: DataFrame, levels: dict[str, list[str]]) -> dict:
     }
 
 
+def sparse_indicators(df: DataFrame, codes: DataFrame, columns: list[str]) -> DataFrame:
+    """Add ``<column>_indicator``, a map of the one position that is 1, or an empty map for an unseen value: indicators of
+    any number of levels. ``codes`` are those of ``ordinal_codes``."""
+    coded = apply_codes(df.withColumns({f"_{c}": F.col(c) for c in columns}), codes, columns)
+    cells = {
+        f"{c}_indicator": F.when(F.col(c) >= 0, F.create_map(F.col(c).cast("long"), F.lit(1.0))).otherwise(
+            F.create_map().cast("map<bigint,double>")
+        )
+        for c in columns
+    }
+    return coded.withColumns(cells).withColumns({c: F.col(f"_{c}") for c in columns}).select(*df.columns, *cells)
+
+
 def _scale(quartiles: list[float] | None) -> tuple[float, float]:
     low, mid, high = quartiles or (0.0, 0.0, 0.0)
     return mid, (high - low) or 1.0

@@ -51,11 +51,14 @@ def schema_report(df: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def dedup_first(df: DataFrame, key: str = ROW_ID, order: str | Column = "trans_date_trans_time") -> DataFrame:
-    """Keep the first row (by ``order``) of every key; null keys count as one key.
+    """Keep the first row (by ``order``) of every key; null keys count as one key, and null orders come last.
 
-    An aggregate, not a window: copies of one id are combined before the shuffle, however many there are.
+    An aggregate, not a window: copies of one id are combined before the shuffle, however many there are. The price is a
+    sort of whole rows by the key on both sides of the shuffle.
     """
-    first = F.min_by(F.struct(*df.columns), order).alias("r")
+    at = F.col(order) if isinstance(order, str) else order
+    # never null itself, or the row would not count
+    first = F.min_by(F.struct(*df.columns), F.struct(at.isNull(), at)).alias("r")
     return df.groupBy(F.col(key).alias("_key")).agg(first).select("r.*")
 
 

@@ -77,14 +77,16 @@ def _ordinary(df: DataFrame, global_std: float, row_id: str) -> DataFrame:
     ).select(*[c for c in df.columns if c != "_us"], *VELOCITY_FEATURES)
 
 
-def _hot(df: DataFrame, centre: float, global_std: float, row_id: str) -> DataFrame:
-    payload = [c for c in df.columns if c != "_us"]
-    us, x = F.col("_us"), F.col(AMOUNT).cast("double") - F.lit(float(centre))
+def _hot(df: DataFrame, global_std: float, row_id: str) -> DataFrame:
+    """``df`` carries the mean amount of each card as ``_centre``: sums run over distances from it, so that the digits of
+    a small spread around a large mean are kept."""
+    payload = [c for c in df.columns if c not in ("_us", "_centre")]
+    us, x = F.col("_us"), F.col(AMOUNT).cast("double") - F.col("_centre")
     zero = F.lit(0).cast("long")
     one = F.lit(1).cast("long")
 
     def event(t, kind, d10, d1h, d24, a24, **own):
-        nothing = {"n": zero, "s": F.lit(0.0), "q": F.lit(0.0), "at": F.lit(None).cast("long"), "x": F.lit(None).cast("double")}
+        nothing = {"n": zero, "s": F.lit(0.0), "q": F.lit(0.0), "at": F.lit(None).cast("long"), "x": F.lit(None).cast("double"), "centre": F.lit(None).cast("double")}
         own = {**nothing, **own}
         row = F.when(F.lit(kind == 1), F.struct(*payload))
         return F.struct(
@@ -98,7 +100,7 @@ def _hot(df: DataFrame, centre: float, global_std: float, row_id: str) -> DataFr
         F.col(CARD).alias("card"),
         F.explode(
             F.array(
-                event(us, 1, one, one, one, x, n=one, s=x, q=x * x, at=us, x=x),
+                event(us, 1, one, one, one, x, n=one, s=x, q=x * x, at=us, x=x, centre=F.col("_centre")),
                 event(us + frame_micros(TEN_MINUTES), 0, -one, zero, zero, F.lit(0.0)),
                 event(us + frame_micros(ONE_HOUR), 0, zero, -one, zero, F.lit(0.0)),
                 event(us + frame_micros(ONE_DAY), 0, zero, zero, -one, -x),
@@ -124,7 +126,7 @@ def _hot(df: DataFrame, centre: float, global_std: float, row_id: str) -> DataFr
         (F.col("c10") > RAPID_FIRE_ABOVE).cast("int").alias("rapid_fire_flag"),
         F.col("c1h").alias("txn_count_1h"),
         F.col("c24").alias("txn_count_24h"),
-        (F.col("s24") / F.col("c24") + F.lit(float(centre))).alias("avg_amount_24h"),
+        (F.col("s24") / F.col("c24") + F.col("centre")).alias("avg_amount_24h"),
         _zscore(F.col("x"), F.col("n_past"), mean, std, global_std).alias("amount_zscore"),
     )
 
@@ -132,29 +134,27 @@ def _hot(df: DataFrame, centre: float, global_std: float, row_id: str) -> DataFr
 def velocity_features(
     df: DataFrame, global_std: float = 1.0, *, row_id: str = ROW_ID, hot_card_rows: int = HOT_CARD_ROWS
 ) -> DataFrame:
-    """Add the six velocity features. Rows without card or time have no place in any history and are left out."""
+    """Add the six velocity features. Rows without card or time have no place in any history; they get the values of a
+    record on its own."""
     missing = [c for c in (TIME, CARD, AMOUNT) if c not in df.columns]
     if missing:
         raise ValueError(f"velocity features need the columns {missing}")
-    timed = df.where(F.col(CARD).isNotNull() & F.col(TIME).isNotNull()).withColumn("_us", micros(F.col(TIME)))
+    placed = F.col(CARD).isNotNull() & F.col(TIME).isNotNull()
+    timed = df.where(placed).withColumn("_us", micros(F.col(TIME)))
+    alone = single_row_velocity(df.where(~placed))
 
     # reads the card and amount columns only, combines before the shuffle
-    per_card = timed.groupBy(CARD).agg(F.count(F.lit(1)).alias("n"), F.sum(AMOUNT).alias("amount"))
-    hot = F.col("n") > hot_card_rows
-    size = per_card.agg(
-        F.count_if(hot).alias("cards"),
-        F.sum(F.when(hot, F.col("amount"))).alias("amount"),
-        F.sum(F.when(hot, F.col("n"))).alias("n"),
-    ).first()
-    if not size["cards"]:
-        return _ordinary(timed, global_std, row_id)
-    centre = (size["amount"] or 0.0) / size["n"]  # keeps the running squares small
-    if size["cards"] > BROADCAST_ROWS:
-        return _hot(timed, centre, global_std, row_id)
-    hot_cards = F.broadcast(per_card.where(hot).select(CARD))
-    return _ordinary(timed.join(hot_cards, CARD, "left_anti"), global_std, row_id).unionByName(
-        _hot(timed.join(hot_cards, CARD, "left_semi"), centre, global_std, row_id)
-    )
+    per_card = timed.groupBy(CARD).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(AMOUNT).cast("double")).alias("_centre"))
+    hot = per_card.where(F.col("n") > hot_card_rows).select(CARD, F.coalesce("_centre", F.lit(0.0)).alias("_centre"))
+    cards = hot.limit(BROADCAST_ROWS + 1).count()
+    if not cards:
+        return _ordinary(timed, global_std, row_id).unionByName(alone)
+    if cards <= BROADCAST_ROWS:
+        hot = F.broadcast(hot)
+    ordinary = _ordinary(timed.join(hot, CARD, "left_anti"), global_std, row_id)
+    # the join brings its key to the front
+    spread = timed.join(hot, CARD).select(*timed.columns, "_centre")
+    return ordinary.unionByName(_hot(spread, global_std, row_id)).unionByName(alone)
 
 
 def single_row_values() -> dict[str, Column]:

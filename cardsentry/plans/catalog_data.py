@@ -114,13 +114,21 @@ def _sink_stream_kafka(spark, sf_dir):
     )
 
 
+SAMPLE = """hashed AS (SELECT *, ('0x' || substr(md5(trans_num), 1, 8))::BIGINT h FROM txn),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY is_fraud ORDER BY h, trans_num) rn FROM hashed),
+have AS (SELECT sum(is_fraud)::BIGINT pos, (count(*) - sum(is_fraud))::BIGINT neg FROM txn),
+quota AS (SELECT least(pos, 8000 - least(neg, 8000 - least(136, pos))) p, least(neg, 8000 - least(136, pos)) q FROM have),
+sampled AS (SELECT ranked.* FROM ranked, quota WHERE rn <= CASE WHEN is_fraud = 1 THEN p ELSE q END)"""
+
+
 @query(
     "write_csv_sample",
-    with_txn(f"SELECT trans_num, {s6('amt')} AS amt, is_fraud FROM txn WHERE is_fraud = 1"),
+    with_txn(f"SELECT trans_num, {s6('amt')} AS amt, is_fraud FROM sampled", SAMPLE),
 )
 def _write_csv_sample(spark, sf_dir):
+    """The stratified sample, of a bounded number of rows, as one file."""
     path = scratch_path(spark, "sample-csv")
-    files.write_transactions_csv(_required(spark, sf_dir).where("is_fraud = 1"), path, single_file=True)
+    files.write_transactions_csv(SP.stratified_sample(_required(spark, sf_dir)), path, single_file=True)
     return files.read_transactions_csv(spark, path).select("trans_num", r6("amt").alias("amt"), "is_fraud")
 
 
@@ -247,13 +255,6 @@ def _split_summary(spark, sf_dir):
     return out.withColumn("fraud_rate_pct", r6("fraud_rate_pct"))
 
 
-SAMPLE = """hashed AS (SELECT *, ('0x' || substr(md5(trans_num), 1, 8))::BIGINT h FROM txn),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY is_fraud ORDER BY h, trans_num) rn FROM hashed),
-have AS (SELECT sum(is_fraud)::BIGINT pos, (count(*) - sum(is_fraud))::BIGINT neg FROM txn),
-quota AS (SELECT least(pos, 8000 - least(neg, 8000 - least(136, pos))) p, least(neg, 8000 - least(136, pos)) q FROM have),
-sampled AS (SELECT ranked.* FROM ranked, quota WHERE rn <= CASE WHEN is_fraud = 1 THEN p ELSE q END)"""
-
-
 @query("stratified_sample", with_txn("SELECT trans_num, is_fraud FROM sampled", SAMPLE))
 def _stratified_sample(spark, sf_dir):
     return SP.stratified_sample(transactions(spark, sf_dir)).select("trans_num", "is_fraud")
@@ -361,11 +362,11 @@ def _minmax_scale(spark, sf_dir):
     return df.select("trans_num", *[r6(P.minmax(F.col(c), *e, clip=True)).alias(c) for c, e in ends.items()])
 
 
-def _preprocess_sql(final_filter: str = "") -> str:
+def _preprocess_sql(part: bool = False) -> str:
     cells = [f"{s6(_robust(c, 'train'))} AS {c}" for c in NUMBERS]
     cells += [f"{_code(c, 'train')}::DOUBLE AS {c}" for c in P.CODED]
     return with_txn(
-        f"SELECT trans_num, is_fraud, {', '.join(cells)}, {_one_hot_sql('t')} FROM aged_parts t {final_filter}",
+        f"SELECT trans_num, is_fraud, {', '.join(cells)}, {_one_hot_sql('t')}{', split' if part else ''} FROM aged_parts t",
         PARTS,
         f"aged_parts AS (SELECT *, {AGE} age FROM parts)",
         "train AS (SELECT * FROM aged_parts WHERE split = 'train')",
@@ -377,6 +378,12 @@ def _rounded(df):
     return df.select("trans_num", "is_fraud", *[r6(c).alias(c) for c in shown])
 
 
+def _three(parts):
+    """The rounded parts as one table."""
+    named = [_rounded(p).withColumn("split", F.lit(n)) for p, n in zip(parts, ("train", "val", "test"), strict=True)]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
 @query("preprocess", _preprocess_sql())
 def _preprocess(spark, sf_dir):
     df = transactions(spark, sf_dir)
@@ -384,10 +391,10 @@ def _preprocess(spark, sf_dir):
     return _rounded(P.Preprocessor.fit(train).transform(df))
 
 
-@query("split_and_preprocess", _preprocess_sql("WHERE split = 'test'"))
+@query("split_and_preprocess", _preprocess_sql(part=True))
 def _split_and_preprocess(spark, sf_dir):
-    _, _, test, _ = P.split_and_preprocess(transactions(spark, sf_dir))
-    return _rounded(test)
+    *parts, _ = P.split_and_preprocess(transactions(spark, sf_dir))
+    return _three(parts)
 
 
 @query("concat_columns", with_txn(f"SELECT trans_num, {s6('amt')} AS amt, {_code('state', 'txn')}::BIGINT AS state, {_one_hot_sql('t')} FROM txn t"))
@@ -400,13 +407,14 @@ def _concat_columns(spark, sf_dir):
     return wide.select("trans_num", r6("amt").alias("amt"), F.col("state").cast("long").alias("state"), *cells)
 
 
-@query("state_load", _preprocess_sql("WHERE split = 'val'"))
+@query("state_load", _preprocess_sql(part=True))
 def _state_load(spark, sf_dir):
     """Fit, save, load, apply."""
     from cardsentry.sources.state import load_preprocessor, save_preprocessor
 
     df = transactions(spark, sf_dir)
-    first, second, _ = SP.TimeSplit.fit(df).parts(df)
+    parts = SP.TimeSplit.fit(df).parts(df)
     path = scratch_path(spark, "preprocessor")
-    save_preprocessor(P.Preprocessor.fit(first), spark, path)
-    return _rounded(load_preprocessor(spark, path).transform(second))
+    save_preprocessor(P.Preprocessor.fit(parts[0]), spark, path)
+    model = load_preprocessor(spark, path)
+    return _three([model.transform(p) for p in parts])

@@ -19,11 +19,11 @@ from cardsentry.session import materialise, scratch_path, small_table
 from cardsentry.sources import files
 from cardsentry.sources.tables import transactions
 
-# --- drift: the first 70 % of the rows are the baseline; in the last 15 % the amounts are raised by half --------------
+# --- drift: the first 70 % of the rows are the baseline; in the rest the amounts are raised by half -------------------
 
 FEATURES = ["amt", "distance_km", "age", "hour", "flat", "negative", "nothing"]
-SIDES = f"""sides AS (SELECT *, CASE WHEN split = 'test' THEN amt * 1.5::DOUBLE ELSE amt END AS shifted, {DISTANCE} distance_km, {AGE} age,
- hour(trans_date_trans_time) AS hour, 7 flat, -1 - amt AS negative, NULL::DOUBLE AS nothing, {BLEND} blend FROM parts WHERE split <> 'val')"""
+SIDES = f"""sides AS (SELECT *, CASE WHEN split <> 'train' THEN amt * 1.5::DOUBLE ELSE amt END AS shifted, {DISTANCE} distance_km, {AGE} age,
+ hour(trans_date_trans_time) AS hour, 7 flat, -1 - amt AS negative, NULL::DOUBLE AS nothing, {BLEND} blend FROM parts)"""
 _CELLS = {"amt": "shifted", "__score__": "blend"} | {c: c for c in FEATURES if c != "amt"}
 DRIFT = f"""long AS ({" UNION ALL ".join(f"SELECT split = 'train' AS base, '{f}' feature, round(({c})::DOUBLE, 9) x FROM sides" for f, c in _CELLS.items())}),
 quantiles AS (SELECT feature, list_sort(list_distinct(quantile_cont(x, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) q FROM long WHERE base AND x IS NOT NULL GROUP BY feature
@@ -49,8 +49,9 @@ def _drift(final: str) -> str:
 
 def _sides(spark, sf_dir):
     df = transactions(spark, sf_dir).withColumn("blend", SC.combine_scores(THIRDS))
-    train, _, test = TimeSplit.fit(df).parts(df)
-    test = test.withColumn("amt_shifted", F.col("amt") * 1.5)
+    labelled = TimeSplit.fit(df).label(df)
+    train = labelled.where("split = 'train'")
+    test = labelled.where("split <> 'train'").withColumn("amt_shifted", F.col("amt") * 1.5)
 
     def enrich(part, amt):
         wide = part.withColumns(
@@ -132,8 +133,10 @@ def _align_baseline(spark, sf_dir):
     baseline, test = _fitted(spark, sf_dir)
     lean = test.select("amt", "age", F.lit(1.0).alias("unknown"), F.col("blend").alias(D.SCORE))
     shared = {c: e for c, e in baseline.edges.items() if c in lean.columns}
-    both = baseline.table(spark).join(D.proportions(D.bin_counts(lean, shared)), ["feature", "bin"])
-    return both.select("feature", "bin", F.lit(2).cast("long").alias("sides"))
+    here = D.proportions(D.bin_counts(lean, shared)).select("feature", "bin")
+    there = baseline.table(spark).select("feature", "bin").join(here.select("feature").distinct(), "feature", "left_semi")
+    both = there.unionByName(here)
+    return both.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("sides"))
 
 
 @query(
@@ -202,12 +205,12 @@ def _from_log(final: str) -> str:
 LOG_COLUMNS = ["transaction_id", "timestamp", "fraud_score", "risk_tier", "processing_time_ms", "model_version"]
 
 
-@query("sink_prediction_log", _from_log("SELECT transaction_id, \"timestamp\", fraud_score, risk_tier, processing_time_ms, model_version FROM log"))
+@query("sink_prediction_log", _from_log("SELECT transaction_id, \"timestamp\", fraud_score, risk_tier, processing_time_ms, model_version FROM log, range(2)"))
 def _sink_prediction_log(spark, sf_dir):
-    """Appended twice, logged once."""
+    """Two batches of the same records are both logged; a batch that is delivered again is logged once."""
     path = scratch_path(spark, "log")
-    files.append_prediction_log(_log(spark, sf_dir), path)
-    files.append_prediction_log(_log(spark, sf_dir), path)
+    for batch in (0, 1, 1):
+        files.append_prediction_log(_log(spark, sf_dir), path, batch)
     return files.read_prediction_log(spark, path).select(*LOG_COLUMNS)
 
 
@@ -369,10 +372,12 @@ def _alert_payload(spark, sf_dir):
 
 @query(
     "alert_history",
-    with_txn("SELECT transaction_id, us FROM alerts ORDER BY us DESC, transaction_id DESC LIMIT 100", BLENDED, RECORDS),
+    with_txn("SELECT transaction_id, us FROM walk WHERE sent ORDER BY us DESC, transaction_id DESC LIMIT 100", BLENDED, RECORDS, _limited_sql(3, 6 * 3600)).replace("WITH ", "WITH RECURSIVE ", 1),
 )
 def _alert_history(spark, sf_dir):
-    return A.alert_history(_alerts(spark, sf_dir), "us", "transaction_id").select("transaction_id", "us")
+    """Of the alerts that were sent."""
+    sent = A.rate_limited_alerts(_alerts(spark, sf_dir), F.col("us"), "transaction_id", limit=3, seconds=6 * 3600)
+    return A.alert_history(sent, "us", "transaction_id").select("transaction_id", "us")
 
 
 @query(

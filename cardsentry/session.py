@@ -6,6 +6,8 @@ Lineage is cut only with reliable checkpoints or written tables. The folder is t
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,11 +16,25 @@ from pyspark.sql.types import StructType
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the session settings the operators rely on (UTC clock; the rest is Spark's default)."""
+    """Pin the session settings the operators rely on (UTC clock; the rest is Spark's default), and give the executors
+    this package, so that functions that run in Python workers can import it wherever those are started."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if getattr(spark.sparkContext, "_cardsentry_sent", None) is None:
+        spark.sparkContext._cardsentry_sent = _send_package(spark)
     return spark
 
 
+def _send_package(spark: SparkSession) -> str:
+    """Spark serves the archive from the driver; it is read here and copied by each executor."""
+    here = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="cardsentry-")) / "cardsentry.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, f"cardsentry/{f.relative_to(here)}")
+    spark.sparkContext.addPyFile(str(archive))
+    return str(archive)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables, visible to every executor."""
     sc = spark.sparkContext

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,16 +118,17 @@ def prediction_records(scored: DataFrame, version: str = MODEL_VERSION, at: str
     )
 
 
-def append_prediction_log(records: DataFrame, path: str) -> None:
-    """Append; rows already logged for the same transaction and model version are not logged twice."""
-    logged = read_prediction_log(records.sparkSession, path).select("transaction_id", "model_version")
-    records.join(logged, ["transaction_id", "model_version"], "left_anti").write.mode("append").json(path)
+def append_prediction_log(records: DataFrame, path: str, batch: str | int | None = None) -> None:
+    """Append. Every call logs all its records, also of transactions logged before. A caller that may repeat a call names
+    it by ``batch``: a batch owns a folder, which a repetition replaces."""
+    records.write.mode("overwrite").json(f"{path}/batch={uuid.uuid4().hex if batch is None else batch}")
 
 
 def read_prediction_log(spark: SparkSession, path: str) -> DataFrame:
-    """The log's parsed rows; a missing log is empty."""
+    """The log's parsed rows, of all batches; a missing log is empty."""
     try:
-        return good_and_bad(read_jsonl(spark, path, PREDICTION_LOG_SCHEMA))[0]
+        lines = spark.read.option("recursiveFileLookup", True).text(path)
+        return good_and_bad(parse_json_text(lines, "value", PREDICTION_LOG_SCHEMA))[0]
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

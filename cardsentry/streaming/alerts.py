@@ -1,5 +1,5 @@
-"""The alert rate limit on a stream. Every micro-batch runs the batch operator, so that a busy channel is spread over all
-tasks, and continues from the last sent times of each channel, which are kept in a small table per batch."""
+"""The alert rate limit on a stream. Every micro-batch runs the batch operator and continues from the last sent times of
+each channel. They are a table per batch that holds all channels, so a batch reads that of the batch before and no other."""
 
 from __future__ import annotations
 
@@ -10,23 +10,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardsentry.operators.alerts import MAX_PER_WINDOW, WINDOW_SECONDS, rate_limited_alerts
-from cardsentry.streaming.run import batch_folder, latest_per_key, read_batches
+from cardsentry.streaming.run import batch_folder
 
-MAX_CHANNELS = 100_000
+STATE = "channel string, times array<long>"
 
 
-def _sent_before(spark: SparkSession, path: str, batch_id: int) -> dict[str, list[int]]:
-    """The last sent times per channel as of the batches before this one."""
+def _sent_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """The last sent times per channel as of the batch before this one; micro-batches are numbered without gaps."""
     try:
-        table = read_batches(spark, path).where(F.col("batch") < batch_id)
+        return spark.read.schema(STATE).parquet(batch_folder(path, batch_id - 1))
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
+        if e.getCondition() != "PATH_NOT_FOUND" or batch_id > 0:
             raise
-        return {}
-    rows = latest_per_key(table, ["channel"]).limit(MAX_CHANNELS + 1).collect()
-    if len(rows) > MAX_CHANNELS:
-        raise ValueError(f"more than {MAX_CHANNELS} alert channels")
-    return {r["channel"]: list(r["times"]) for r in rows}
+        return spark.createDataFrame([], STATE)
 
 
 def rate_limit_sink(
@@ -46,17 +42,15 @@ def rate_limit_sink(
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = _sent_before(spark, state_path, batch_id)
-        sent = rate_limited_alerts(batch, us, row_id, channel=channel, limit=limit, seconds=seconds, initial=before)
+        sent = rate_limited_alerts(batch, us, row_id, channel=channel, limit=limit, seconds=seconds, before=before)
         sent.write.mode("overwrite").parquet(batch_folder(sent_path, batch_id))
 
-        # the limit itself bounds how many alerts a channel has sent
         written = spark.read.schema(batch.schema).parquet(batch_folder(sent_path, batch_id))
-        newest = Window.partitionBy("channel").orderBy(F.desc("us"), F.desc("id"))
-        last = written.select(name.alias("channel"), us.alias("us"), F.col(row_id).alias("id"))
-        last = last.withColumn("rank", F.row_number().over(newest)).where(F.col("rank") <= limit)
-        fresh = last.groupBy("channel").agg(F.sort_array(F.collect_list("us")).alias("fresh")).collect()
-        times = [(r["channel"], (before.get(r["channel"], []) + list(r["fresh"]))[-limit:]) for r in fresh]
-        state = spark.createDataFrame(times, "channel string, times array<long>")
-        state.coalesce(1).write.mode("overwrite").parquet(batch_folder(state_path, batch_id))
+        fresh = written.select(name.cast("string").alias("channel"), us.alias("us")).where("us IS NOT NULL")
+        times = before.select("channel", F.explode("times").alias("us")).unionByName(fresh)
+        newest = Window.partitionBy("channel").orderBy(F.desc("us"))
+        last = times.withColumn("rank", F.row_number().over(newest)).where(F.col("rank") <= limit)
+        state = last.groupBy("channel").agg(F.sort_array(F.collect_list("us")).alias("times"))
+        state.write.mode("overwrite").parquet(batch_folder(state_path, batch_id))
 
     return each

@@ -149,6 +149,22 @@ def test_eleven_alerts_and_the_free_slot(spark):
     assert got == {f"{i:02d}" for i in range(10)} | {"11"}
 
 
+def test_alerts_without_channel_or_time_are_limited_too(spark):
+    s = 1_000_000
+    rows = [(None, i * s, f"n{i:02d}") for i in range(12)] + [("a", i * s, f"a{i:02d}") for i in range(12)]
+    rows += [("b", None, f"b{i:02d}") for i in range(12)] + [("", 0, "e")]
+    df = spark.createDataFrame(rows, "channel string, us long, id string")
+    got = sorted(r["id"] for r in A.rate_limited_alerts(df, F.col("us"), "id", channel=F.col("channel")).collect())
+    assert got == [f"{c}{i:02d}" for c in "ab" for i in range(10)] + ["e"] + [f"n{i:02d}" for i in range(10)]
+
+
+def test_drift_alert_text_and_payload(spark):
+    df = spark.createDataFrame([("warning", ["a", "b"], 0.31)], "overall_status string, features_with_drift array<string>, prediction_psi double")
+    row = A.drift_alert(df).first()
+    assert row["text"].endswith("features_with_drift: a, b\n  prediction_drift PSI: 0.3100")
+    assert '"type":"drift"' in row["payload"] and '"psi":0.31' in row["payload"]
+
+
 def test_no_alerts(spark):
     df = spark.createDataFrame([], "us long, id string")
     assert A.rate_limited_alerts(df, F.col("us"), "id").count() == 0

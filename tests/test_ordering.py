@@ -51,6 +51,30 @@ def test_ranks_and_quantiles_are_exact(spark, monkeypatch, listed):
         assert got[name] == pytest.approx(list(np.quantile(values, probs)), abs=1e-12)
 
 
+@pytest.mark.parametrize("listed", [60_000, 40])
+def test_ranks_among_numbers_of_any_size(spark, monkeypatch, listed):
+    monkeypatch.setattr(O, "LISTED_ROWS", listed)
+    rng = np.random.default_rng(4)
+    columns = {
+        "ends": [np.inf, -np.inf, *rng.normal(0, 1, 498)],
+        "far": [1.7e308, -1.7e308, 1e300, *rng.normal(0, 1, 497)],
+        "tiny": [5e-324, -5e-324, 0.0, *rng.normal(0, 1e-310, 497)],
+        "spread": list(10.0 ** rng.uniform(-300, 300, 500)),
+        "heavy": [7.5] * 450 + [float("inf")] * 50,
+        "close": list(1e15 + np.arange(500) / 8),
+    }
+    rows = list(zip(*([float(x) for x in v] for v in columns.values()), strict=True))
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns))
+    passes, fetch = [], type(df).toPandas
+    monkeypatch.setattr(type(df), "toPandas", lambda self: passes.append(1) or fetch(self))
+    ranks = [0, 1, 250, 498, 499]
+    got = O.values_at_ranks(df, {c: ranks for c in columns})
+    assert len(passes) <= 8
+    for c, values in columns.items():
+        want = sorted(values)
+        assert [got[c][r] for r in ranks] == [want[r] for r in ranks], c
+
+
 def test_rank_outside_the_column(spark):
     with pytest.raises(ValueError, match="rank 3"):
         O.values_at_ranks(spark.range(3), {"id": [3]})

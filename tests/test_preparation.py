@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cardsentry.operators import preprocess as P
 from cardsentry.operators import quality as Q
 from cardsentry.operators.split import TimeSplit, stratified_sample
+from cardsentry.session import materialise
 from tests.test_features import sample
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -53,10 +54,13 @@ def test_preprocessor_on_unseen_and_missing_values(spark):
     assert row["city_pop"] == 2.0  # no spread in training: divided by one
 
 
-def test_too_many_levels_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(P, "MAX_INDICATORS", 2)
-    with pytest.raises(ValueError, match="more than 2"):
-        P.indicator_levels(spark.createDataFrame([(c,) for c in "abc"], "c string"), ["c"])
+def test_many_levels_in_one_column(spark):
+    df = spark.createDataFrame([(f"v{i:05d}", i) for i in range(6000)], "c string, i int")
+    codes = materialise(P.ordinal_codes(df, ["c"]))
+    wide = P.sparse_indicators(df.union(spark.createDataFrame([("new", -1), (None, -2)], df.schema)), codes, ["c"])
+    got = {r["i"]: r["c_indicator"] for r in wide.collect()}
+    assert got == {**{i: {i: 1.0} for i in range(6000)}, -1: {}, -2: {}}
+    assert len(P.indicator_levels(df, ["c"])["c"]) == 6000
 
 
 def test_strict_schema(spark):
@@ -74,6 +78,8 @@ def test_dedup_keeps_the_first_also_of_null_ids(spark):
     rows = [("a", 2, "late"), ("a", 1, "early"), (None, 5, "n5"), (None, 4, "n4"), ("b", 3, "only")]
     df = spark.createDataFrame(rows, "trans_num string, pos int, v string")
     assert {r["v"] for r in Q.dedup_first(df, order="pos").collect()} == {"early", "n4", "only"}
+    lost = spark.createDataFrame([("a", None, "x"), ("a", None, "y"), ("b", None, "z"), ("b", 9, "w")], df.schema)
+    assert {(r["trans_num"], r["v"] != "z") for r in Q.dedup_first(lost, order="pos").collect()} == {("a", True), ("b", True)}
 
 
 def test_statistics_of_an_empty_table(spark):

@@ -62,9 +62,12 @@ def test_prediction_log(spark, tmp_path):
     scored = spark.createDataFrame([("a", 0.5, "LOW", 1.0)], "transaction_id string, fraud_score double, risk_tier string, processing_time_ms double")
     files.append_prediction_log(files.prediction_records(scored), path)
     files.append_prediction_log(files.prediction_records(scored), path)
-    files.append_prediction_log(files.prediction_records(scored, version="2.0.0"), path)
+    for _ in range(2):  # a batch that is delivered twice
+        files.append_prediction_log(files.prediction_records(scored, version="2.0.0"), path, batch=7)
+    nameless = scored.withColumn("transaction_id", F.lit(""))
+    files.append_prediction_log(files.prediction_records(nameless.union(nameless), version="3"), path)
     rows = files.read_prediction_log(spark, path).collect()
-    assert sorted(r["model_version"] for r in rows) == ["1.0.0", "2.0.0"]
+    assert sorted(r["model_version"] for r in rows) == ["1.0.0", "1.0.0", "2.0.0", "3", "3"]
     assert all(r["timestamp"].endswith("+00:00") for r in rows)
 
 

@@ -5,6 +5,7 @@ import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from cardsentry.operators.velocity import velocity_features
 
@@ -92,6 +93,30 @@ def test_too_many_hot_cards_for_a_broadcast(spark, monkeypatch):
     check(spark, edge_rows() + [(f"r{r[0]}", r[1] + 100, *r[2:]) for r in random_rows(300, 5, 11)], hot_card_rows=20)
 
 
+@pytest.mark.parametrize("scale", [1.0, 100_000.0, 1_000_000.0])
+def test_both_paths_agree_on_a_small_spread_around_a_large_mean(spark, scale):
+    rng = random.Random(4)
+    spec = [(c, i * 40_000_000, (1.0 if c else scale) + rng.randrange(100) / 100) for c in (0, 1) for i in range(80)]
+    df = frame(spark, rows_from(spec))
+    plain = {r["trans_num"]: tuple(r)[-6:] for r in velocity_features(df, 7.5, hot_card_rows=10**9).collect()}
+    hot = {r["trans_num"]: tuple(r)[-6:] for r in velocity_features(df, 7.5, hot_card_rows=0).collect()}
+    assert plain.keys() == hot.keys()
+    for k, row in plain.items():
+        assert [x or 0 for x in hot[k]] == pytest.approx([x or 0 for x in row], rel=1e-9, abs=1e-7), k
+
+
+@pytest.mark.parametrize("hot_card_rows", [10**9, 0])
+def test_rows_without_card_or_time_stay(spark, hot_card_rows):
+    df = frame(spark, edge_rows())
+    holes = df.limit(2).withColumn("cc_num", F.lit(None).cast(df.schema["cc_num"].dataType)).unionByName(
+        df.limit(3).withColumn("trans_date_trans_time", F.lit(None).cast("timestamp"))
+    )
+    got = velocity_features(df.unionByName(holes), 7.5, hot_card_rows=hot_card_rows)
+    assert got.count() == df.count() + 5
+    alone = got.where("cc_num IS NULL OR trans_date_trans_time IS NULL").collect()
+    assert {(r["txn_count_24h"], r["amount_zscore"], r["rapid_fire_flag"]) for r in alone} == {(1, 0.0, 0)}
+
+
 def test_missing_column_is_reported(spark):
     with pytest.raises(ValueError, match="cc_num"):
         velocity_features(frame(spark, edge_rows()).drop("cc_num"))
