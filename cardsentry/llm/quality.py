@@ -27,6 +27,21 @@ SAMPLE = 4_000  # labelled rows that the model is fitted to, taken in the order
 EPOCHS = 4
 KNOWN_WORDS = 200_000
 THRESHOLD = 0.3
+REPEATED_WORD, REPEATED_LINE = b"\x01word again", b"\x01line again"  # hold a space, so no word is like them
+
+
+def tokens(text: bytes) -> list[bytes]:
+    """The words of a text, and a marking word for every word that repeats the one before it and for every word of a line
+    that was there before: repetition is no property of any word, so it gets a vector of its own."""
+    words = text.split()
+    again = sum(a == b for a, b in zip(words, words[1:], strict=False))
+    seen: set[bytes] = set()
+    copied = 0
+    for line in text.split(b"\n"):
+        if line in seen:
+            copied += len(line.split())
+        seen.add(line)
+    return words + [REPEATED_WORD] * again + [REPEATED_LINE] * copied
 
 
 def features(words: list[bytes], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +74,7 @@ class QualityModel:
     def scores(self, texts: list[bytes], known: dict[bytes, tuple[float, int]]) -> np.ndarray:
         """Probability of class 1 for every whole text; a text without words has the prior's. ``known`` is the caller's
         memory of words, emptied when it is full."""
-        split = [t.split() for t in texts]
+        split = [tokens(t) for t in texts]
         new = [*{w for words in split for w in words if w not in known}]
         if len(known) + len(new) > KNOWN_WORDS:
             known.clear()
@@ -81,7 +96,7 @@ def bags(texts: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Per text the distinct features and their shares of all its features."""
     ids, shares = [], []
     for t in texts:
-        words = t.split()
+        words = tokens(t)
         got, count = np.unique(features(words)[0], return_counts=True) if words else (np.zeros(0, np.int64),) * 2
         ids.append(got)
         shares.append((count / max(1, count.sum())).astype(np.float32))
