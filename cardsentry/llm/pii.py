@@ -5,9 +5,11 @@ net propose overlapping candidates (spelled-out addresses, any run of digits wit
 described by its format and its context, boosted trees tell how likely it is personal data, and those at or above a
 kind's calibrated threshold that don't overlap a better span are added.
 
-The trees learn from a bounded sample of documents. A candidate is a positive example if the patterns accept it or a word
-before it says what it is ("tel", "mail", "card"), and a negative one otherwise. A tenth of the examples calibrates; the
-threshold of a kind is the least probability at which the calibrating examples of that kind are right often enough.
+A candidate is a positive example if the patterns accept it or a word before it says what it is ("tel", "mail", "card"),
+and a negative one otherwise; the trees see its format, never those words. All documents are in one of two halves by a
+digest of their text. Each half has trees of its own, fitted to a bounded sample per kind of all its candidates, and the
+trees of one half judge the texts of the other, so no text is judged by trees that have seen it. The threshold of a kind is
+the least score at which the candidates of that kind, counted over the whole table, are right often enough.
 """
 
 import hashlib
@@ -21,10 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardsentry.llm.boosting import Boosted, boost
-from cardsentry.llm.common import batches
+from cardsentry.llm.common import batches, frozen, mix64
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE = 4_000  # documents whose candidates the trees are fitted to
+SAMPLE = 4_000  # candidates of a kind that the trees of a half are fitted to
+STEP = 16  # score counts are kept in steps of 1 / STEP
 PRECISION = 0.98
 LEAST_EXAMPLES = 20  # of a kind, to trust a threshold
 
@@ -40,8 +43,8 @@ AT = r"(?:@|\s?[\[(]\s?at\s?[\])]\s?)"
 DOT = r"(?:\.|\s?[\[(]\s?dot\s?[\])]\s?)"
 SPELLED = re.compile(rf"[A-Za-z0-9._%+-]{{1,64}}{AT}[A-Za-z0-9-]{{1,63}}(?:{DOT}[A-Za-z0-9-]{{1,63}}){{1,8}}")
 HINT = re.compile(r"@|[\[(]\s?at\s?[\])]")
-RUN = re.compile(r"(?<![0-9A-Za-z])[+(]{0,2}[0-9](?:[\x20().0-9/-]{0,3}[0-9]){6,30}(?![0-9A-Za-z])")
-SOLID = re.compile(r"(?<![0-9A-Za-z])[+(]{0,2}[0-9](?:[().0-9/-]{0,3}[0-9]){6,30}(?![0-9A-Za-z])")
+RUN = re.compile(r"(?<![0-9A-Za-z])[+(]{0,2}[0-9](?:[\x20()./-]{0,3}[0-9]){6,30}(?![0-9A-Za-z])")
+SOLID = re.compile(r"(?<![0-9A-Za-z])[+(]{0,2}[0-9](?:[()./-]{0,3}[0-9]){6,30}(?![0-9A-Za-z])")
 # words before a candidate that say what it is
 CUES = frozenset(
     "tel telephone phone call fax mobile cell whatsapp sms mail email e-mail contact card visa mastercard amex ip host "
@@ -142,15 +145,18 @@ def describe(text: str, span: Span) -> list[float]:
         after == "" or after.isspace(),
         after in (".", ",", ";"),
         before in (":", "="),
-        any(w in CUES for w in words_before(text, start)),
         len(set(digits)),
     ]
 
 
+def digest_of(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little")
+
+
 @dataclass
 class PiiModel:
-    trees: Boosted
-    thresholds: dict[str, float]  # a kind without one is never added
+    trees: tuple[Boosted, Boosted]  # by the half they judge; fitted to the other half
+    thresholds: dict[str, float]  # least scores; a kind without one is never added
 
     def added(self, text: str, base: list[Span]) -> list[Span]:
         """Further spans, likeliest first come first served; none overlaps a base span or another."""
@@ -158,9 +164,9 @@ class PiiModel:
         wide = [p for p in proposals(text) if p[0] in self.thresholds and all(p[2] <= s or p[1] >= e for s, e in covered)]
         if not wide:
             return []
-        chance = self.trees.probability(np.array([describe(text, p) for p in wide], np.float64))
+        score = self.trees[digest_of(text) % 2].raw(np.array([describe(text, p) for p in wide], np.float64))
         out: list[Span] = []
-        for p, (kind, start, end) in sorted(zip(-chance, wide, strict=True)):
+        for p, (kind, start, end) in sorted(zip(-score, wide, strict=True)):
             if -p >= self.thresholds[kind] and all(end <= s or start >= e for _, s, e in out):
                 out.append((kind, start, end))
         return out
@@ -172,48 +178,84 @@ class PiiModel:
         return base, sorted([*base, *self.added(text, base)], key=lambda s: (place[s[0]], s[1], s[2]))
 
 
-def sample_of(docs: DataFrame, sample: int) -> DataFrame:
-    """Whole documents whose ids have the smallest hashes; at most ``sample`` ids."""
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    return docs.join(F.broadcast(ids), "doc_id", "left_semi")
-
-
-def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> PiiModel:
-    """Trees and thresholds from the candidates of at most ``sample`` documents. Only descriptions of candidates reach
-    the driver."""
+def candidates(docs: DataFrame) -> DataFrame:
+    """(half, kind, key, x, y) per candidate of all documents: its description and whether it is a positive example. Keys
+    are spread evenly; the same place in the same text has the same one."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches(parts):
-            x, y, kinds = [], [], []
+            half, kinds, keys, x, y = [], [], [], [], []
             for text in part["text"].to_pylist():
-                if not text:
+                found = proposals(text) if text else []
+                if not found:
                     continue
-                base = set(base_spans(text))
-                for p in proposals(text):
+                base, digest = set(base_spans(text)), digest_of(text)
+                for p in found:
+                    half.append(digest % 2)
+                    kinds.append(KINDS.index(p[0]))
+                    keys.append((digest + p[1] * 0x9E3779B97F4A7C15 + p[2] * 0xC2B2AE3D27D4EB4F) % 2**64)
                     x.append(np.array(describe(text, p), np.float64).tobytes())
                     y.append(int(p in base or any(w in CUES for w in words_before(text, p[1]))))
-                    kinds.append(KINDS.index(p[0]))
-            yield pa.record_batch(
-                [pa.array(x, pa.binary()), pa.array(y, pa.int32()), pa.array(kinds, pa.int32())], ["x", "y", "kind"]
-            )
+            key = pa.array((mix64(np.array(keys, np.uint64)) >> np.uint64(1)).view(np.int64))
+            columns = [pa.array(half, pa.int32()), pa.array(kinds, pa.int32()), key, pa.array(x, pa.binary())]
+            yield pa.record_batch([*columns, pa.array(y, pa.int32())], ["half", "kind", "key", "x", "y"])
 
-    got = sample_of(docs, sample).select("text").mapInArrow(run, "x binary, y int, kind int").toPandas()
-    if got.empty:
-        return PiiModel(Boosted(0.0, [], 0.0, np.zeros(0), np.zeros(0)), {})
-    got = got.sort_values(["x", "y"], kind="stable")
-    x = np.stack([np.frombuffer(b, np.float64) for b in got["x"]])
-    y, kind = got["y"].to_numpy(np.float64), got["kind"].to_numpy()
-    held = np.arange(len(x)) % 10 == 0
-    trees = boost(x, y, held)
-    chance = trees.probability(x)
+    return docs.select("text").mapInArrow(run, "half int, kind int, key long, x binary, y int")
+
+
+def sample_of(found: DataFrame, sample: int) -> DataFrame:
+    """About ``sample`` candidates of each half and kind, those with the smallest keys; of copies of a text, one."""
+    own = ["half", "kind"]
+    once = found.groupBy(*own, "key").agg(F.min(F.struct("x", "y")).alias("seen"))
+    n = {(r["half"], r["kind"]): r["n"] for r in once.groupBy(*own).agg(F.count(F.lit(1)).alias("n")).collect()}
+    below = F.lit(0)
+    for (half, kind), count in n.items():
+        last = 2**63 - 1 if count <= sample else int(2**63 * (sample / count))
+        below = F.when((F.col("half") == half) & (F.col("kind") == kind), F.lit(last)).otherwise(below)
+    return once.where(F.col("key") <= below).select(*own, "key", "seen.x", "seen.y")
+
+
+def score_counts(found: DataFrame, trees: tuple[Boosted, Boosted]) -> DataFrame:
+    """(kind, step, n, right) of all candidates: how many have a score in [step, step + 1) / ``STEP``, and how many of those
+    are positive examples."""
+    shared = found.sparkSession.sparkContext.broadcast(trees)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches(parts):
+            x = np.frombuffer(b"".join(part["x"].to_pylist()), np.float64).reshape(part.num_rows, -1)
+            half = part["half"].to_numpy()
+            score = np.where(half == 0, shared.value[0].raw(x), shared.value[1].raw(x))
+            step = pa.array(np.floor(score * STEP).astype(np.int64))
+            yield pa.record_batch([part["kind"], step, part["y"]], ["kind", "step", "y"])
+
+    scored = found.select("half", "kind", "x", "y").mapInArrow(run, "kind int, step long, y int")
+    return scored.groupBy("kind", "step").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("right"))
+
+
+def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> PiiModel:
+    """Trees from at most about ``sample`` candidates of each half and kind, thresholds from the candidates of all documents.
+    Only descriptions of sampled candidates and counts reach the driver."""
+    found = frozen(candidates(docs))
+    got = sample_of(found, sample).toPandas().sort_values(["half", "kind", "key"], kind="stable")
+
+    def grown(half: int) -> Boosted:
+        own = got[got["half"] == half]
+        if own.empty:
+            return Boosted(0.0, [], 0.0, np.zeros(0), np.zeros(0))
+        x = np.stack([np.frombuffer(b, np.float64) for b in own["x"]])
+        return boost(x, own["y"].to_numpy(np.float64), np.zeros(len(x), bool))
+
+    trees = grown(1), grown(0)
     thresholds = {}
+    if got.empty:
+        return PiiModel(trees, thresholds)
+    counts = sorted((r["kind"], -r["step"], r["n"], r["right"]) for r in score_counts(found, trees).collect())
     for k, name in enumerate(KINDS):
-        own = held & (kind == k)
-        for t in np.unique(chance[own])[::-1]:
-            chosen = own & (chance >= t)
-            if chosen.sum() >= LEAST_EXAMPLES and y[chosen].mean() >= precision:
-                thresholds[name] = float(t)
+        n = right = 0
+        for _, down, more, more_right in (c for c in counts if c[0] == k):
+            n, right = n + more, right + more_right
+            if n >= LEAST_EXAMPLES and right / n >= precision:
+                thresholds[name] = -down / STEP
     return PiiModel(trees, thresholds)
 
 

@@ -298,6 +298,22 @@ def test_trees_add_spelled_out_data(spark):
     assert found == ["(415) 555-2671"]
 
 
+def test_spans_are_added_at_production_density(spark, tmp_path):
+    """Few of many documents have personal data; the kind is added although no 4,000 documents hold enough examples."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(12_000):
+        n = f"({rng.randrange(200, 999)}) {rng.randrange(100, 999)}-{rng.randrange(1000, 9999)}"
+        said = {0: f"please phone {n} today", 1: f"lot {rng.randrange(10**10, 10**11)} is here"}.get(i % 60, "nothing at all")
+        rows.append((i, f"text {i} says {n} now" if i in (77, 7_777) else f"text {i} says {said}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalog.QUERIES["op8_pii"](spark, str(tmp_path)).where("n_added > 0 AND doc_id IN (77, 7777) OR n_added > 0 AND doc_id % 60 = 1").collect()
+    assert {r.doc_id: r.spans for r in got} == {77: "phone:13:27", 7777: "phone:15:29"}
+    model = pii.fit(docs, sample=20)  # bounded candidates, thresholds from all
+    assert list(model.thresholds) == ["phone"]
+
+
 def test_personal_data_of_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, "a" * 200_000 + "@x.y " + "1" * 100_000), (3, "a@b.c"), (None, "a@b.c")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit("x"))
