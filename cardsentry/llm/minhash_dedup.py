@@ -81,8 +81,8 @@ def profiles(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             for text in texts_of(part["text"]):
                 s = shingles(text, numbers, size)
                 n.append(len(s))
-                d1.append(mix64(s).sum(dtype=np.uint64))
-                d2.append(mix64(s ^ np.uint64(0xC2B2AE3D27D4EB4F)).sum(dtype=np.uint64))
+                for column, digest in zip((d1, d2), digests(s), strict=True):
+                    column.append(digest)
                 folded = mix64(signature(s, bands * rows) + place).reshape(bands, rows).sum(axis=1, dtype=np.uint64)
                 keys.append(folded if len(s) else folded[:0])
             flat = np.concatenate(keys).view(np.int64)
@@ -102,13 +102,17 @@ def profiles(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     return docs.select("doc_id", "node", "text").mapInArrow(run, schema)
 
 
-def links_in_blocks(members: DataFrame, similar: tuple[int, int], block: int, size: int) -> DataFrame:
-    """A spanning forest (a, b) of the links among the rows of each family.
+def digests(s: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    return mix64(s).sum(dtype=np.uint64), mix64(s ^ np.uint64(0xC2B2AE3D27D4EB4F)).sum(dtype=np.uint64)
+
+
+def blocked(members: DataFrame, block: int, size: int) -> DataFrame:
+    """(family, i, j, node, block, items): the rows of each pair (i, j) of blocks of a family.
 
-    ``members(node, family, n_family, text)``. A family of n rows has ceil(n / block) blocks; each pair of blocks is a
-    group of at most two blocks of rows, whatever the family's size. Sets travel as numbers, not as text.
+    ``members(node, family, n_family, text)``, where n_family counts the distinct sets of the nodes of a family, without
+    empty ones. Only these are rows here, however often a node and its set are repeated. A family of n has ceil(n / block)
+    blocks; each pair of blocks is a group of about two blocks of rows at most. Sets travel as numbers, not as text.
     """
-    part, whole = similar
 
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = WordNumbers()
@@ -116,13 +120,19 @@ def links_in_blocks(members: DataFrame, similar: tuple[int, int], block: int, si
             found = [shingles(t, numbers, size) for t in texts_of(p["text"])]
             flat = np.concatenate(found).view(np.int64)
             own = lists(flat, np.array([len(s) for s in found]), pa.int64())
-            yield pa.record_batch([p["node"], p["family"], p["n_family"], own], ["node", "family", "n_family", "items"])
+            d1, d2 = (pa.array(np.array(d, np.uint64).view(np.int64)) for d in zip(*map(digests, found), strict=True))
+            yield pa.record_batch(
+                [p["node"], p["family"], p["n_family"], d1, d2, own], ["node", "family", "n_family", "d1", "d2", "items"]
+            )
 
     n = F.ceil(F.col("n_family") / block).cast("int")
-    blocks = (
-        members.mapInArrow(sets, "node long, family long, n_family long, items array<long>")
+    return (
+        members.mapInArrow(sets, "node long, family long, n_family long, d1 long, d2 long, items array<long>")
+        .where(F.size("items") > 0)
+        .groupBy("node", "family", "n_family", "d1", "d2")
+        .agg(F.first("items").alias("items"))
         .withColumn("n_blocks", n)
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("node", "d1", "d2"), F.col("n_blocks")).cast("int"))
         # the pairs (i, j), i <= j, of blocks that this row's block is part of
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
         .select(
@@ -135,6 +145,11 @@ def links_in_blocks(members: DataFrame, similar: tuple[int, int], block: int, si
         )
     )
 
+
+def links_in_blocks(members: DataFrame, similar: tuple[int, int], block: int, size: int) -> DataFrame:
+    """A spanning forest (a, b) of the links among the rows of each family; see ``blocked``."""
+    part, whole = similar
+
     def link(table: pa.Table) -> pa.Table:
         nodes = table["node"].to_numpy()
         items = table["items"].combine_chunks()
@@ -163,7 +178,7 @@ def links_in_blocks(members: DataFrame, similar: tuple[int, int], block: int, si
         a, b = join_parts(where_a, where_b, np.arange(len(nodes)))
         return pa.table({"a": pa.array(nodes[a], pa.int64()), "b": pa.array(nodes[b], pa.int64())})
 
-    return blocks.groupBy("family", "i", "j").applyInArrow(link, "a long, b long")
+    return blocked(members, block, size).groupBy("family", "i", "j").applyInArrow(link, "a long, b long")
 
 
 def near_duplicates(
@@ -194,7 +209,8 @@ def near_duplicates(
     ties = keyed.join(buckets.where("n > 1"), ["band", "key"]).where("node != first")
     family = components(ties.select(F.col("first").alias("a"), F.col("node").alias("b")))
     family = frozen(family.withColumnRenamed("component", "family"))
-    sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("n_family"))
+    held = rows_of.where("n_shingles > 0").select("node", *key).distinct().join(family, "node")
+    sizes = held.groupBy("family").agg(F.count(F.lit(1)).alias("n_family"))
     members = docs.select("node", "text").join(family.join(sizes, "family"), "node")
     links = links_in_blocks(members.select("node", "family", "n_family", "text"), similar, block, size)
     reach = frozen(components(links))

@@ -1,7 +1,7 @@
 """Near-duplicate operators against brute force over all pairs."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -114,6 +114,23 @@ def test_minhash_odd_rows(spark):
     assert left.columns == df.columns
 
 
+def test_minhash_repeated_rows_beside_a_near_copy(spark):
+    """Repeated rows, copies without an id and many texts of one id don't add up in a block."""
+    words = [f"w{i}" for i in range(100)]
+    text, near = " ".join(words), " ".join([*words, "more"])
+    other, beside = " ".join(words[::-1]), " ".join([*words[::-1], "more"])
+    rows = [(7, text)] * 3000 + [(8, near)] + [(None, other)] * 3000 + [(9, beside)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(df).collect())
+    assert got == {(7, 7, True): 3000, (8, 7, False): 1, (None, 9, False): 3000, (9, 9, True): 1}
+    copies = [(1, 1, 403, text)] * 3000 + [(2, 1, 403, near), (5, 1, 403, None), (5, 1, 403, "")]
+    copies += [(3, 1, 403, f"{text} {i}") for i in range(401)]
+    members = spark.createDataFrame(copies, "node long, family long, n_family long, text string")
+    groups = minhash_dedup.blocked(members, 64, minhash_dedup.WORDS).groupBy("family", "i", "j").count().collect()
+    assert len(groups) == 7 * 8 / 2
+    assert max(r["count"] for r in groups) < 3 * 64
+
+
 def test_components_of_chains_stars_and_loops(spark):
     links = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(50)] + [(7, 7), (2000, 2001), (2001, 2000)]
     got = components(spark.createDataFrame([*links, (None, 3)], "a long, b long")).collect()
