@@ -6,6 +6,7 @@ probabilities in proportion to the weight of their cell, at most 1, whose factor
 are the budget. All work after the counting is on cells.
 """
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,8 +15,11 @@ from pyspark.sql import functions as F
 from cardsentry.llm.common import frozen, uniform_of
 
 MARGINS = {"source": 0.5, "lang": 0.7, "topic": 0.7}  # target shares: shares of tokens to this power, brought to sum 1
-ROUNDS = 12
+ROUNDS = 12  # of raking before the margins are looked at, and again until they are reached
 CALIBRATIONS = 12
+MOST_ROUNDS = 480
+RESTED = 1e-10  # largest change of a cell in a round, as a share of all tokens, once raking has come to rest
+TOLERANCE = 1e-6  # largest error of a margin value, relative to its target
 KEPT_TOKENS = 0.5
 SEED = 17
 NONE = "(none)"
@@ -53,7 +57,9 @@ def measured(docs: DataFrame) -> DataFrame:
 
 def raked(cells: DataFrame, margins: dict[str, float] = MARGINS, rounds: int = ROUNDS) -> DataFrame:
     """``cells`` (margin columns, tokens) with a weight such that weight x tokens has the target shares of all tokens.
-    Every step is one window over the cells of a margin value; the plan is cut off by a stored table every few rounds."""
+    Every step is one window over the cells of a margin value; the plan is cut off by a stored table every few rounds. The
+    rounds go on until every margin is within ``TOLERANCE``. An error is raised if the weights of ``MOST_ROUNDS`` are not;
+    where the weights have come to rest before, no weights reach all targets, and a warning gives the error left."""
     at = cells.withColumn("weight", F.lit(1.0))
     for column, power in margins.items():
         sums = cells.groupBy(column).agg(F.sum("tokens").alias("t"))
@@ -61,16 +67,40 @@ def raked(cells: DataFrame, margins: dict[str, float] = MARGINS, rounds: int = R
         whole = raised.agg(F.sum("share").alias("shares"), F.sum("t").alias("tokens")).first()
         scale = F.lit(float(whole["tokens"] or 0) / (whole["shares"] or 1.0))
         at = at.join(raised.select(column, (F.col("share") * scale).alias(f"to_{column}")), column)
-    for k in range(rounds):
-        for column in margins:
-            now = F.sum(F.col("weight") * F.col("tokens")).over(Window.partitionBy(column))
-            at = at.withColumn("weight", F.col("weight") * (F.col(f"to_{column}") / now))
-        if k % 4 == 3 or k == rounds - 1:
-            at = frozen(at)
+    done = 0
+    while True:
+        for k in range(rounds):
+            if k == rounds - 1:
+                at = at.withColumn("rested", F.col("weight"))
+            for column in margins:
+                now = F.sum(F.col("weight") * F.col("tokens")).over(Window.partitionBy(column))
+                at = at.withColumn("weight", F.col("weight") * (F.col(f"to_{column}") / now))
+            if k % 4 == 3 or k == rounds - 1:
+                at = frozen(at)
+        done += rounds
+        left = margin_error(at, margins)
+        if left <= TOLERANCE:
+            break
+        moved = at.agg(F.max(F.abs(F.col("weight") - F.col("rested")) * F.col("tokens")) / F.sum("tokens")).first()[0]
+        if moved is not None and moved < RESTED:
+            warnings.warn(f"no weights reach all margins; the largest error is {left:.3g}", stacklevel=2)
+            break
+        if done >= MOST_ROUNDS:
+            raise ValueError(f"margins are off by {left:.3g} after {done} rounds")
+        at = at.drop("rested")
     return at.select(*cells.columns, "weight")
 
 
-def calibrated(cells: DataFrame, kept: float, rounds: int = CALIBRATIONS) -> DataFrame:
+def margin_error(at: DataFrame, margins: dict[str, float]) -> float:
+    """The largest error of a margin value, relative to its target."""
+    worst = 0.0
+    for column in margins:
+        sums = at.groupBy(column).agg(F.sum(F.col("weight") * F.col("tokens")).alias("now"), F.first(f"to_{column}").alias("to"))
+        worst = max(worst, sums.agg(F.max(F.abs(F.col("now") / F.col("to") - 1))).first()[0] or 0.0)
+    return worst
+
+
+def calibrated(cells: DataFrame, kept: float) -> DataFrame:
     """``cells`` with the probability min(1, factor x weight) at which the expected tokens are ``kept`` of all.
 
     The factor is found by giving cells that would pass 1 exactly 1 and sharing out the rest; the set of such cells only
@@ -78,17 +108,18 @@ def calibrated(cells: DataFrame, kept: float, rounds: int = CALIBRATIONS) -> Dat
     full = F.lit(False)
     total = F.sum("tokens").alias("all")
     factor = 0.0
-    for _ in range(rounds):
+    n_full = -1
+    while True:
         row = cells.agg(
             total,
             F.sum(F.when(full, F.col("tokens"))).alias("capped"),
             F.sum(F.when(~full, F.col("weight") * F.col("tokens"))).alias("free"),
+            F.count_if(full).alias("n_full"),
         ).first()
-        if row["free"] is None or row["free"] <= 0:
+        if row["free"] is None or row["free"] <= 0 or row["n_full"] <= n_full:
             break
+        n_full = row["n_full"]
         now = (kept * row["all"] - (row["capped"] or 0)) / row["free"]
-        if now == factor:
-            break
         factor = now
         full = F.col("weight") * F.lit(factor) >= 1.0
     return cells.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * F.lit(factor)))

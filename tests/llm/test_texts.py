@@ -84,6 +84,17 @@ def test_mixing_reaches_margins_and_budget(spark):
     assert got["probability"].between(0, 1).all()
 
 
+def test_raking_goes_on_until_the_margins_are_reached(spark):
+    """A table on whose margins 12 rounds are not enough."""
+    cells = [("a", "x", "p", 1000), ("b", "x", "p", 60), ("b", "y", "p", 1000), ("c", "y", "p", 60), ("c", "z", "p", 500)]
+    df = spark.createDataFrame([*cells, ("a", "z", "p", 60)], "source string, lang string, topic string, tokens long")
+    got = mixing.raked(df).toPandas()
+    for margin, power in mixing.MARGINS.items():
+        tokens = got.groupby(margin)["tokens"].sum() ** power
+        have = (got["weight"] * got["tokens"]).groupby(got[margin]).sum() / got["tokens"].sum()
+        assert np.allclose(have, tokens / tokens.sum(), rtol=1e-5)
+
+
 def test_mixing_odd_rows(spark):
     rows = [
         (1, None, None, None, 0),
