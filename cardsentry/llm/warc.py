@@ -198,11 +198,11 @@ def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
     return written(keyed.mapInArrow(run, schema), "directory")
 
 
-def look_up(keys: DataFrame, directory: DataFrame, index: str, archives: str) -> DataFrame:
+def look_up(keys: DataFrame, directory: DataFrame, index: str, archives: str, ranges: int | None = None) -> DataFrame:
     """The records of all captures of ``keys(key, page_id)``: page_id, payload_bytes, payload_digest, record_type,
     refers_to. Repeated keys are looked up once; keys without captures give nothing.
 
-    Directory rows and keys meet sorted in the same ranges: a block goes to every range it reaches into, which are few as
+    Directory rows and keys meet sorted in the same ranges (``ranges`` of them, else as many as shuffle partitions): a block goes to every range it reaches into, which are few as
     both sides are sorted, so no task holds more of the directory than its range.
     """
     k = sort_key(F.col("key"), F.col("page_id")).alias("k")
@@ -212,7 +212,7 @@ def look_up(keys: DataFrame, directory: DataFrame, index: str, archives: str) ->
     asked = wanted.select(F.col("k").alias("first"), F.lit(1).alias("asked"), *(F.lit(None).cast(t).alias(c) for c, t in SPOT))
     marks = directory.select("first", F.lit(0).alias("asked"), *(c for c, _ in SPOT))
     # the number is given, as a key is small but stands for a record that is read
-    n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = ranges or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     merged = asked.unionByName(marks).repartitionByRange(n, "first").withColumn("part", F.spark_partition_id())
     merged = written(merged, "lookups")
     # the block that reaches into a range from the range before: the last one that starts below it
@@ -226,9 +226,12 @@ def look_up(keys: DataFrame, directory: DataFrame, index: str, archives: str) ->
         blocks, files = Ranges(*opened(index)), Ranges(*opened(archives))
         held: list[tuple] = []  # blocks that may hold the next key: (first, last, file, offset, length)
         lines: dict[tuple, list[str]] = {}
+        at_range = None
         for part in batches(parts):
             rows = []
-            for key, asked, last, file, offset, length in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            for own_range, key, asked, last, file, offset, length in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                if own_range != at_range:  # a task may have several ranges, each with the block carried into it
+                    at_range, held = own_range, []
                 if not asked:
                     held = [b for b in held if b[1] >= key]
                     held.append((key, last, file, offset, length))
@@ -258,7 +261,7 @@ def look_up(keys: DataFrame, directory: DataFrame, index: str, archives: str) ->
         files.close()
 
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return side.select("first", "asked", *(c for c, _ in SPOT)).mapInArrow(run, schema)
+    return side.select("part", "first", "asked", *(c for c, _ in SPOT)).mapInArrow(run, schema)
 
 
 SPOT = (("last", "string"), ("file", "string"), ("offset", "long"), ("length", "long"))

@@ -5,6 +5,7 @@ import gzip
 import hashlib
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from cardsentry.llm import catalog, warc
@@ -25,8 +26,9 @@ def expected(pages):
     return sorted(out, key=str)
 
 
-def test_query(spark):
-    sf_dir = "/root/testdata/sf0.01"
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query(spark, sf):
+    sf_dir = f"/root/testdata/{sf}"
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html").collect()
     got = catalog.QUERIES["op9_warc"](spark, sf_dir).collect()
     assert sorted(map(tuple, got), key=str) == expected([tuple(r) for r in pages])
@@ -53,6 +55,18 @@ def test_odd_rows_in_small_blocks(spark, tmp_path):
     assert warc.round_trip(spark, df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("ranges", [1, 8, 211])
+@pytest.mark.parametrize("block_lines", [3, 1_000])
+def test_more_and_fewer_ranges_than_blocks(spark, tmp_path, ranges, block_lines):
+    pages = [(i, f"http://h{i % 5}.example.org/{i % 9}", f"<p>{i % 13}</p>") for i in range(60)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    captures = warc.write_archives(df, str(tmp_path / "a"))
+    directory = warc.write_index(captures, str(tmp_path / "i"), block_lines)
+    keys = captures.select("key", "page_id")
+    got = warc.look_up(keys, directory, str(tmp_path / "i"), str(tmp_path / "a"), ranges).collect()
+    assert sorted(map(tuple, got), key=str) == expected(pages)
+
+
 def test_url_keys_sort_hosts_together():
     assert warc.url_key("https://www.Example.org:8080/A/b?C=d") == "org,example,www:8080)/a/b?c=d"
     assert warc.url_key("http://example.org") == "org,example)/"
