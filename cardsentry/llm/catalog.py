@@ -1,7 +1,7 @@
 """The queries of this subpackage, and their SQL where SQL can say the same.
 
-``op7``, ``op1``, ``op4``, ``op5``, ``op6``, ``op8``, ``op9`` and ``op10`` rest on hashes, archives, vocabularies or
-trained models that SQL doesn't have; their tests hold them against brute force, exact round trips or held-out rows.
+``op1``, ``op4`` to ``op10``, ``op12`` and ``op13`` rest on hashes, archives, vocabularies or trained models that SQL
+doesn't have; their tests hold them against brute force, exact round trips or held-out rows.
 """
 
 from collections.abc import Callable
@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardsentry.llm import (
+    alignment,
     chat_format,
     embedding_dedup,
     fingerprints,
+    hard_negatives,
     licenses,
     minhash_dedup,
     mixing,
+    packing,
     pii,
     quality,
     subword_sampling,
@@ -87,6 +90,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"))[0]
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_digests(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -106,7 +123,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pii,
         op9_warc,
         op10_quality,
+        op11_hard_negatives,
+        op12_alignment,
+        op13_packing,
         pipeline,
     )
 }
-SQL: dict[str, str] = {"op2_license_scan": licenses.scan_sql(), "op3_mixing": mixing.mix_sql()}
+SQL: dict[str, str] = {
+    "op2_license_scan": licenses.scan_sql(),
+    "op3_mixing": mixing.mix_sql(),
+    "op11_hard_negatives": hard_negatives.negatives_sql(),
+}
