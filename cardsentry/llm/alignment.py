@@ -41,6 +41,7 @@ RADIX_BITS = 6
 RUN_LINKS = 3_000_000
 FAN_IN = 128
 BLOCK_PAIRS = 1 << 16
+MOST_TASKS = 10_000  # of one merge; beyond it a task has several groups
 PAIR_BITS = 20  # an id of B takes so many bits of a pair, a document of a run those below
 LEVEL = 1
 
@@ -265,7 +266,7 @@ def with_maxima(blocks: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tup
         yield marked(*held)
 
 
-def merge_runs(spots: DataFrame, folder: str, groups: int, last: bool) -> DataFrame:
+def merge_runs(spots: DataFrame, folder: str, parts: int, groups: int, last: bool) -> DataFrame:
     """Merge the heads of each radix part of each group of runs into a new file; rows of SPOT, one a block. Blocks of the
     last merge hold the marks of the highest counts too."""
     names = [c.split()[0] for c in SPOT.split(", ")]
@@ -297,11 +298,13 @@ def merge_runs(spots: DataFrame, folder: str, groups: int, last: bool) -> DataFr
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     dealt = spots.withColumn("part_group", F.pmod(F.xxhash64("run"), F.lit(groups)))
+    # the number of tasks is given, as a row here is small but stands for a frame that is read
+    dealt = dealt.repartition(min(parts * groups, MOST_TASKS), "part", "part_group")
     merged_rows = dealt.groupBy("part", "part_group").applyInArrow(run, SPOT)
     return written(merged_rows, "merged")
 
 
-def contributions(spots: DataFrame, counts: DataFrame, folder: str) -> DataFrame:
+def contributions(spots: DataFrame, counts: DataFrame, folder: str, tasks: int) -> DataFrame:
     """(run, doc, n_best, count_sum): what the counts of its links add up to, per document of every run."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -347,7 +350,7 @@ def contributions(spots: DataFrame, counts: DataFrame, folder: str) -> DataFrame
     inside = (F.col("part") == F.col("p")) & (F.col("low") <= F.col("to")) & (F.col("high") >= F.col("from"))
     asked = needed.join(theirs, inside).select("run", *theirs.columns)
     rows = spots.select("run", *theirs.columns).unionByName(asked)
-    return rows.groupBy("run").applyInArrow(run, "run string, doc int, n_best long, count_sum long")
+    return rows.repartition(tasks, "run").groupBy("run").applyInArrow(run, "run string, doc int, n_best long, count_sum long")
 
 
 def file_of(name: str) -> bytes:
@@ -378,13 +381,15 @@ def align(
     rows = write_runs(docs, folder, file_of(side_a), file_of(side_b), 1 << radix_bits, run_links)
     spots = rows.where("doc IS NULL")
     level = spots.select("run", *[c.split()[0] for c in SPOT.split(", ")])
-    groups = math.ceil(spots.select("run").distinct().count() / fan_in)
+    parts = 1 << radix_bits
+    runs = spots.select("run").distinct().count()
+    groups = math.ceil(runs / fan_in)
     while groups > 1:
-        level = merge_runs(level, folder, groups, last=False).withColumn("run", F.col("file"))
+        level = merge_runs(level, folder, parts, groups, last=False).withColumn("run", F.col("file"))
         # a group has a file a part; the same number of groups stands for all parts
         groups = math.ceil(groups / fan_in)
-    counts = merge_runs(level, folder, 1, last=True)
-    back = contributions(spots, counts, folder)
+    counts = merge_runs(level, folder, parts, 1, last=True)
+    back = contributions(spots, counts, folder, max(1, min(runs, MOST_TASKS)))
     own = rows.where("doc IS NOT NULL").select(*[c.split()[0] for c in DOC.split(", ")], "run", "doc")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     out = own.join(back, ["run", "doc"], "left")

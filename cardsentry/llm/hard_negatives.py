@@ -31,6 +31,7 @@ from cardsentry.llm.common import written
 TREE_ROWS = 4096
 ANCHOR_BLOCK = 2048
 LEAF = 16
+MOST_TASKS = 10_000  # of one search; beyond it a task has several trees
 SLACK = 1e-6  # of an angle; far more than rounding makes of it
 EXACT = 2.0**53
 POSITIVES, NEGATIVES = 5, 5
@@ -244,8 +245,10 @@ def searched(trees: DataFrame, asked: DataFrame, k: int, windows: bool) -> DataF
         return found_rows(out)
 
     blocks = written(asked.select("tree", "block").distinct(), "blocks")  # a row for each task to come
-    copies = trees.join(blocks, "tree")
     keys = ["tree", "block"]
+    # the number is given, as a tree and a block are small but stand for many inner products
+    n = max(1, min(blocks.count(), MOST_TASKS))
+    copies, asked = trees.join(blocks, "tree").repartition(n, *keys), asked.repartition(n, *keys)
     return copies.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(run, FOUND)
 
 
