@@ -1,8 +1,16 @@
-"""Isolation forest: trees are grown in parallel from small random samples of the normal rows, scored in Arrow batches.
+"""Isolation forest, grown level by level over all tasks and scored in Arrow batches.
 
-A tree needs only a few hundred rows to isolate outliers, so the sample per tree is bounded (``rows_per_tree``) however
-large the table is; drawing the samples is one narrow pass. Scores do not depend on a contamination rate: it would shift
-all raw scores by a constant, which the scaling by the training extremes removes.
+A tree is drawn from a share of the normal rows or from a given number of them, whatever that comes to. Its rows are
+(tree, node, features) records, so that neither a tree nor a node has to fit into one task: nodes of more than
+``local_rows`` rows are cut by an aggregate over all of them (``groupBy(tree, node)``: the extremes of the features), one
+level after the other. What has become small enough goes on in one task, with the whole subtree below it ("block").
+
+A cut depends on nothing but the seed, the tree, the number of the node and the extremes of its rows. So it is the same
+whichever way a node was cut, and however rows are dealt to tasks. Nodes are numbered like a heap: 0 at the root, 2i + 1
+and 2i + 2 below i.
+
+Scores do not depend on a contamination rate: it would shift all raw scores by a constant, which the scaling by the
+training extremes removes.
 """
 
 from __future__ import annotations
@@ -13,6 +21,8 @@ from datetime import datetime, timezone
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,40 +33,180 @@ from cardsentry.sources.state import load_scalars, save_scalars, save_table
 
 # Number of trees, shares of rows and columns per tree, seed.
 TREES, MAX_SAMPLES, MAX_FEATURES, SEED = 200, 0.8, 0.8, 42
-ROWS_PER_TREE = 256
+LOCAL_ROWS = 65_536
+BROADCAST_NODES = 16_000_000  # at 17 bytes each
 EULER = 0.5772156649015329
-NODES = "tree int, node int, feature int, threshold double, left int, right int, path double"
+# block: the node at which a task took over, -1 for what was cut by aggregates. feature is -1 for leaves.
+NODES = "tree int, node long, block long, feature int, threshold double, path double"
 
 
-def mean_path(n: float) -> float:
+def mean_path(n: np.ndarray | float) -> np.ndarray:
     """Mean depth of an unsuccessful search among n rows."""
-    if n <= 1:
-        return 0.0
-    return 1.0 if n == 2 else 2.0 * (np.log(n - 1.0) + EULER) - 2.0 * (n - 1.0) / n
-
-
-def grow(x: np.ndarray, rng: np.random.Generator, features: np.ndarray, max_depth: int) -> list[tuple]:
-    """Nodes (node, feature, threshold, left, right, path) of one tree; leaves have feature -1."""
-    nodes: list[list] = []
-    stack = [(np.arange(len(x)), 0, -1, 0)]
-    while stack:
-        rows, depth, parent, side = stack.pop()
-        me = len(nodes)
-        if parent >= 0:
-            nodes[parent][3 + side] = me
-        part = x[np.ix_(rows, features)]
-        spread = features[part.max(axis=0) > part.min(axis=0)] if len(rows) > 1 else features[:0]
-        if depth >= max_depth or not len(spread):
-            nodes.append([me, -1, 0.0, -1, -1, depth + mean_path(len(rows))])
-            continue
-        f = int(rng.choice(spread))
-        low, high = x[rows, f].min(), x[rows, f].max()
-        cut = float(rng.uniform(low, high))
-        goes_left = x[rows, f] <= cut
-        nodes.append([me, f, cut, -1, -1, 0.0])
-        stack.append((rows[~goes_left], depth + 1, me, 1))
-        stack.append((rows[goes_left], depth + 1, me, 0))
-    return [tuple(n) for n in nodes]
+    n = np.asarray(n, dtype=float)
+    m = np.maximum(n, 3.0)
+    return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, 2.0 * (np.log(m - 1.0) + EULER) - 2.0 * (m - 1.0) / m))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit numbers."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def tree_columns(tree: int, features: int, share: float, seed: int) -> np.ndarray:
+    """The columns that a tree may cut."""
+    return np.sort(np.random.default_rng([seed, tree]).choice(features, max(1, int(share * features)), replace=False))
+
+
+def choose(seed: int, tree: np.ndarray, node: np.ndarray, low: np.ndarray, high: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, threshold) per node from the extremes of its rows, one column a feature: any allowed feature that is not
+    constant, cut anywhere between its extremes; -1 where there is none."""
+    open_ = (high > low) & allowed
+    n = open_.sum(axis=1)
+    with np.errstate(over="ignore"):
+        start = np.uint64(seed % (1 << 64)) * np.uint64(0x9E3779B97F4A7C15) + tree.astype(np.uint64)
+        key = _mixed(_mixed(start) + node.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
+        pick, place = _mixed(key + np.uint64(1)), _mixed(key + np.uint64(2))
+    nth = (pick % np.maximum(n, 1).astype(np.uint64)).astype(np.int64)
+    feature = np.argmax(np.cumsum(open_, axis=1) == nth[:, None] + 1, axis=1)
+    rows = np.arange(len(node))
+    lo, hi = low[rows, feature], high[rows, feature]
+    cut = lo + (place >> np.uint64(11)).astype(float) * 2.0**-53 * (hi - lo)
+    cut = np.where(cut < hi, cut, lo)  # rounding must not leave the right side empty
+    return np.where(n > 0, feature, -1), np.where(n > 0, cut, 0.0)
+
+
+def depth_of(node: np.ndarray) -> np.ndarray:
+    return np.floor(np.log2(node.astype(float) + 1.0)).astype(np.int64)
+
+
+def grow(x: np.ndarray, seed: int, tree: int, root: int, columns: np.ndarray, max_depth: int) -> tuple[np.ndarray, ...]:
+    """(node, feature, threshold, path) below ``root``, whose rows are ``x``; all nodes of a level at a time."""
+    allowed = np.zeros(x.shape[1], bool)
+    allowed[columns] = True
+    node = np.array([root], np.int64)
+    starts, rows, depth = np.array([0]), np.arange(len(x)), int(depth_of(np.array([root]))[0])
+    out: list[tuple] = []
+    while len(node):
+        part = x[rows]
+        low, high = np.minimum.reduceat(part, starts), np.maximum.reduceat(part, starts)
+        count = np.diff(np.append(starts, len(rows)))
+        feature, cut = choose(seed, np.full(len(node), tree), node, low, high, allowed)
+        feature = np.where((count > 1) & (depth < max_depth), feature, -1)
+        inner = feature >= 0
+        out.append((node, feature, np.where(inner, cut, 0.0), np.where(inner, 0.0, depth + mean_path(count))))
+        of = np.repeat(np.arange(len(node)), count)
+        stay = inner[of]
+        rows, of = rows[stay], of[stay]
+        right = x[rows, feature[of]] > cut[of]
+        order = np.argsort(2 * of + right, kind="stable")
+        rows, child = rows[order], (2 * of + right)[order]
+        inside = np.flatnonzero(inner)
+        node = np.column_stack([2 * node[inside] + 1, 2 * node[inside] + 2]).ravel()
+        starts = np.searchsorted(child, np.column_stack([2 * inside, 2 * inside + 1]).ravel())
+        depth += 1
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def draws(normal: DataFrame, n: int, sample: int, trees: int, row_id: str, seed: int, features: list[str]) -> DataFrame:
+    """(tree, node 0, features): every row joins trees * sample / n trees on average, each at most once: a run of whole
+    trees from a place that the hash of its id gives, and one more by another hash."""
+    rate = trees * sample / n
+    draw = F.pmod(F.xxhash64(row_id, F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    copies = F.lit(int(rate)) + (draw < F.lit(rate - int(rate))).cast("int")
+    start = F.pmod(F.xxhash64(row_id, F.lit(seed + 1)), F.lit(trees))
+    return (
+        normal.select(*[F.col(c).cast("double").alias(c) for c in features], copies.alias("_k"), start.alias("_s"))
+        .where("_k > 0")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+        .select(((F.col("_s") + F.col("_copy")) % trees).cast("int").alias("tree"), F.lit(0).cast("long").alias("node"), *features)
+    )
+
+
+def _matrix(batch: pa.RecordBatch | pa.Table, features: list[str]) -> np.ndarray:
+    return np.column_stack([batch[c].to_numpy(zero_copy_only=False) if isinstance(batch, pa.RecordBatch) else batch[c].to_numpy() for c in features])
+
+
+def grow_trees(drawn: DataFrame, features: list[str], share: float, seed: int, max_depth: int, local_rows: int) -> DataFrame:
+    """The nodes of all trees."""
+    width = len(features)
+    tops, ready = [], []
+    names = [c.split()[0] for c in NODES.split(", ")]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            tree, node = b["tree"].to_numpy(), b["node"].to_numpy()
+            low, high = (np.column_stack([b[f"{e}{i}"].to_numpy() for i in range(width)]) for e in ("lo", "hi"))
+            allowed = np.zeros((len(node), width), bool)
+            for t in np.unique(tree):
+                allowed[np.ix_(tree == t, tree_columns(int(t), width, share, seed))] = True
+            feature, threshold = choose(seed, tree, node, low, high, allowed)
+            depth = depth_of(node)
+            feature = np.where(depth < max_depth, feature, -1)
+            path = np.where(feature < 0, depth + mean_path(b["n"].to_numpy()), 0.0)
+            columns = [tree, node, np.full(len(node), -1), feature.astype(np.int32), np.where(feature < 0, 0.0, threshold), path]
+            yield pa.record_batch([pa.array(c) for c in columns], names)
+
+    def block(table: pa.Table) -> pa.Table:
+        tree, root = table["tree"][0].as_py(), table["node"][0].as_py()
+        columns = tree_columns(tree, width, share, seed)
+        node, feature, threshold, path = grow(_matrix(table, features), seed, tree, root, columns, max_depth)
+        own = [np.full(len(node), tree, np.int32), node, np.full(len(node), root), feature.astype(np.int32), threshold, path]
+        return pa.table([pa.array(c) for c in own], names)
+
+    extremes = [f(c).alias(f"{e}{i}") for i, c in enumerate(features) for e, f in (("lo", F.min), ("hi", F.max))]
+    while True:
+        sizes = drawn.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > local_rows)
+        large = materialise(sizes.select("tree", "node"))
+        if large.isEmpty():
+            ready.append(drawn)
+            break
+        ready.append(drawn.join(large, ["tree", "node"], "left_anti"))
+        rest = drawn.join(large, ["tree", "node"], "left_semi")
+        stats = rest.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("n"), *extremes)
+        tops.append(materialise(stats.mapInArrow(cut, NODES)))
+        inner = tops[-1].where("feature >= 0").select("tree", "node", F.col("feature").alias("_f"), F.col("threshold").alias("_t"))
+        value = F.element_at(F.array(*features), F.col("_f") + 1)
+        side = F.when(value > F.col("_t"), F.lit(2)).otherwise(F.lit(1))
+        moved = rest.join(inner, ["tree", "node"]).withColumn("node", 2 * F.col("node") + side)
+        drawn = materialise(moved.select("tree", "node", *features))
+    nodes = None
+    for part in ready:
+        nodes = part if nodes is None else nodes.unionByName(part)
+    out = nodes.groupBy("tree", "node").applyInArrow(block, NODES)
+    for top in tops:
+        out = out.unionByName(top)
+    return materialise(out)
+
+
+class Trees:
+    """Nodes of trees (or of one block of a tree) as arrays, by which rows are walked."""
+
+    def __init__(self, table: pa.Table):
+        table = table.sort_by([("tree", "ascending"), ("node", "ascending")])
+        tree = table["tree"].to_numpy()
+        node, feature, threshold, path = (table[c].to_numpy() for c in ("node", "feature", "threshold", "path"))
+        starts = np.flatnonzero(np.concatenate([[True], tree[1:] != tree[:-1]])) if len(tree) else np.zeros(0, int)
+        self.trees = []
+        for a, b in zip(starts, [*starts[1:], len(tree)], strict=True):
+            own = node[a:b]
+            left = np.searchsorted(own, 2 * own + 1).astype(np.int32)  # the right child comes next to it
+            self.trees.append((feature[a:b].astype(np.int16), threshold[a:b], left, path[a:b].astype(np.float32)))
+
+    @staticmethod
+    def walk(x: np.ndarray, tree: tuple) -> np.ndarray:
+        """The position of the leaf of each row."""
+        feature, threshold, left, _ = tree
+        at = np.zeros(len(x), np.int64)
+        rows = np.arange(len(x)) if feature[0] >= 0 else np.zeros(0, np.int64)
+        while len(rows):
+            here = at[rows]
+            at[rows] = left[here] + (x[rows, feature[here]] > threshold[here])
+            rows = rows[feature[at[rows]] >= 0]
+        return at
 
 
 @dataclass
@@ -64,6 +214,7 @@ class IsolationForest:
     nodes: DataFrame
     features: list[str]
     sample: int
+    trees: int = TREES
     low: float = 0.0
     high: float = 1.0
     metadata: dict = field(default_factory=dict)
@@ -76,43 +227,24 @@ class IsolationForest:
         label: str = LABEL,
         row_id: str = ROW_ID,
         trees: int = TREES,
-        max_samples: float = MAX_SAMPLES,
+        max_samples: float | int = MAX_SAMPLES,
         max_features: float = MAX_FEATURES,
-        rows_per_tree: int = ROWS_PER_TREE,
+        local_rows: int = LOCAL_ROWS,
         seed: int = SEED,
     ) -> IsolationForest:
+        """``max_samples`` is a share of the normal rows as a float, or a number of rows as an int; a tree has that many rows
+        on average, never more than there are. A share makes trees that grow with the table, a number does not."""
         normal = df.where(F.col(label) == 0)
         counts = df.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col(label) == 0).alias("normal")).first()
         n = counts["normal"]
         if n == 0:
             raise ValueError("no normal rows to fit on")
-        sample = max(1, min(int(max_samples * n), rows_per_tree))
-        # every row joins trees * sample / n trees on average: whole copies, plus one more by the hash of its id
-        rate = trees * sample / n
-        draw = F.pmod(F.xxhash64(row_id, F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        copies = F.lit(int(rate)) + (draw < F.lit(rate - int(rate))).cast("int")
-        start = F.pmod(F.xxhash64(row_id, F.lit(seed + 1)), F.lit(trees))
-        drawn = (
-            normal.select(F.col(row_id).cast("string").alias("_id"), *features, copies.alias("_k"), start.alias("_s"))
-            .where("_k > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
-            .select(((F.col("_s") + F.col("_copy")) % trees).cast("int").alias("tree"), "_id", *features)
-        )
-        use = max(1, int(max_features * len(features)))
+        sample = max(1, min(n, int(max_samples if isinstance(max_samples, int) else max_samples * n)))
         depth = int(np.ceil(np.log2(max(sample, 2))))
-
-        def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-            rng = np.random.default_rng([seed, int(key[0])])
-            x = rows.sort_values("_id")[features].to_numpy(dtype=float)
-            chosen = rng.choice(len(features), use, replace=False)
-            out = pd.DataFrame(grow(x, rng, chosen, depth), columns=["node", "feature", "threshold", "left", "right", "path"])
-            out.insert(0, "tree", int(key[0]))
-            return out
-
-        nodes = materialise(drawn.groupBy("tree").applyInPandas(build, NODES))
-        model = IsolationForest(nodes, features, sample)
-        raw = normal.select(model.raw(normal).alias("raw"))
-        ends = raw.agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).first()
+        drawn = draws(normal, n, sample, trees, row_id, seed, features)
+        nodes = grow_trees(drawn, features, max_features, seed, depth, local_rows)
+        model = IsolationForest(nodes, features, sample, nodes.select("tree").distinct().count())
+        ends = model.with_raw(normal.select(*features), "raw").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).first()
         model.low, model.high = ends["lo"], ends["hi"]
         model.metadata = {
             "training_date": datetime.now(timezone.utc).isoformat(),
@@ -123,48 +255,90 @@ class IsolationForest:
         }
         return model
 
-    def arrays(self) -> list[tuple]:
-        """Per tree (feature, threshold, left, right, path); at most twice the sampled rows per tree."""
-        table = self.nodes.toPandas().sort_values(["tree", "node"])
-        return [
-            tuple(t[c].to_numpy() for c in ("feature", "threshold", "left", "right", "path"))
-            for _, t in table.groupby("tree")
-        ]
+    def with_raw(self, df: DataFrame, name: str, broadcast_nodes: int = BROADCAST_NODES) -> DataFrame:
+        """Add 2 ** (-mean path / expected path): higher is more unusual.
 
-    def raw(self, df: DataFrame) -> Column:
-        """2 ** (-mean path / expected path): higher is more unusual."""
-        shared = df.sparkSession.sparkContext.broadcast(self.arrays())
-        scale = mean_path(self.sample) or 1.0
+        A forest of up to ``broadcast_nodes`` nodes is sent to every task. A larger one stays where it is, and the rows go
+        to its blocks; a stream needs the former, whatever the size. Both ways agree to rounding (1e-6)."""
+        scale = float(mean_path(self.sample)) or 1.0
+        score = lambda total: F.exp(total * F.lit(-np.log(2.0) / self.trees / scale))
+        if df.isStreaming or self.nodes.count() <= broadcast_nodes:
+            return df.withColumn(name, score(self._path_by_broadcast(df)))
+        return self._path_by_blocks(df, name).withColumn(name, score(F.col(name)))
+
+    def _path_by_broadcast(self, df: DataFrame) -> Column:
+        shared = df.sparkSession.sparkContext.broadcast(Trees(self.nodes.drop("block").toArrow()).trees)
 
         @F.pandas_udf("double")
-        def depth_score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-            trees = shared.value
+        def path(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             for columns in batches:
                 x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-                rows, total = np.arange(len(x)), np.zeros(len(x))
-                for feature, threshold, left, right, path in trees:
-                    at = np.zeros(len(x), dtype=np.int64)
-                    while True:
-                        f = feature[at]
-                        inner = f >= 0
-                        if not inner.any():
-                            break
-                        step = np.where(x[rows, f] <= threshold[at], left[at], right[at])
-                        at = np.where(inner, step, at)
-                    total += path[at]
-                yield pd.Series(np.exp2(-total / len(trees) / scale))
-
-        return depth_score(*[F.col(c).cast("double") for c in self.features])
+                total = np.zeros(len(x))
+                for tree in shared.value:
+                    total += tree[3][Trees.walk(x, tree)]
+                yield pd.Series(total)
+
+        return path(*[F.col(c).cast("double") for c in self.features])
+
+    def _path_by_blocks(self, df: DataFrame, name: str, block_rows: int = LOCAL_ROWS) -> DataFrame:
+        """Every row goes through the top of every tree, which is cut by aggregates and small (a node for every ``local_rows``
+        drawn rows), to the block that it falls into. Rows and blocks meet by (tree, block); a block that many rows fall
+        into goes to several tasks."""
+        features = self.features
+        keyed = materialise(df.withColumn("_row", F.monotonically_increasing_id()))
+        tops = self.nodes.where("block < 0").toArrow()
+        numbers = sorted(self.nodes.select("tree").distinct().toArrow()["tree"].to_pylist())
+        own = {t: tops.filter(pc.equal(tops["tree"], t)).sort_by("node") for t in numbers}
+        arrays = {t: [p[c].to_numpy() for c in ("node", "feature", "threshold", "path")] for t, p in own.items()}
+        shared = df.sparkSession.sparkContext.broadcast(arrays)
+
+        def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                x = _matrix(b, features)
+                for tree, (node, feature, threshold, path) in shared.value.items():
+                    at, done = np.zeros(len(x), np.int64), np.full(len(x), np.nan)
+                    rows = np.arange(len(x)) if len(node) else np.zeros(0, np.int64)
+                    while len(rows):
+                        spot = np.minimum(np.searchsorted(node, at[rows]), len(node) - 1)
+                        known = node[spot] == at[rows]
+                        leaf = known & (feature[spot] < 0)
+                        done[rows[leaf]] = path[spot[leaf]]
+                        go = known & ~leaf
+                        rows, spot = rows[go], spot[go]
+                        at[rows] = 2 * at[rows] + 1 + (x[rows, feature[spot]] > threshold[spot])
+                    ended = pa.array(done, mask=np.isnan(done))
+                    tree_of = pa.array(np.full(len(x), tree, np.int32))
+                    yield pa.record_batch([b["_row"], tree_of, pa.array(at), ended, *(b[c] for c in features)], kept)
+
+        def walk(rows: pa.Table, nodes: pa.Table) -> pa.Table:
+            tree = Trees(nodes).trees[0]
+            at = Trees.walk(_matrix(rows, features), tree)
+            return pa.table({"_row": rows["_row"], "path": pa.array(tree[3][at].astype(float))})
+
+        kept = ["_row", "tree", "block", "done", *features]
+        kinds = "_row long, tree int, block long, done double, " + ", ".join(f"`{c}` double" for c in features)
+        plain = keyed.select("_row", *[F.col(c).cast("double").alias(c) for c in features])
+        placed = materialise(plain.mapInArrow(to_blocks, kinds))
+        inside = placed.where("done IS NULL").drop("done")
+        parts = F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("parts")
+        sizes = materialise(inside.groupBy("tree", "block").agg(parts))
+        key = ["tree", "block", "part"]
+        dealt = inside.join(sizes, ["tree", "block"]).withColumn("part", F.pmod(F.xxhash64("_row"), F.col("parts")).cast("int"))
+        copies = self.nodes.join(sizes, ["tree", "block"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        met = dealt.drop("parts").groupBy(*key).cogroup(copies.drop("parts").groupBy(*key)).applyInArrow(walk, "_row long, path double")
+        paths = met.unionByName(placed.where("done IS NOT NULL").select("_row", F.col("done").alias("path")))
+        total = paths.groupBy("_row").agg(F.sum("path").alias(name))
+        return keyed.join(total, "_row").select(*df.columns, name)
 
     def score(self, df: DataFrame, name: str = "iso_score") -> DataFrame:
         """Add the anomaly score in [0, 1]; higher is more likely fraud."""
-        raw = df.withColumn("_raw", self.raw(df))
+        raw = self.with_raw(df, "_raw")
         return raw.withColumn(name, minmax(F.col("_raw"), self.low, self.high, clip=True)).drop("_raw")
 
     def save(self, spark: SparkSession, path: str) -> None:
         save_table(self.nodes, f"{path}/nodes")
-        scalars = {"features": self.features, "sample": self.sample, "low": self.low, "high": self.high, "metadata": self.metadata}
-        save_scalars(spark, scalars, f"{path}/scalars")
+        names = ("features", "sample", "trees", "low", "high", "metadata")
+        save_scalars(spark, {c: getattr(self, c) for c in names}, f"{path}/scalars")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> IsolationForest:

@@ -1,9 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cardsentry.models.boosted import BoostedTrees, first_best
-from cardsentry.models.forest import IsolationForest, grow
+from cardsentry.models.forest import IsolationForest, choose, draws, grow, mean_path, tree_columns
 from cardsentry.models.reconstruction import LinearReconstruction, NetworkReconstruction
 from cardsentry.plans.training import Scorer, train
 from cardsentry.sources.tables import transactions
@@ -45,9 +46,61 @@ def test_forest_needs_normal_rows(points):
 
 def test_tree_separates_every_row_it_can():
     x = np.arange(16.0).reshape(-1, 1)
-    nodes = grow(x, np.random.default_rng(0), np.array([0]), max_depth=16)
-    leaves = [n for n in nodes if n[1] < 0]
-    assert len(leaves) == 16 and len(nodes) == 31
+    node, feature, cut, path = grow(x, 3, 0, 0, np.array([0]), max_depth=16)
+    assert (feature < 0).sum() == 16 and len(node) == 31 and len(set(node.tolist())) == 31
+    assert (path[feature < 0] == np.floor(np.log2(node[feature < 0] + 1.0))).all()
+
+
+def brute_forest(x, trees_of, trees, share, seed, depth):
+    """The mean path of every row of ``x``, tree by tree and row set by row set."""
+    total = np.zeros(len(x))
+    for tree in range(trees):
+        columns = tree_columns(tree, x.shape[1], share, seed)
+        allowed = np.zeros((1, x.shape[1]), bool)
+        allowed[0, columns] = True
+
+        def down(node, drawn, rows, depth_now, tree=tree, allowed=allowed):
+            own = x[drawn]
+            ends = own.min(axis=0)[None], own.max(axis=0)[None]
+            feature, cut = choose(seed, np.array([tree]), np.array([node]), *ends, allowed)
+            if len(drawn) <= 1 or depth_now >= depth or feature[0] < 0:
+                total[rows] += depth_now + mean_path(len(drawn))
+                return
+            low = lambda r: r[x[r, feature[0]] <= cut[0]]
+            high = lambda r: r[x[r, feature[0]] > cut[0]]
+            down(2 * node + 1, low(drawn), low(rows), depth_now + 1)
+            down(2 * node + 2, high(drawn), high(rows), depth_now + 1)
+
+        down(0, np.flatnonzero(trees_of[tree]), np.arange(len(x)), 0)
+    return total / trees
+
+
+@pytest.mark.parametrize("max_samples, local_rows", [(0.8, 4_000), (0.8, 200_000), (256, 65_536)])
+def test_forest_of_many_rows_equals_brute_force(spark, max_samples, local_rows):
+    """100,000 rows, cut by aggregates level by level and in blocks, or whole trees in one task each."""
+    n, trees, seed = 100_000, 3, 42
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.normal(size=n), rng.exponential(size=n), rng.integers(0, 4, n).astype(float), np.ones(n)])
+    rows = pa.table({"trans_num": [str(i) for i in range(n)], "is_fraud": np.zeros(n, np.int64), **dict(zip("abcd", x.T, strict=True))})
+    df = spark.createDataFrame(rows)
+    names = list("abcd")
+    model = IsolationForest.fit(df, names, trees=trees, max_samples=max_samples, local_rows=local_rows)
+    blocks = model.nodes.where("block = node").count()
+    assert blocks == trees if local_rows > 65_000 else blocks > 50
+    share = model.sample / n
+    assert model.sample == (80_000 if isinstance(max_samples, float) else 256)
+    drawn = draws(df.withColumn("a", F.col("trans_num").cast("double")), n, model.sample, trees, "trans_num", seed, ["a"])
+    trees_of = np.zeros((trees, n), bool)
+    for r in drawn.toArrow().to_pylist():
+        trees_of[r["tree"], int(r["a"])] = True
+    assert np.abs(trees_of.mean(axis=1) / share - 1).max() < 0.3
+    want = brute_forest(x, trees_of, trees, 0.8, seed, int(np.ceil(np.log2(model.sample))))
+    want = np.exp2(-want / mean_path(model.sample))
+    for limit in (0, 10**9):  # rows go to the blocks, or the forest to the rows
+        got = model.with_raw(df.select("trans_num", *names), "raw", broadcast_nodes=limit).select("trans_num", "raw").toArrow()
+        found = np.zeros(n)
+        found[np.array(got["trans_num"].to_pylist(), int)] = got["raw"].to_numpy()
+        assert np.abs(found - want).max() < 1e-6
 
 
 def test_linear_reconstruction(spark, points, tmp_path):
