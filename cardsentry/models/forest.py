@@ -34,7 +34,7 @@ from cardsentry.sources.state import load_scalars, save_scalars, save_table
 # Number of trees, shares of rows and columns per tree, seed.
 TREES, MAX_SAMPLES, MAX_FEATURES, SEED = 200, 0.8, 0.8, 42
 LOCAL_ROWS = 65_536
-BROADCAST_NODES = 16_000_000  # at 17 bytes each
+BROADCAST_NODES = 8_000_000  # at 18 bytes each
 EULER = 0.5772156649015329
 # block: the node at which a task took over, -1 for what was cut by aggregates. feature is -1 for leaves.
 NODES = "tree int, node long, block long, feature int, threshold double, path double"

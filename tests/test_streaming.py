@@ -2,6 +2,8 @@ import random
 import uuid
 from datetime import timedelta
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from cardsentry.plans.training import train
 from cardsentry.sources.tables import transactions
 from cardsentry.streaming import run, scoring
 from cardsentry.streaming.alerts import rate_limit_sink
-from cardsentry.streaming.velocity import stream_velocity
+from cardsentry.streaming.velocity import VelocityProcessor, late_rows_apart, stream_velocity
 from tests.test_monitoring import limited_by_hand
 from tests.test_velocity import T0, edge_rows, frame, random_rows
 
@@ -29,26 +31,131 @@ def collect(spark, tmp_path, stream):
     return run.read_batches(spark, out).drop("batch")
 
 
-def test_stream_velocity_equals_batch(spark, tmp_path):
-    rows = sorted(edge_rows() + [(f"r{r[0]}", r[1] + 100, *r[2:]) for r in random_rows(300, 4, 8)], key=lambda r: (r[2], r[0]))
+def end_mark(df, card="cc_num"):
+    """A record without a card, a year on."""
+    later = (F.max("trans_date_trans_time") + F.expr("INTERVAL 1 YEAR")).alias("trans_date_trans_time")
+    last = df.agg(later)
+    fields = df.schema.fields
+    return last.select(*[F.col(f.name) if f.name in last.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
+NAMES = ["time_since_last_txn", "rapid_fire_flag", "txn_count_1h", "txn_count_24h", "avg_amount_24h", "amount_zscore"]
+
+
+def test_stream_velocity_equals_batch_in_any_order(spark, tmp_path):
+    rows = edge_rows() + [(f"r{r[0]}", r[1] + 100, *r[2:]) for r in random_rows(300, 4, 8)]
+    random.Random(1).shuffle(rows)
     df = frame(spark, rows)
     n = len(rows) // 4
-    parts = [frame(spark, random.Random(1).sample(rows[i : i + n], len(rows[i : i + n]))) for i in range(0, len(rows), n)]
-    got = collect(spark, tmp_path, stream_velocity(stream_of(spark, tmp_path, parts), 7.5))
+    parts = [frame(spark, rows[i : i + n]) for i in range(0, len(rows), n)]
+    stream = stream_velocity(stream_of(spark, tmp_path, [*parts, end_mark(df)]), 7.5, delay="400 days")
+    got = collect(spark, tmp_path, stream)
+    assert got.where("late").count() == 0 and got.count() == 0  # all of them wait: the mark is only a year ahead
+    stream = stream_velocity(stream_of(spark, tmp_path, [*parts, end_mark(df)]), 7.5, delay="100 days")
+    got = collect(spark, tmp_path, stream)
     assert got.where("late").count() == 0
-    names = ["time_since_last_txn", "rapid_fire_flag", "txn_count_1h", "txn_count_24h", "avg_amount_24h", "amount_zscore"]
     want = {r["trans_num"]: r for r in velocity_features(df, 7.5).collect()}
     for r in got.collect():
-        assert [r[c] for c in names] == pytest.approx([want[r["trans_num"]][c] for c in names], abs=1e-6, nan_ok=True)
+        assert [r[c] for c in NAMES] == pytest.approx([want[r["trans_num"]][c] for c in NAMES], abs=1e-6, nan_ok=True)
     assert got.count() == len(rows)
 
 
-def test_rows_older_than_the_card_are_marked_late(spark, tmp_path):
+def test_rows_beyond_the_watermark_come_out_apart(spark, tmp_path):
     first = frame(spark, [("a", 1, T0 + timedelta(hours=2), 5.0)])
-    second = frame(spark, [("b", 1, T0, 5.0), ("c", 1, T0 + timedelta(hours=3), 5.0), ("d", 2, T0, 1.0)])
-    got = {r["trans_num"]: r for r in collect(spark, tmp_path, stream_velocity(stream_of(spark, tmp_path, [first, second]))).collect()}
-    assert {k for k, r in got.items() if r["late"]} == {"b"}
-    assert got["b"]["txn_count_24h"] is None and got["c"]["txn_count_24h"] == 2
+    # within the delay of an hour, and beyond it
+    second = frame(spark, [("b", 1, T0 + timedelta(hours=1, minutes=30), 7.0), ("e", 3, T0 + timedelta(hours=9), 1.0)])
+    third = frame(spark, [("c", 1, T0, 5.0), ("d", 2, T0 + timedelta(hours=9), 1.0), ("f", 1, T0 + timedelta(hours=8, minutes=30), 9.0)])
+    # the watermark of a batch is told by those before it, so that of the third one releases the first rows
+    between = frame(spark, [("g", 9, T0 + timedelta(hours=9), 1.0)])
+    parts = [first, second, between, third, end_mark(first)]
+    out, rejects = str(tmp_path / "out"), str(tmp_path / "rejects")
+    stream = stream_velocity(stream_of(spark, tmp_path, parts), delay="1 hour")
+    run.process_available(stream, str(tmp_path / "cp"), late_rows_apart(out, rejects))
+    got = {r["trans_num"]: r for r in run.read_batches(spark, out).collect()}
+    lost = run.read_batches(spark, rejects).drop("batch")
+    assert lost.columns == first.columns and [r["trans_num"] for r in lost.collect()] == ["c"]
+    assert set(got) == set("abdefg")
+    assert (got["b"]["txn_count_24h"], got["a"]["txn_count_24h"], got["f"]["txn_count_24h"]) == (1, 2, 3)
+    assert got["a"]["avg_amount_24h"] == 6.0
+
+
+class Store(dict):
+    """Keyed state in memory, with the calls that the processor makes."""
+
+    def exists(self):
+        return "v" in self
+
+    def get(self):
+        return self["v"]
+
+    def update(self, v):
+        self["v"] = v
+
+    def getValue(self, k):
+        return self[k]
+
+    def updateValue(self, k, v):
+        self[k] = v
+
+    def removeKey(self, k):
+        self.pop(k, None)
+
+    def containsKey(self, k):
+        return k in self
+
+    def iterator(self):
+        return iter(list(self.items()))
+
+
+class Handle:
+    def __init__(self):
+        self.stores, self.timers = {}, set()
+
+    def getValueState(self, name, *_):
+        return self.stores.setdefault(name, Store())
+
+    getMapState = getValueState
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+
+class At:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_a_backlog_of_one_card_goes_through_in_pieces():
+    """90,000 rows of a card in one batch, shuffled: no piece is larger than asked for, and the state ends small."""
+    n, step = 90_000, 2_000_000
+    us = np.arange(n, dtype=np.int64) * step
+    rows = pd.DataFrame({"trans_num": [f"{i:06d}" for i in range(n)], "cc_num": 7, "event_us": us, "amt": (us // step % 97) / 7.0})
+    handle = Handle()
+    processor = VelocityProcessor(1.0, "trans_num", piece_rows=5_000)
+    processor.init(handle)
+    shuffled = rows.sample(frac=1.0, random_state=3)
+    parts = (shuffled.iloc[i : i + 10_000] for i in range(0, n, 10_000))
+    assert list(processor.handleInputRows((7,), parts, At(0))) == []
+    assert len(handle.timers) == 1
+    handle.timers.clear()
+    pieces = list(processor.handleExpiredTimer((7,), At(2**53), None))
+    assert sum(map(len, pieces)) == n and max(map(len, pieces)) <= 5_000 + 31
+    out = pd.concat(pieces, ignore_index=True)
+    assert out["trans_num"].tolist() == rows["trans_num"].tolist()
+    assert (out["txn_count_1h"].to_numpy() == np.minimum(np.arange(n) + 1, 1801)).all()
+    assert (out["txn_count_24h"].to_numpy() == np.minimum(np.arange(n) + 1, 43201)).all()
+    sums = np.concatenate([[0.0], np.cumsum(rows["amt"])])
+    first = np.maximum(np.arange(n) - 43_200, 0)
+    mean = (sums[1:] - sums[first]) / (np.arange(n) + 1 - first)
+    assert np.abs(out["avg_amount_24h"].to_numpy() - mean).max() < 1e-6
+    assert not handle.stores["waiting"] and not handle.stores["pieces"] and not handle.timers
+    assert sum(len(v[0]) for v in handle.stores["rows"].values()) <= 43_200 + 2 * 30 + 1
 
 
 @pytest.fixture(scope="module")
@@ -67,7 +174,7 @@ def test_scored_stream_equals_batch(spark, tmp_path, trained, velocity):
     noon = F.lit("2024-01-15").cast("timestamp")
     parts = [df.where(F.col("trans_date_trans_time") < noon), df.where(F.col("trans_date_trans_time") >= noon)]
     unfit = parts[0].limit(3).withColumn("amt", F.lit(None).cast("double")).withColumn("trans_num", F.concat(F.lit("x"), "trans_num"))
-    stream = stream_of(spark, tmp_path, [parts[0].unionByName(unfit), parts[1]])
+    stream = stream_of(spark, tmp_path, [parts[0].unionByName(unfit), parts[1], end_mark(df)])
     got = by_id(collect(spark, tmp_path, scoring.stream_score(stream, scorer, velocity)))
     want = by_id(scored_record(scorer.score(df, velocity)))
     assert set(got) == set(want)
@@ -80,7 +187,8 @@ def test_late_and_unfit_records_are_not_lost(spark, tmp_path, trained):
     df, scorer = trained
     noon = F.lit("2024-01-15").cast("timestamp")
     early, late = df.where(F.col("trans_date_trans_time") < noon), df.where(F.col("trans_date_trans_time") >= noon)
-    got = by_id(collect(spark, tmp_path, scoring.stream_score(stream_of(spark, tmp_path, [late, early]), scorer)))
+    stream = stream_of(spark, tmp_path, [late, end_mark(late).limit(1), early, end_mark(end_mark(late))])
+    got = by_id(collect(spark, tmp_path, scoring.stream_score(stream, scorer)))
     alone = by_id(scored_record(scorer.score(early, "stateless")))
     assert len(got) == df.count()
     known = {r[0] for r in late.select("cc_num").distinct().collect()}
