@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardsentry.session import materialise
+
 # Fixed values, also the texts and field names of the messages below: an alert needs a score above the limit; at most ten are sent in any minute; the last hundred are kept.
 ALERT_ABOVE = 0.7
 MAX_PER_WINDOW, WINDOW_SECONDS = 10, 60
@@ -47,14 +49,19 @@ def rate_limited_alerts(
     limit: int = MAX_PER_WINDOW,
     seconds: float = WINDOW_SECONDS,
     before: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """The alerts that are sent: one goes out if fewer than ``limit`` were *sent* in the window before it.
     ``before(channel, times)`` holds the last sent times of channels that were active earlier.
 
     The rule is sequential along time, but a pause of a window forgets everything before it. A channel is therefore cut
-    where a whole window of the clock has no alert; the segments between are tasks' work side by side, each in one pass
-    over its sorted rows that keeps ``limit`` numbers. The work is linear in the alerts. One unbroken segment is one
-    sequential run, which binary search shortens to what it sends; a row more or less costs it a sort.
+    where a whole window of the clock has no alert. The segments between are range-partitioned along channel and time into
+    ``tasks`` parts (default: the session's shuffle partitions), so a segment of any length goes over as many tasks as its
+    rows need. What a part hands on to the next one is the last ``limit`` sent times of the segment that runs through the
+    cut: at first all parts run side by side as if nothing came in, then those again whose real input is another than they
+    had, until all have had their own. Inputs that differ lead to the same times again as soon as both have room, so this
+    mostly takes two or three rounds; a channel that is full all along takes one a part, in which only binary searches over
+    the times of the parts behind are done.
 
     A null channel is a channel. Alerts without a time come first, at one moment.
     """
@@ -79,28 +86,70 @@ def rate_limited_alerts(
     along = Window.partitionBy("channel").orderBy("slot")
     segments = slots.withColumn("segment", F.col("slot") - F.row_number().over(along))
     cut = new.withColumn("slot", slot).join(segments, ["channel", "slot"])
-    in_order = cut.repartition("channel", "segment").sortWithinPartitions("channel", "segment", F.desc("sent"), "us", "id")
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, times = None, []
+    n = tasks or int(alerts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["channel", "segment", F.desc("sent"), "us", "id"]
+    # the number of a part is its partition's, so it is frozen before it is used
+    parts = cut.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    parts = materialise(parts.select(F.spark_partition_id().alias("part"), "channel", "segment", "sent", "us", "row"))
+
+    def runs(batches: Iterator[pa.RecordBatch], inputs: dict[int, list[int]], each: Callable) -> Iterator:
+        """Go through the rows of a part; ``each(batch, positions sent)`` makes what is yielded. Ends with a tuple
+        (part, first key, last key, last sent times)."""
+        key, first, times, part = None, None, [], None
         for batch in batches:
-            names, segment = batch["channel"].to_pylist(), batch["segment"].to_pylist()
+            if not batch.num_rows:
+                continue
+            part = batch["part"][0].as_py()
+            names, segment = batch["channel"], batch["segment"].to_numpy()
+            codes = names.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            ends = (np.flatnonzero((np.diff(codes) != 0) | (np.diff(segment) != 0)) + 1).tolist()
             at, sent = batch["us"].to_numpy(), batch["sent"].to_numpy(zero_copy_only=False)
-            ends = [i for i in range(1, len(names)) if (names[i], segment[i]) != (names[i - 1], segment[i - 1])]
             picked = [np.zeros(0, np.int64)]
-            for low, high in zip([0, *ends], [*ends, len(names)], strict=True):
-                if low == high:
-                    continue
-                if (names[low], segment[low]) != key:
-                    key, times = (names[low], segment[low]), []
+            for low, high in zip([0, *ends], [*ends, len(at)], strict=True):
+                own = (names[low].as_py(), int(segment[low]))
+                if own != key:
+                    times = list(inputs.get(part, [])) if first is None else []
+                    key, first = own, first or own
                 times.extend(at[low:high][sent[low:high]].tolist())
                 del times[:-limit]
                 fresh = low + np.flatnonzero(~sent[low:high])
                 picked.append(fresh[admit(at[fresh], times, limit, window)])
-            rows = batch["row"].take(pa.array(np.concatenate(picked)))
-            yield pa.RecordBatch.from_arrays(rows.flatten(), names=columns)
+            yield from each(batch, np.concatenate(picked))
+        if part is not None:
+            yield part, first, key, times
+
+    def handed_on(inputs: dict[int, list[int]], rows: DataFrame) -> list:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part, first, last, times in runs(batches, inputs, lambda *_: ()):
+                ends = [repr(first), repr(last)]
+                yield pa.record_batch([[part], [ends[0]], [ends[1]], pa.array([times], pa.list_(pa.int64()))], ["part", "first", "last", "times"])
+
+        plain = rows.select("part", "channel", "segment", "sent", "us")
+        return plain.mapInArrow(run, "part long, first string, last string, times array<long>").collect()
+
+    inputs: dict[int, list[int]] = {}
+    ends = {r["part"]: r for r in handed_on(inputs, parts)}  # one row a task
+    while True:
+        wanted, before_it = {}, None
+        for p in sorted(ends):
+            if before_it is not None and ends[before_it]["last"] == ends[p]["first"]:
+                wanted[p] = list(ends[before_it]["times"])
+            before_it = p
+        again = [p for p in ends if wanted.get(p, []) != inputs.get(p, [])]
+        inputs = wanted
+        if not again:
+            break
+        ends |= {r["part"]: r for r in handed_on(inputs, parts.where(F.col("part").isin(again)))}
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sent_rows(batch: pa.RecordBatch, picked: np.ndarray) -> list[pa.RecordBatch]:
+            return [pa.RecordBatch.from_arrays(batch["row"].take(pa.array(picked)).flatten(), names=columns)]
+
+        for out in runs(batches, inputs, sent_rows):
+            if isinstance(out, pa.RecordBatch):
+                yield out
 
-    return in_order.select("channel", "segment", "sent", "us", "row").mapInArrow(keep, alerts.schema)
+    return parts.mapInArrow(keep, alerts.schema)
 
 
 def _number(name: str, columns: list[str]) -> Column:

@@ -142,6 +142,27 @@ def test_rate_limit_matches_a_loop(spark, pace):
     assert {r["id"] for r in got} == limited_by_hand(rows, 10, 60_000_000)
 
 
+@pytest.mark.parametrize("gap", [100, 1_500, 9_000])
+def test_one_segment_goes_over_many_tasks(spark, gap):
+    """A channel without a pause: full all along, half full and seldom full."""
+    rng, us, rows = random.Random(gap), 0, []
+    for i in range(20_000):
+        us += rng.randrange(0, 2 * gap)
+        rows.append(("a", us, f"r{i:05d}"))
+    df = spark.createDataFrame(rows, "channel string, us long, id string").repartition(5)
+    got = A.rate_limited_alerts(df, F.col("us"), "id", channel=F.col("channel"), limit=5, seconds=0.02, tasks=16)
+    assert {r["id"] for r in got.collect()} == limited_by_hand(rows, 5, 20_000)
+
+
+def test_parts_are_even_in_one_long_segment(spark):
+    df = spark.range(1_000_000).select(F.lit("a").alias("channel"), (F.col("id") * 50_000).alias("us"), F.col("id").cast("string").alias("id"))
+    sent = A.rate_limited_alerts(df, F.col("us"), "id", channel=F.col("channel"), tasks=16)
+    # twenty alerts a second and ten a minute: of every 1,200 the first ten
+    assert [r["us"] // 50_000 for r in sent.select("us").orderBy("us").collect()] == [i for k in range(0, 1_000_000, 1_200) for i in range(k, min(k + 10, 1_000_000))]
+    sizes = [r["n"] for r in sent.sparkSession.createDataFrame(sent.rdd.glom().map(len).collect(), "long").toDF("n").collect()]
+    assert len(sizes) == 16 and max(sizes) <= sum(sizes) / 8
+
+
 def test_eleven_alerts_and_the_free_slot(spark):
     times = [i * 1_000_000 for i in range(11)] + [60_000_000]
     df = spark.createDataFrame([(t, f"{i:02d}") for i, t in enumerate(times)], "us long, id string")
