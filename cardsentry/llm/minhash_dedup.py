@@ -28,6 +28,7 @@ BANDS, ROWS = 14, 4
 BLOCK = 256
 KNOWN_WORDS = 300_000
 CHUNK = 1024
+SENT_ROWS = 1_000_000  # rows of a table that is broadcast; about 30 MB
 
 
 class WordNumbers(dict):
@@ -181,6 +182,11 @@ def links_in_blocks(members: DataFrame, similar: tuple[int, int], block: int, si
     return blocked(members, block, size).groupBy("family", "i", "j").applyInArrow(link, "a long, b long")
 
 
+def sent_if_small(table: DataFrame) -> DataFrame:
+    """A stored table of a few numbers a row, to be broadcast if a count says that it is small; else the join is a plain one."""
+    return F.broadcast(table) if table.count() <= SENT_ROWS else table
+
+
 def near_duplicates(
     docs: DataFrame,
     similar: tuple[int, int] = (85, 100),
@@ -211,7 +217,9 @@ def near_duplicates(
     family = frozen(family.withColumnRenamed("component", "family"))
     held = rows_of.where("n_shingles > 0").select("node", *key).distinct().join(family, "node")
     sizes = held.groupBy("family").agg(F.count(F.lit(1)).alias("n_family"))
-    members = docs.select("node", "text").join(family.join(sizes, "family"), "node")
+    # few documents have a family: stored, and sent to the texts if they are few enough, so that no other text is moved
+    sized = frozen(family.join(sizes, "family"))
+    members = docs.select("node", "text").join(sent_if_small(sized), "node")
     links = links_in_blocks(members.select("node", "family", "n_family", "text"), similar, block, size)
     reach = frozen(components(links))
     known = classes.select(*key, "node", "least").join(reach, "node", "left")
@@ -229,9 +237,11 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates: that with the smallest doc_id. Rows that share an
     id count as one document, of which one row stays; rows without an id stay."""
     groups = written(near_duplicates(docs, **options), "groups").where("doc_id IS NOT NULL")
-    ids = frozen(groups.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")))
-    left = docs.join(ids.where("NOT kept"), "doc_id", "left_anti").select(*docs.columns)
-    again = ids.where("kept AND n > 1")
+    ids = groups.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    # only ids with something to do are stored: those that go, and those that repeat
+    ids = frozen(ids.where("NOT kept OR n > 1"))
+    left = docs.join(sent_if_small(ids.where("NOT kept").select("doc_id")), "doc_id", "left_anti").select(*docs.columns)
+    again = ids.where("kept").select("doc_id")
     if again.isEmpty():
         return left
     once = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)

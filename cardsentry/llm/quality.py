@@ -8,7 +8,8 @@ The output layer is linear in the average, so for scoring a word is just two num
 sum of their margins. Whole texts of any length are scored in one pass over their words.
 """
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -103,16 +104,20 @@ def bags(texts: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     return ids, shares
 
 
+def packed_ids(ids: np.ndarray) -> bytes:
+    return zlib.compress(np.diff(ids.astype(np.int32), prepend=np.int32(0)).astype(np.int32).tobytes(), 1)
+
+
 def train(
-    ids: list[np.ndarray],
-    shares: list[np.ndarray],
+    bag_of: Callable[[int], tuple[np.ndarray, np.ndarray]],
     labels: np.ndarray,
     dimensions: int = DIMENSIONS,
     epochs: int = EPOCHS,
     rate: float = 0.5,
     seed: int = 3,
 ) -> QualityModel:
-    """Stochastic gradient descent, one document a step, with a rate that falls to zero."""
+    """Stochastic gradient descent, one document a step, with a rate that falls to zero. ``bag_of`` gives the distinct
+    features of a document and their shares."""
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1, 1, (BUCKETS, dimensions)).astype(np.float32) / dimensions
     out = np.zeros((2, dimensions), np.float32)
@@ -123,8 +128,9 @@ def train(
         for k in rng.permutation(len(labels)):
             now = rate * (1 - step / steps)
             step += 1
-            share = shares[k][:, None]
-            hidden = (vectors[ids[k]] * share).sum(axis=0)
+            ids, share = bag_of(int(k))
+            share = share[:, None]
+            hidden = (vectors[ids] * share).sum(axis=0)
             logits = out @ hidden + bias
             p = np.exp(logits - logits.max())
             error = p / p.sum()
@@ -133,7 +139,7 @@ def train(
             out -= now * error[:, None] * hidden
             bias -= 0.05 * now * error
             # the step of a feature is scaled by the number of features, as if each were seen alone
-            vectors[ids[k]] -= now * back * share * min(len(share), 300)
+            vectors[ids] -= now * back * share * min(len(share), 300)
     return QualityModel((vectors @ (out[1] - out[0])).astype(np.float64), float(bias[1] - bias[0]))
 
 
@@ -148,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityMode
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches(parts):
             ids, shares = bags(texts_of(part["text"]))
-            packed = [(i.astype(np.int32).tobytes(), s.tobytes()) for i, s in zip(ids, shares, strict=True)]
+            packed = [(packed_ids(i), zlib.compress(s.tobytes(), 1)) for i, s in zip(ids, shares, strict=True)]
             columns = [part["doc_id"], part["label"], *(pa.array(c, pa.binary()) for c in zip(*packed, strict=True))]
             yield pa.record_batch(columns, ["doc_id", "label", "ids", "shares"])
 
@@ -160,14 +166,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityMode
         return QualityModel(np.zeros(BUCKETS), 0.0)
     place = np.lexsort((pc.binary_length(got["ids"]).to_numpy(), got["doc_id"].to_numpy()))
     first = place[np.unique(got["doc_id"].to_numpy()[place], return_index=True)[1]]  # one text of an id that repeats
-    ids = [np.frombuffer(got["ids"][k].as_buffer(), np.int32) for k in first.tolist()]
-    shares = [np.frombuffer(got["shares"][k].as_buffer(), np.float32) for k in first.tolist()]
-    return train(ids, shares, got["label"].to_numpy()[first])
+    labels_of = got["label"].to_numpy()[first]
+    kept = [(got["ids"][k].as_py(), got["shares"][k].as_py()) for k in first.tolist()]
+    del got  # what is kept stays packed, a document is unpacked for its step
+
+    def bag_of(k: int) -> tuple[np.ndarray, np.ndarray]:
+        return np.cumsum(np.frombuffer(zlib.decompress(kept[k][0]), np.int32)), np.frombuffer(zlib.decompress(kept[k][1]), np.float32)
+
+    return train(bag_of, labels_of)
 
 
-def score(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with score (0 to 1) and predicted (1 if the score is at least ``threshold``). The text alone is read:
-    null and empty texts get the score of no evidence. Columns named score or predicted are replaced."""
+def score(
+    docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")
+) -> DataFrame:
+    """``docs`` with score (0 to 1) and predicted (1 if the score is at least ``threshold``) under ``names``. The text alone
+    is read: null and empty texts get the score of no evidence. A row is scored by itself, so repeated rows score alike and
+    an empty table gives an empty one. Columns that have one of the ``names`` are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -178,5 +192,5 @@ def score(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) ->
             scores = [shared.value.scores(texts[i : i + 200], known) for i in range(0, len(texts), 200)]
             yield pd.Series(np.concatenate(scores) if scores else np.zeros(0))
 
-    scored = docs.withColumn("score", of("text"))
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    scored = docs.withColumn(names[0], of("text"))
+    return scored.withColumn(names[1], (F.col(names[0]) >= threshold).cast("int"))

@@ -367,7 +367,8 @@ def sample_segmentations(
     docs: DataFrame, key: str = "doc_id", path: str = MODEL, samples: int = SAMPLES, alpha: float = ALPHA, seed: int = 5
 ) -> DataFrame:
     """One row per row of ``docs(key, text)`` and sample: key, sample (1 for the largest perturbed value), ids,
-    n_tokens, log_prob, perturbed, log_inclusion, round_trip (the ids decode to the normal form of the text).
+    n_tokens, log_prob, perturbed, log_inclusion, round_trip (the ids decode to the text itself, character by character; a
+    text that holds U+2581, which decodes to a space, has none).
 
     Texts of one possible segmentation, or of fewer than ``samples``, give all they have, with log_inclusion 0. Null and
     empty texts give one sample without ids, of probability 1. Rows with equal keys and texts are sampled alike; null
@@ -382,7 +383,10 @@ def sample_segmentations(
         lattices = Lattices(vocabulary)
         pieces = vocabulary.pieces
         for part in batches(parts):
-            texts = [vocabulary.prepared(t) if t else "" for t in part["text"].to_pylist()]
+            given = [t or "" for t in part["text"].to_pylist()]
+            texts = [vocabulary.prepared(t) for t in given]
+            # what the pieces of the normal form decode to: marks are spaces, the first one is put in front
+            whole = [n.replace(SPACE, " ") == (f" {t}" if t else "") for n, t in zip(texts, given, strict=True)]
             seeds = [s & ((1 << 64) - 1) for s in part["seed"].to_pylist()]
             i = 0
             while i < len(texts):
@@ -398,7 +402,7 @@ def sample_segmentations(
                         ids.append(own)
                         rows.append((i + k, n + 1))
                         scores.append(numbers)
-                        flags.append(b"".join([pieces[x] for x in own.tolist()]) == spelled)
+                        flags.append(whole[i + k] and b"".join([pieces[x] for x in own.tolist()]) == spelled)
                 at = np.array(rows)
                 values = np.array(scores)
                 lengths = np.array([len(x) for x in ids])
