@@ -3,7 +3,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cardsentry.models.boosted import BoostedTrees, first_best
+from cardsentry.models.boosted import BoostedTrees, drawn, first_best
 from cardsentry.models.forest import IsolationForest, choose, draws, grow, mean_path, tree_columns
 from cardsentry.models.reconstruction import LinearReconstruction, NetworkReconstruction
 from cardsentry.plans.training import Scorer, train
@@ -124,24 +124,91 @@ def test_network_learns(spark, points, tmp_path):
     assert again.score(points).exceptAll(model.score(points)).count() == 0
 
 
+def test_network_goes_on_after_it_was_stopped(spark, points, tmp_path):
+    """Six epochs in one go, and three, then a new run that goes on from what the first has left."""
+    options = {"hidden": [8, 2, 8], "batch": 32, "rate": 0.01}
+    whole = NetworkReconstruction.fit(points, FEATURES, epochs=6, folder=str(tmp_path / "whole"), **options)
+    NetworkReconstruction.fit(points, FEATURES, epochs=3, folder=str(tmp_path / "cut"), **options)
+    (tmp_path / "cut" / "epoch=3").mkdir()  # an epoch whose writing was broken off
+    (tmp_path / "cut" / "epoch=3" / "_temporary").mkdir()
+    again = NetworkReconstruction.fit(points, FEATURES, epochs=6, folder=str(tmp_path / "cut"), **options)
+    assert again.history == whole.history and len(whole.history) == 6
+    assert again.state == whole.state and (again.low, again.high) == (whole.low, whole.high)
+    # a run that had ended is not run again
+    assert NetworkReconstruction.fit(points, FEATURES, epochs=6, folder=str(tmp_path / "cut"), **options) == again
+
+
 def test_boosted_trees(spark, points, tmp_path):
-    model = BoostedTrees.fit(points, FEATURES, points, rounds=4)
-    assert model.weight == 20.0 and 1 <= model.rounds <= 4
-    assert separation(model.score(points), "xgb_score") > 0.3
-    full = BoostedTrees(model.model, FEATURES, 4, model.weight)
-    ours = full.score(points).select("xgb_score").collect()
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    theirs = model.model.transform(VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(points))
-    assert [r[0] for r in ours] == pytest.approx([r[0] for r in theirs.select(vector_to_array("probability")[1]).collect()])
+    model = BoostedTrees.fit(points, FEATURES, points, rounds=8, step=0.3)
+    assert model.weight == 20.0 and 1 <= model.rounds <= 8
+    assert separation(model.score(points), "xgb_score") > 0.2
+    assert model.prefix_precision(points) == pytest.approx(model.history)
     top = model.feature_importance(spark).collect()
     assert [r["importance"] for r in top] == sorted((r["importance"] for r in top), reverse=True)
+    assert sum(r["importance"] for r in top) == pytest.approx(1.0)
     model.save(spark, str(tmp_path / "b"))
     again = BoostedTrees.load(spark, str(tmp_path / "b"))
     assert again.score(points).exceptAll(model.score(points)).count() == 0
 
 
+def plain_boosting(rows, bins, y, keys, weight, rounds, step, depth, seed):
+    """Margins of all rows: every cut tried row by row of the drawn rows."""
+    margin = np.zeros(len(y))
+    w = np.where(y == 1, weight, 1.0)
+    for number in range(rounds):
+        columns = np.random.default_rng([seed, number]).choice(bins.shape[1], max(1, int(0.8 * bins.shape[1])), replace=False)
+        seen = drawn(keys, number, seed)
+        p = 1 / (1 + np.exp(-margin))
+        g, h = w * (y - p), w * p * (1 - p)
+
+        def grow(own, level, g=g, h=h, seen=seen, columns=columns):
+            used = own & seen
+            best = (1e-12, None)
+            if level < depth:
+                whole = g[used].sum() ** 2 / (h[used].sum() + 1)
+                for f in sorted(columns):
+                    for cut in range(64):
+                        left = used & (bins[:, f] <= cut)
+                        right = used & ~(bins[:, f] <= cut)
+                        if h[left].sum() < 1 or h[right].sum() < 1:
+                            continue
+                        gain = g[left].sum() ** 2 / (h[left].sum() + 1) + g[right].sum() ** 2 / (h[right].sum() + 1) - whole
+                        if gain > best[0] + 1e-9:
+                            best = (gain, (f, cut))
+            if best[1] is None:
+                value = step * g[used].sum() / (h[used].sum() + 1) if level else 0.0
+                return np.where(own, value, 0.0)
+            f, cut = best[1]
+            low = bins[:, f] <= cut
+            return grow(own & low, level + 1) + grow(own & ~low, level + 1)
+
+        margin = margin + grow(np.ones(len(y), bool), 0)
+    return margin
+
+
+def test_boosting_equals_a_loop_over_rows(spark, points):
+    df = points.coalesce(1).persist()
+    model = BoostedTrees.fit(df, FEATURES, rounds=7, step=0.3, depth=3)  # margins are carried on after the fifth
+    assert model.rounds == 7
+    rows = df.collect()
+    x = np.array([[r[c] for c in FEATURES] for r in rows])
+    edges = [np.unique(q) for q in df.approxQuantile(FEATURES, [i / 64 for i in range(1, 64)], 0.001)]
+    bins = np.column_stack([np.searchsorted(e, x[:, i], side="left") for i, e in enumerate(edges)])
+    want = plain_boosting(rows, bins, np.array([r["is_fraud"] for r in rows]), np.arange(len(rows)), 20.0, 7, 0.3, 3, 42)
+    got = {r["trans_num"]: r["m"] for r in df.select("trans_num", model.margin(df).alias("m")).collect()}
+    assert [got[r["trans_num"]] for r in rows] == pytest.approx(want.tolist(), abs=1e-9)
+
+
+def test_boosting_stops_when_nothing_is_gained(spark, points):
+    """Validation rows that the first tree ranks perfectly: no tree beyond the patience is grown."""
+    easy = points.where("is_fraud = 1").limit(5).unionByName(points.where("is_fraud = 0 AND abs(a) < 0.3"))
+    model = BoostedTrees.fit(points, FEATURES, easy, rounds=60, step=0.3, patience=4)
+    assert len(model.trees) < 60 and model.rounds <= len(model.trees) - 4
+    assert len(model.history) == len(model.trees)
+    best = first_best(model.history, 4)
+    assert model.rounds == best + 1 and len(model.trees) <= best + 4 + 5
+
+
 def test_boosting_needs_positive_rows(points):
     with pytest.raises(ValueError, match="positive"):
         BoostedTrees.fit(points.where("is_fraud = 0"), FEATURES)
@@ -154,12 +221,12 @@ def test_stopping_rule():
 
 def test_training_plan_and_saved_scorer(spark, sf_dir, tmp_path):
     df = transactions(spark, sf_dir)
-    scorer, evaluation = train(df, forest_options={"trees": 20}, boosted_options={"rounds": 3})
+    scorer, evaluation = train(df, forest_options={"trees": 20}, boosted_options={"rounds": 3}, network=False)
     rows = {(r["section"], r["model"], r["metric"]): r["value"] for r in evaluation.collect()}
     assert rows["sizes", "train", "rows"] == 700 and rows["sizes", "validation", "rows"] == 150
     assert all(0 <= rows["metrics", m, "pr_auc"] <= 1 for m in ("Isolation Forest", "Autoencoder", "XGBoost", "Ensemble"))
     # the blend is at least as good as each of its parts: those are corners of the grid
     assert rows["metrics", "Ensemble", "pr_auc"] >= max(rows["metrics", m, "pr_auc"] for m in ("Isolation Forest", "Autoencoder", "XGBoost")) - 1e-9
     scorer.save(spark, str(tmp_path / "scorer"))
-    again = Scorer.load(spark, str(tmp_path / "scorer"))
+    again = Scorer.load(spark, str(tmp_path / "scorer"), LinearReconstruction)
     assert again.score(df).exceptAll(scorer.score(df)).count() == 0

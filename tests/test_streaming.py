@@ -161,7 +161,7 @@ def test_a_backlog_of_one_card_goes_through_in_pieces():
 @pytest.fixture(scope="module")
 def trained(spark, sf_dir):
     df = transactions(spark, sf_dir)
-    return df, train(df, forest_options={"trees": 20}, boosted_options={"rounds": 3})[0]
+    return df, train(df, forest_options={"trees": 20}, boosted_options={"rounds": 3}, network=False)[0]
 
 
 def by_id(df):
