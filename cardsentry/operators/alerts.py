@@ -209,6 +209,9 @@ def drift_alert(overall: DataFrame) -> DataFrame:
     return overall.where(status.isin("WARNING", "CRITICAL")).withColumns({"text": text, "payload": payload})
 
 
-def alert_history(sent: DataFrame, at: str, row_id: str, keep: int = HISTORY) -> DataFrame:
-    """The last ``keep`` alerts, newest first."""
-    return sent.orderBy(F.desc(at), F.desc(row_id)).limit(keep)
+def alert_history(sent: DataFrame, at: str, row_id: str, keep: int = HISTORY, drift: DataFrame | None = None) -> DataFrame:
+    """The last ``keep`` alerts, newest first. ``drift`` has drift alerts in the same columns, which take their place among
+    the transaction alerts; at equal times a column ``type``, then the id decides."""
+    rows = sent if drift is None else sent.unionByName(drift)
+    kind = [F.desc("type")] if "type" in rows.columns else []
+    return rows.orderBy(F.desc(at), *kind, F.desc(row_id)).limit(keep)

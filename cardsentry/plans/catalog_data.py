@@ -66,6 +66,27 @@ def _scan_stream_jsonl(spark, sf_dir):
     return rows.agg(F.count_if(~bad).alias("good"), F.sum("k").alias("sum_k"), F.count_if(bad).alias("bad"))
 
 
+@query(
+    "scan_jsonl_limit",
+    "SELECT event_id, json_extract_string(props, '$.k')::INT AS k FROM events WHERE event_id % 10 NOT IN (0, 1, 2) "
+    "QUALIFY row_number() OVER (ORDER BY event_id) <= (SELECT count(*) // 3 FROM events)",
+)
+def _scan_jsonl_limit(spark, sf_dir):
+    """The first valid third of the events' JSON lines, among lines that are broken, blank or lack a field."""
+    path = scratch_path(spark, "lines")
+    events = table(spark, sf_dir, "events")
+    whole = F.to_json(F.struct("event_id", F.get_json_object("props", "$.k").cast("int").alias("k")))
+    line = (
+        F.when(F.col("event_id") % 10 == 0, F.substring(whole, 1, 9))
+        .when(F.col("event_id") % 10 == 1, "")
+        .when(F.col("event_id") % 10 == 2, F.to_json(F.struct("event_id")))
+        .otherwise(whole)
+    )
+    events.repartitionByRange(7, "event_id").sortWithinPartitions("event_id").select(line.alias("value")).write.text(path)
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("k", T.IntegerType())])
+    return files.read_jsonl(spark, path, schema, limit=events.count() // 3, valid=F.col("k").isNotNull())
+
+
 @query(
     "scan_stream_kafka",
     "SELECT event_id % 7 AS part, count(*) AS n, sum(json_extract_string(props, '$.k')::INT)::BIGINT AS sum_k FROM events GROUP BY 1",

@@ -205,9 +205,9 @@ def _from_log(final: str) -> str:
 LOG_COLUMNS = ["transaction_id", "timestamp", "fraud_score", "risk_tier", "processing_time_ms", "model_version"]
 
 
-@query("sink_prediction_log", _from_log("SELECT transaction_id, \"timestamp\", fraud_score, risk_tier, processing_time_ms, model_version FROM log, range(2)"))
+@query("sink_prediction_log", _from_log("SELECT transaction_id, \"timestamp\", fraud_score, risk_tier, processing_time_ms, model_version FROM log"))
 def _sink_prediction_log(spark, sf_dir):
-    """Two batches of the same records are both logged; a batch that is delivered again is logged once."""
+    """Two batches of the same records, one of them delivered twice, leave one record a transaction."""
     path = scratch_path(spark, "log")
     for batch in (0, 1, 1):
         files.append_prediction_log(_log(spark, sf_dir), path, batch)
@@ -372,12 +372,25 @@ def _alert_payload(spark, sf_dir):
 
 @query(
     "alert_history",
-    with_txn("SELECT transaction_id, us FROM walk WHERE sent ORDER BY us DESC, transaction_id DESC LIMIT 100", BLENDED, RECORDS, _limited_sql(3, 6 * 3600)).replace("WITH ", "WITH RECURSIVE ", 1),
-)
+    with_txn(
+        f"""SELECT * FROM (SELECT 'high_risk_transaction' AS type, transaction_id AS id, us FROM walk WHERE sent
+ UNION ALL SELECT 'drift', overall_status, (SELECT max(epoch_us(trans_date_trans_time)) FROM txn) FROM ({WORST}) WHERE overall_status IN ('WARNING', 'CRITICAL'))
+ ORDER BY us DESC, type DESC, id DESC LIMIT 100""",
+        BLENDED, RECORDS, _limited_sql(3, 6 * 3600), PARTS.replace("numbered", "numbered0"), SIDES, DRIFT,
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
 def _alert_history(spark, sf_dir):
-    """Of the alerts that were sent."""
+    """Of the transaction alerts that were sent and of the drift alert, the newest hundred."""
     sent = A.rate_limited_alerts(_alerts(spark, sf_dir), F.col("us"), "transaction_id", limit=3, seconds=6 * 3600)
-    return A.alert_history(sent, "us", "transaction_id").select("transaction_id", "us")
+    baseline, test = _fitted(spark, sf_dir)
+    drift = A.drift_alert(D.overall_drift(baseline.compare(test, "blend")))
+    last = transactions(spark, sf_dir).agg(F.max(micros(F.col(TIME))).alias("us"))
+    drift = drift.crossJoin(F.broadcast(last))  # one row each
+    rows = A.alert_history(
+        sent.select(F.lit("high_risk_transaction").alias("type"), F.col("transaction_id").alias("id"), "us"),
+        "us", "id", drift=drift.select(F.lit("drift").alias("type"), F.upper("overall_status").alias("id"), "us"),
+    )
+    return rows
 
 
 @query(

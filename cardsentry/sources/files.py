@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,9 +64,35 @@ def with_bad_record(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType())])
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One JSON object per line; blank lines are skipped, broken ones carry their text in ``_corrupt_record``."""
-    return parse_json_text(spark.read.text(path), "value", schema)
+def read_jsonl(
+    spark: SparkSession, path: str, schema: T.StructType, limit: int | None = None, valid: Column | None = None
+) -> DataFrame:
+    """One JSON object per line; blank lines are skipped, broken ones carry their text in ``_corrupt_record``.
+
+    With ``limit``, the first so many valid rows by file name and line, and no others: rows that are not broken, and for
+    which ``valid`` holds where it is given. They are counted per block of a file, which is a row each for the driver; whole
+    blocks are taken until one has the last row, and only that block's rows are put in order.
+    """
+    if limit is None:
+        return parse_json_text(spark.read.text(path), "value", schema)
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
+    rows = parse_json_text(lines, "value", schema, keep=("_file", "_block", "_line"))
+    good = F.col(BAD_RECORD).isNull() & (F.lit(True) if valid is None else F.coalesce(valid, F.lit(False)))
+    rows = rows.where(good).drop(BAD_RECORD)
+    left, whole, cut = limit, F.lit(False), None
+    for r in sorted(rows.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("n")).collect()):
+        own = (F.col("_file") == r["_file"]) & (F.col("_block") == r["_block"])
+        if r["n"] > left:
+            cut = rows.where(own).orderBy("_line").limit(left)
+            break
+        # blocks come in order, so those taken are all up to this one
+        whole = (F.col("_file") < r["_file"]) | ((F.col("_file") == r["_file"]) & (F.col("_block") <= r["_block"]))
+        left -= r["n"]
+    out = rows.where(whole)
+    return (out if cut is None else out.unionByName(cut)).drop("_file", "_block", "_line")
 
 
 def stream_jsonl(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -81,11 +107,12 @@ def good_and_bad(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(F.col(BAD_RECORD).isNull()).drop(BAD_RECORD), df.where(F.col(BAD_RECORD).isNotNull()).select(BAD_RECORD)
 
 
-def parse_json_text(df: DataFrame, text: str, schema: T.StructType) -> DataFrame:
-    """Parse a column of JSON texts (lines, messages) into columns; broken texts are kept in ``_corrupt_record``."""
+def parse_json_text(df: DataFrame, text: str, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Parse a column of JSON texts (lines, messages) into columns; broken texts are kept in ``_corrupt_record``, and the
+    columns ``keep`` beside them."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}
     present = df.where(F.trim(F.col(text)) != "")
-    return present.select(F.from_json(F.col(text), with_bad_record(schema), options).alias("j")).select("j.*")
+    return present.select(*keep, F.from_json(F.col(text), with_bad_record(schema), options).alias("j")).select("j.*", *keep)
 
 
 def to_json_text(df: DataFrame, name: str = "value") -> DataFrame:
@@ -119,17 +146,34 @@ def prediction_records(scored: DataFrame, version: str = MODEL_VERSION, at: str
 
 
 def append_prediction_log(records: DataFrame, path: str, batch: str | int | None = None) -> None:
-    """Append. Every call logs all its records, also of transactions logged before. A caller that may repeat a call names
-    it by ``batch``: a batch owns a folder, which a repetition replaces."""
+    """Append, whatever is there already: what a transaction's record is, reading tells. A caller that may repeat a call
+    can name it by ``batch``: a batch owns a folder, which a repetition replaces."""
     records.write.mode("overwrite").json(f"{path}/batch={uuid.uuid4().hex if batch is None else batch}")
 
 
+LOG_KEY = ["transaction_id", "model_version"]
+
+
 def read_prediction_log(spark: SparkSession, path: str) -> DataFrame:
-    """The log's parsed rows, of all batches; a missing log is empty."""
+    """The log's parsed rows, of all batches, merged: one per transaction and model version, that with the newest log time,
+    or of the newest file where times are equal. Records without an id, or with an empty one, are all there. A missing log is empty."""
     try:
         lines = spark.read.option("recursiveFileLookup", True).text(path)
-        return good_and_bad(parse_json_text(lines, "value", PREDICTION_LOG_SCHEMA))[0]
+        lines = lines.select("value", F.col("_metadata.file_modification_time").alias("_written"))
+        rows = parse_json_text(lines, "value", PREDICTION_LOG_SCHEMA, keep=("_written",))
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], PREDICTION_LOG_SCHEMA)
+    names = PREDICTION_LOG_SCHEMA.fieldNames()
+    good = rows.where(F.col(BAD_RECORD).isNull())
+    rest = [c for c in names if c not in LOG_KEY]
+    newest = F.max_by(F.struct(*rest), F.struct("timestamp", "_written", *rest)).alias("r")
+    named = F.coalesce("transaction_id", F.lit("")) != ""
+    merged = good.where(named).groupBy(*LOG_KEY).agg(newest).select(*LOG_KEY, "r.*")
+    return merged.select(*names).unionByName(good.where(~named).select(*names))
+
+
+def compact_prediction_log(spark: SparkSession, path: str, into: str) -> None:
+    """Write the merged log to a fresh path, as one batch."""
+    append_prediction_log(read_prediction_log(spark, path), into, "merged")

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.types import StructType
 
 from cardsentry.operators.features import FeatureStore
 from cardsentry.operators.preprocess import Preprocessor
@@ -67,8 +68,27 @@ def test_prediction_log(spark, tmp_path):
     nameless = scored.withColumn("transaction_id", F.lit(""))
     files.append_prediction_log(files.prediction_records(nameless.union(nameless), version="3"), path)
     rows = files.read_prediction_log(spark, path).collect()
-    assert sorted(r["model_version"] for r in rows) == ["1.0.0", "1.0.0", "2.0.0", "3", "3"]
+    assert sorted(r["model_version"] for r in rows) == ["1.0.0", "2.0.0", "3", "3"]
     assert all(r["timestamp"].endswith("+00:00") for r in rows)
+    later = scored.withColumn("fraud_score", F.lit(0.9))  # scored again under a new batch id: the newest record counts
+    files.append_prediction_log(files.prediction_records(later), path, batch="again")
+    again = {r["model_version"]: r["fraud_score"] for r in files.read_prediction_log(spark, path).where("transaction_id = 'a'").collect()}
+    assert again == {"1.0.0": 0.9, "2.0.0": 0.5}
+    files.compact_prediction_log(spark, path, str(tmp_path / "merged"))
+    merged = files.read_prediction_log(spark, str(tmp_path / "merged"))
+    assert merged.exceptAll(files.read_prediction_log(spark, path)).count() == 0 and merged.count() == 4
+
+
+@pytest.mark.parametrize("limit", [0, 1, 7, 40, 41, 60, 1000])
+def test_limit_counts_valid_lines_only(spark, tmp_path, limit):
+    lines = [f'{{"n": {i}}}' if i % 3 else ("" if i % 2 else '{"n": ') for i in range(90)]
+    (tmp_path / "in").mkdir()
+    for k in range(3):
+        (tmp_path / "in" / f"f{k}.txt").write_text("\n".join(lines[30 * k : 30 * k + 30]) + "\n")
+    schema = StructType.fromDDL("n long")
+    got = files.read_jsonl(spark, str(tmp_path / "in"), schema, limit=limit, valid=F.col("n") % 4 != 1).collect()
+    want = [i for i in range(90) if i % 3 and i % 4 != 1][:limit]
+    assert sorted(r["n"] for r in got) == want
 
 
 def test_state_round_trips(spark, tmp_path):
