@@ -9,7 +9,8 @@ A candidate is a positive example if the patterns accept it or a word before it
 and a negative one otherwise; the trees see its format, never those words. All documents are in one of two halves by a
 digest of their text. Each half has trees of its own, fitted to a bounded sample per kind of all its candidates, and the
 trees of one half judge the texts of the other, so no text is judged by trees that have seen it. The threshold of a kind is
-the least score at which the candidates of that kind, counted over the whole table, are right often enough.
+the least score at which the candidates of that kind that no pattern covers, counted over the whole table, are right often
+enough: those are what it decides on, and there only the words before a candidate tell what is right.
 """
 
 import hashlib
@@ -179,12 +180,12 @@ class PiiModel:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(half, kind, key, x, y) per candidate of all documents: its description and whether it is a positive example. Keys
-    are spread evenly; the same place in the same text has the same one."""
+    """(half, kind, key, x, y, free) per candidate of all documents: its description, whether it is a positive example, and
+    whether no pattern covers any of it. Keys are spread evenly; the same place in the same text has the same one."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches(parts):
-            half, kinds, keys, x, y = [], [], [], [], []
+            half, kinds, keys, x, y, free = [], [], [], [], [], []
             for text in part["text"].to_pylist():
                 found = proposals(text) if text else []
                 if not found:
@@ -196,11 +197,12 @@ def candidates(docs: DataFrame) -> DataFrame:
                     keys.append((digest + p[1] * 0x9E3779B97F4A7C15 + p[2] * 0xC2B2AE3D27D4EB4F) % 2**64)
                     x.append(np.array(describe(text, p), np.float64).tobytes())
                     y.append(int(p in base or any(w in CUES for w in words_before(text, p[1]))))
+                    free.append(all(p[2] <= start or p[1] >= end for _, start, end in base))
             key = pa.array((mix64(np.array(keys, np.uint64)) >> np.uint64(1)).view(np.int64))
             columns = [pa.array(half, pa.int32()), pa.array(kinds, pa.int32()), key, pa.array(x, pa.binary())]
-            yield pa.record_batch([*columns, pa.array(y, pa.int32())], ["half", "kind", "key", "x", "y"])
+            yield pa.record_batch([*columns, pa.array(y, pa.int32()), pa.array(free, pa.bool_())], ["half", "kind", "key", "x", "y", "free"])
 
-    return docs.select("text").mapInArrow(run, "half int, kind int, key long, x binary, y int")
+    return docs.select("text").mapInArrow(run, "half int, kind int, key long, x binary, y int, free boolean")
 
 
 def sample_of(found: DataFrame, sample: int) -> DataFrame:
@@ -216,7 +218,7 @@ def sample_of(found: DataFrame, sample: int) -> DataFrame:
 
 
 def score_counts(found: DataFrame, trees: tuple[Boosted, Boosted]) -> DataFrame:
-    """(kind, step, n, right) of all candidates: how many have a score in [step, step + 1) / ``STEP``, and how many of those
+    """(kind, step, n, right) of all candidates that no pattern covers: how many have a score in [step, step + 1) / ``STEP``, and how many of those
     are positive examples."""
     shared = found.sparkSession.sparkContext.broadcast(trees)
 
@@ -228,13 +230,14 @@ def score_counts(found: DataFrame, trees: tuple[Boosted, Boosted]) -> DataFrame:
             step = pa.array(np.floor(score * STEP).astype(np.int64))
             yield pa.record_batch([part["kind"], step, part["y"]], ["kind", "step", "y"])
 
-    scored = found.select("half", "kind", "x", "y").mapInArrow(run, "kind int, step long, y int")
+    scored = found.where("free").select("half", "kind", "x", "y").mapInArrow(run, "kind int, step long, y int")
     return scored.groupBy("kind", "step").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("right"))
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> PiiModel:
     """Trees from at most about ``sample`` candidates of each half and kind, thresholds from the candidates of all documents.
-    Only descriptions of sampled candidates and counts reach the driver."""
+    A kind of which fewer than ``LEAST_EXAMPLES`` candidates are free of the patterns has no threshold: so few can't show a
+    precision, and it stays with its pattern. Repeated rows count each; an empty table gives a model that adds nothing. Only descriptions of sampled candidates and counts reach the driver."""
     found = frozen(candidates(docs))
     got = sample_of(found, sample).toPandas().sort_values(["half", "kind", "key"], kind="stable")
 

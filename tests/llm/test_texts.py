@@ -431,3 +431,72 @@ def test_quality_of_odd_rows(spark, docs):
     assert {r.score for r in quality.score(df, none).collect()} == {0.5}
     odd = spark.createDataFrame([(None, 1), (0, None), (0, 7), (10**9, 1)], "doc_id long, label int")
     assert {r.score for r in quality.score(df, quality.fit(docs, odd)).collect()} == {0.5}
+
+
+def planted_documents(n=1200):
+    """(text, [(start, end) of personal data that the patterns don't find], [(start, end) of decoys])"""
+    rng = random.Random(17)
+    digits = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randrange(3, 9)))
+    out = []
+    for i in range(n):
+        kind = i % 6
+        if kind == 0:
+            item, cue = f"{word()}.{word()} [at] {word()} [dot] org", "mail"
+        elif kind == 1:
+            item, cue = f"(0{digits(2)}) {digits(3)} {digits(4)}", "phone"
+        elif kind == 2:
+            item, cue = f"{digits(4)}-{digits(4)}-{digits(4)}-{digits(3)}0", "card"
+            while pii.base_spans(item):
+                item = f"{digits(4)}-{digits(4)}-{digits(4)}-{digits(3)}0"
+        elif kind == 3:
+            item, cue = f"{rng.randrange(300, 999)}.{digits(2)}.{digits(2)}.{digits(2)}", "host"
+        elif kind == 4:
+            item, cue = digits(9), None  # an order number
+        else:
+            item, cue = f"{digits(2)}/{digits(2)}/{digits(4)}", None  # a date
+        # a third of the items come without a word that tells what they are
+        lead = f"{word()} {word()} {cue} " if cue and rng.random() < 0.67 else f"{word()} {word()} {word()} "
+        text = f"{lead}{item} {word()} {word()} {i}"
+        out.append((text, [(len(lead), len(lead) + len(item))] if cue else [], [] if cue else [(len(lead), len(lead) + len(item))]))
+    return out
+
+
+def test_trees_add_what_the_patterns_miss(spark):
+    planted = planted_documents()
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(planted)], "doc_id long, text string")
+    model = pii.fit(df, precision=0.6)  # a third of the planted items lack the word that the labels rest on
+    assert set(model.thresholds) == set(pii.KINDS)
+    hit = missed = wrong = 0
+    for text, items, decoys in planted:
+        base, spans = model.spans(text)
+        added = {(s, e) for k, s, e in spans if (k, s, e) not in base}
+        hit += sum(i in added for i in items)
+        missed += sum(i not in added for i in items)
+        wrong += sum(any(s < de and e > ds for s, e in added) for ds, de in decoys)
+    assert hit / (hit + missed) >= 0.95 and hit / (hit + wrong) >= 0.97
+
+
+def test_thresholds_and_scores_recomputed(spark):
+    """Counts over all candidates that no pattern covers, by a loop; scores of one tree after the other."""
+    planted = planted_documents(600)
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(planted)], "doc_id long, text string").repartition(3)
+    model = pii.fit(df, precision=0.6)
+    rows = {k: [] for k in pii.KINDS}
+    for text, _, _ in planted:
+        base = pii.base_spans(text)
+        for p in pii.proposals(text):
+            if all(p[2] <= s or p[1] >= e for _, s, e in base):
+                x = np.array([pii.describe(text, p)], np.float64)
+                score = math.floor(float(model.trees[pii.digest_of(text) % 2].raw(x)[0]) * pii.STEP)
+                rows[p[0]].append((score, any(w in pii.CUES for w in pii.words_before(text, p[1]))))
+    for kind, found in rows.items():
+        steps = sorted({s for s, _ in found})
+        good = [s for s in steps if (over := [y for t, y in found if t >= s]) and len(over) >= pii.LEAST_EXAMPLES and sum(over) / len(over) >= 0.6]
+        assert model.thresholds.get(kind) == (min(good) / pii.STEP if good else None)
+
+
+def test_pii_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    model = pii.fit(df)
+    assert model.thresholds == {} and pii.find(df, model).collect() == [] and pii.redact(df, model).collect() == []
