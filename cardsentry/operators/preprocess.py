@@ -18,6 +18,7 @@ SCALED = [*RAW_NUMERIC, "age"]
 CODED = ["merchant", "city", "job", "state"]
 INDICATED = ["category", "gender"]
 UNKNOWN = "unknown"
+MOST_LEVELS = 10_000  # columns that indicators of their own may become
 
 
 def drop_columns(df: DataFrame, columns: list[str] = DROPPED) -> DataFrame:
@@ -67,11 +68,15 @@ def apply_codes(df: DataFrame, codes: DataFrame, columns: list[str]) -> DataFram
     return df
 
 
-def indicator_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Distinct values per column, sorted. Every level becomes a column of its own; where there are too many for that,
-    ``sparse_indicators`` holds the same in one column."""
+def indicator_levels(df: DataFrame, columns: list[str], most: int = MOST_LEVELS) -> dict[str, list[str]]:
+    """Distinct values per column, sorted. Every level becomes a column of its own, so they are counted before they are
+    brought to the driver: more than ``most`` raise an error, and the caller may raise the bound or take
+    ``sparse_indicators``, which holds the same for any number of levels in one column."""
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
-    pairs = df.select(F.explode(cells).alias("c")).select("c.*").where("value IS NOT NULL").distinct()
+    pairs = materialise(df.select(F.explode(cells).alias("c")).select("c.*").where("value IS NOT NULL").distinct())
+    counts = {r["column"]: r["count"] for r in pairs.groupBy("column").count().collect()}
+    if sum(counts.values()) > most:
+        raise ValueError(f"too many levels for a column each ({counts}, at most {most}): use sparse_indicators")
     found = pairs.collect()
     return {c: sorted(r["value"] for r in found if r["column"] == c) for c in columns}
 

@@ -61,6 +61,8 @@ def test_many_levels_in_one_column(spark):
     got = {r["i"]: r["c_indicator"] for r in wide.collect()}
     assert got == {**{i: {i: 1.0} for i in range(6000)}, -1: {}, -2: {}}
     assert len(P.indicator_levels(df, ["c"])["c"]) == 6000
+    with pytest.raises(ValueError, match="sparse_indicators"):
+        P.indicator_levels(df, ["c"], most=5999)
 
 
 def test_strict_schema(spark):
