@@ -500,3 +500,14 @@ def test_pii_of_an_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     model = pii.fit(df)
     assert model.thresholds == {} and pii.find(df, model).collect() == [] and pii.redact(df, model).collect() == []
+
+
+def test_margins_that_are_never_reached_end_with_a_warning(spark, monkeypatch):
+    """The targets of a sparse table contradict each other, and the weights don't come to rest in the rounds there are."""
+    monkeypatch.setattr(mixing, "MOST_ROUNDS", 12)
+    monkeypatch.setattr(mixing, "RESTED", 0.0)
+    rows = [("a", "x", "p", 1000), ("a", "y", "p", 1), ("b", "y", "q", 1000), ("c", "z", "q", 5)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    with pytest.warns(UserWarning, match="margins are off"):
+        out = mixing.raked(cells, mixing.MARGINS, 12).collect()
+    assert len(out) == 4 and all(r.weight > 0 and math.isfinite(r.weight) for r in out)
