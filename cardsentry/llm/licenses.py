@@ -1,19 +1,25 @@
 """Licence texts in documents, by Dice coefficient over word bigrams.
 
-A document is looked at as its lines, as its paragraphs (between blank lines) and as a whole. The text of such a unit is
-normalised (lower case, everything but letters and digits of ASCII to single spaces) and becomes the set of its word
-bigrams. Two sets of a and b bigrams can only reach a Dice coefficient of t if a lies between b t / (2 - t) and
-b (2 - t) / t. So a unit meets those templates alone that admit its size: an equality join on the size with the small
-table of (size, template), after which the bigrams in common are counted.
-
-It also follows that they have at least b t / (2 - t) bigrams in common. So a unit has one of any words that more than the
-rest of the template's bigrams hold; a text without any such word of any template is left before its bigrams are made.
+A text is normalised (lower case, everything but letters and digits of ASCII to single spaces) and looked at through
+windows of consecutive words, wherever they begin: a notice is found in the middle of a line, spread over paragraphs, or
+with words put in, left out or replaced. Two sets of a and b bigrams can only reach a Dice coefficient of t if a lies
+between b t / (2 - t) and b (2 - t) / t, and if they have at least b t / (2 - t) bigrams in common. So a text meets those
+templates alone with which it has that many in common, and a window of a template
+
+- begins with a bigram of the template (without another one at its front, the coefficient is no smaller),
+- has the needed number of bigrams in common within the largest admitted length, which is counted in places, so that an
+  exact copy of a template that repeats a bigram still fits.
+
+From such a beginning all ends are tried in one walk that counts distinct bigrams. A long text is cut into parts that
+overlap by the largest length, so work and memory per row do not depend on the length of the text.
+
+One of the needed bigrams holds one of any words that more than the rest of the template's bigrams hold; a text without any
+such word of any template is left before its bigrams are made.
 """
 
 import math
 import re
 from collections import defaultdict
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +27,7 @@ from pyspark.sql import functions as F
 from cardsentry.session import small_table
 
 DICE = 0.8
+PART = 1024  # places where windows begin in one part of a text
 VOWEL = re.compile("[aeiouy]")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -86,28 +93,25 @@ def normal(text: Column) -> Column:
 
 
 def bigrams(words: Column) -> Column:
-    """Distinct neighbouring pairs of an array of words."""
-    n = F.size(words)
-    pairs = F.zip_with(
-        F.slice(words, 1, F.greatest(n - 1, F.lit(0))), F.slice(words, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b)
-    )
-    return F.array_distinct(pairs)
+    """Neighbouring pairs of an array of words, in order."""
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat_ws(" ", a, b))
 
 
-def bigrams_of(text: str) -> set[str]:
+def pairs_of(text: str) -> list[str]:
     kept = [c if c.isascii() and c.isalnum() else " " for c in text.lower()]
     words = "".join(kept).split()
-    return {f"{a} {b}" for a, b in zip(words, words[1:], strict=False)}
+    return [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
+
 
+def bigrams_of(text: str) -> set[str]:
+    return set(pairs_of(text))
 
-def admitted(templates: list[tuple[str, str]], dice: float) -> list[tuple[int, int]]:
-    """(size, template) for all sizes of a set that can reach the coefficient with the template."""
-    out = []
-    for t, (_, text) in enumerate(templates):
-        b = len(bigrams_of(text))
-        low = math.ceil(b * dice / (2 - dice) - 1e-9)
-        out += [(a, t) for a in range(max(low, 1), math.floor(b * (2 - dice) / dice + 1e-9) + 1)]
-    return out
+
+def bounds(text: str, dice: float) -> tuple[int, int]:
+    """(bigrams that a window must have in common with the template, places it may have at most)."""
+    least = math.ceil(len(bigrams_of(text)) * dice / (2 - dice) - 1e-9)
+    return max(least, 1), math.floor(len(pairs_of(text)) * (2 - dice) / dice + 1e-9)
 
 
 def telling_words(templates: list[tuple[str, str]], dice: float) -> list[str]:
@@ -125,55 +129,107 @@ def telling_words(templates: list[tuple[str, str]], dice: float) -> list[str]:
     return sorted(out)
 
 
-def units(text: Column) -> Column:
-    """Lines, paragraphs and the whole, each once: what is equal to a smaller unit is not repeated."""
-    return F.array_distinct(
-        F.concat(F.split(text, "\n"), F.split(text, "\n[ \t\r]*\n"), F.array(text))
+def best_end(piece: Column, n: Column) -> Column:
+    """(dice, places) of the best of the windows that begin where ``piece`` does, the shortest of equals. ``piece`` holds a
+    positive number for a bigram of the template of ``n`` bigrams, a negative one for others."""
+    fresh = F.transform(
+        piece, lambda x, i: F.struct((x > 0).cast("int").alias("hit"), (F.array_position(piece, x) == i + 1).cast("int").alias("new"))
     )
+    start = F.struct(*(F.lit(0).alias(c) for c in ("places", "common", "size", "at")), F.lit(0.0).alias("dice"))
 
+    def step(acc: Column, x: Column) -> Column:
+        common, size = acc["common"] + x["hit"] * x["new"], acc["size"] + x["new"]
+        dice = 2 * common / (size + n)
+        better = dice > acc["dice"]
+        return F.struct(
+            (acc["places"] + 1).alias("places"),
+            common.alias("common"),
+            size.alias("size"),
+            F.when(better, acc["places"] + 1).otherwise(acc["at"]).alias("at"),
+            F.when(better, dice).otherwise(acc["dice"]).alias("dice"),
+        )
 
-def scan(docs: DataFrame, dice: float = DICE, templates: list[tuple[str, str]] | None = None) -> DataFrame:
-    """Per row of ``docs(doc_id, text)``: doc_id, licences (ids in order, comma-joined, empty if none), n_matches (pairs of
-    a distinct unit and a template at ``dice`` or more), best_dice (0 if none) and best_licence (null if none; the first
-    id among equals).
+    return F.aggregate(fresh, start, step, lambda acc: F.struct(acc["dice"].alias("dice"), acc["at"].alias("places")))
 
-    Null and empty texts match nothing. Rows of the same doc_id are one document: their matches are pooled and the row is
-    returned once; null ids are one too. An empty table gives an empty one; other columns are ignored.
-    """
+
+def spans(docs: DataFrame, dice: float = DICE, templates: list[tuple[str, str]] | None = None, part: int = PART) -> DataFrame:
+    """The best window per doc_id of ``docs(doc_id, text)`` and template that reaches ``dice``: doc_id, template (its
+    place in the list), licence, dice, first_word (from 0, in the normalised text) and n_words. Of equally good windows
+    the first, then the shortest. Null and empty texts have none; the texts of one doc_id are searched one by one."""
     templates = TEMPLATES if templates is None else templates
-    sizes = small_table(docs.sparkSession, admitted(templates, dice), "size int, template int")
-    bags = [F.array(*map(F.lit, sorted(bigrams_of(t)))) for _, t in templates]
-    # units that hold too few words for any template are left before their bigrams are made
-    least = min((len(bigrams_of(t)) for _, t in templates), default=0) * dice / (2 - dice)
+    limits = [bounds(t, dice) for _, t in templates]
+    bags = [sorted(bigrams_of(t)) for _, t in templates]
+    table = small_table(
+        docs.sparkSession,
+        [(i, name, bag, len(bag), *ends) for i, ((name, _), bag, ends) in enumerate(zip(templates, bags, limits, strict=True))],
+        "template int, licence string, bag array<string>, n int, least int, longest int",
+    )
     marks = defaultdict(list)
     for word in telling_words(templates, dice):
         marks[word[0]].append(word[1:])
     pattern = "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in marks.items())  # one branch a letter
-    told = lambda c: F.translate(F.col(c), UPPER, LOWER).rlike(pattern or "$^")
-    each = docs.where(told("text")).select("doc_id", F.explode(units(F.col("text"))).alias("unit")).where(told("unit"))
-    words = each.select("doc_id", F.split(normal(F.col("unit")), " ").alias("words")).where(F.size("words") > least)
-    sets = words.select("doc_id", bigrams(F.col("words")).alias("own")).withColumn("size", F.size("own"))
-    near = sets.join(F.broadcast(sizes), "size")  # a few hundred rows, whatever the documents
-    common = reduce(
-        lambda rest, t: F.when(F.col("template") == t, F.size(F.array_intersect("own", bags[t]))).otherwise(rest),
-        range(len(bags)),
-        F.lit(0),
+    told = docs.where(F.translate("text", UPPER, LOWER).rlike(pattern or "$^"))
+    words = told.select("doc_id", F.split(normal(F.col("text")), " ").alias("words"))
+    own = words.select("doc_id", bigrams(F.col("words")).alias("own")).withColumn("known", F.array_distinct("own"))
+    held = [
+        F.when(F.size(F.array_intersect("known", F.array(*map(F.lit, bag)).cast("array<string>"))) >= least, F.lit(i))
+        for i, (bag, (least, _)) in enumerate(zip(bags, limits, strict=True))
+    ]
+    fit = F.filter(F.array(*held).cast("array<int>"), lambda t: t.isNotNull())
+    near = own.select("doc_id", "own", F.explode(fit).alias("template"))
+    near = near.join(F.broadcast(table), "template")  # one row a template
+
+    def number(x: Column) -> Column:
+        at = F.array_position("bag", x)
+        return F.when(at > 0, at).otherwise(-1 - F.abs(F.shiftright(F.xxhash64(x), 1)))
+
+    keep = ["doc_id", "template", "licence", "n", "least", "longest"]
+    numbered = near.select(*keep, F.transform("own", number).alias("ids"))
+    offsets = F.sequence(F.lit(0), F.size("ids") - 1, F.lit(part))
+    cut = F.transform(offsets, lambda o: F.struct(o.alias("offset"), F.slice("ids", o + 1, F.col("longest") + part - 1).alias("ids")))
+    parts = numbered.select(*keep, F.explode(cut).alias("p")).select(*keep, "p.offset", "p.ids")
+    places = F.filter(F.transform("ids", lambda x, i: F.when(x > 0, i + 1)), lambda i: i.isNotNull())
+    parts = parts.withColumn("at", places)
+    # the place of a bigram in common, where enough of them follow within the largest length
+    begins = F.zip_with(
+        "at", F.slice("at", F.col("least"), F.size("at")), lambda a, b: F.when((b - a < F.col("longest")) & (a <= part), a)
+    )
+    parts = parts.withColumn("begins", F.filter(begins, lambda a: a.isNotNull()))
+    pieces = F.transform("begins", lambda a: F.struct(a.alias("at"), F.slice("ids", a, F.col("longest")).alias("piece")))
+    windows = parts.select(*keep, "offset", F.explode(pieces).alias("w"))
+    windows = windows.select(*keep, (F.col("offset") + F.col("w.at") - 1).alias("first"), F.col("w.piece").alias("piece"))
+    ends = windows.select("doc_id", "template", "licence", "first", best_end(F.col("piece"), F.col("n")).alias("e"))
+    hits = ends.where(F.col("e.dice") >= dice)
+    order = F.struct("e.dice", (-F.col("first")).alias("first"), (-F.col("e.places")).alias("places"))
+    best = hits.groupBy("doc_id", "template", "licence").agg(F.max(order).alias("b"))
+    return best.select(
+        "doc_id",
+        "template",
+        "licence",
+        F.col("b.dice").alias("dice"),
+        (-F.col("b.first")).alias("first_word"),
+        (1 - F.col("b.places")).alias("n_words"),
     )
-    names = F.array(*(F.lit(i) for i, _ in templates))
-    total = F.array(*(F.lit(len(bigrams_of(t))) for _, t in templates))
-    both = F.col("size") + F.element_at(total, F.col("template") + 1)
-    hits = near.select("doc_id", F.element_at(names, F.col("template") + 1).alias("licence"), (2 * common / both).alias("dice"))
-    hits = hits.where(F.col("dice") >= dice)
-    # a document has few distinct licences: one row each before the lists are made
-    per = hits.groupBy("doc_id", "licence").agg(F.max("dice").alias("dice"), F.count(F.lit(1)).alias("n"))
-    every = docs.select("doc_id", F.lit(None).cast("string").alias("licence"), F.lit(None).cast("double").alias("dice"), F.lit(0).alias("n"))
+
+
+def scan(docs: DataFrame, dice: float = DICE, templates: list[tuple[str, str]] | None = None, part: int = PART) -> DataFrame:
+    """Per row of ``docs(doc_id, text)``: doc_id, licences (ids in order, comma-joined, empty if none), n_matches
+    (templates that a window matches at ``dice`` or more), best_dice (0 if none) and best_licence (null if none; the first
+    id among equals).
+
+    Null and empty texts match nothing. Rows of the same doc_id are one document: their matches are pooled and the row is
+    returned once; null ids are one too. An empty table gives an empty one; other columns are ignored.
+    """
+    hits = spans(docs, dice, templates, part).select("doc_id", "template", "licence", "dice")
+    nothing = {"template": "int", "licence": "string", "dice": "double"}
+    every = docs.select("doc_id", *(F.lit(None).cast(t).alias(c) for c, t in nothing.items()))
     best = F.min(F.when(F.col("licence").isNotNull(), F.struct((-F.col("dice")).alias("d"), "licence")))
     return (
-        per.union(every)
+        hits.union(every)
         .groupBy("doc_id")
         .agg(
             F.array_join(F.sort_array(F.collect_set("licence")), ",").alias("licences"),
-            F.sum("n").alias("n_matches"),
+            F.count("template").alias("n_matches"),
             F.round(F.coalesce(F.max("dice"), F.lit(0.0)), 6).alias("best_dice"),
             best.alias("best"),
         )
@@ -182,26 +238,31 @@ def scan(docs: DataFrame, dice: float = DICE, templates: list[tuple[str, str]] |
 
 
 def scan_sql(dice: float = DICE, templates: list[tuple[str, str]] | None = None) -> str:
-    """The same in SQL, over the view ``documents``."""
+    """The same in SQL, over the view ``documents``: every window of an admitted length of every text that has enough
+    bigrams in common with the template."""
     templates = TEMPLATES if templates is None else templates
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
     normal_sql = lambda x: f"trim(regexp_replace(translate({x}, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g'))"
-    pairs = lambda w: f"list_distinct([{w}[i] || ' ' || {w}[i + 1] FOR i IN range(1, len({w}))])"
-    values = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in templates)
+    pairs = lambda w: f"[{w}[i] || ' ' || {w}[i + 1] FOR i IN range(1, len({w}))]"
+    values = ", ".join(f"({i}, {quoted(name)}, {quoted(t)})" for i, (name, t) in enumerate(templates))
     split = lambda x: f"string_split({normal_sql(x)}, ' ')"
-    return f"""WITH t0 AS (SELECT licence, {split("text")} w FROM (VALUES {values}) v(licence, text)),
-t AS (SELECT licence, {pairs("w")} bag FROM t0),
-u0 AS (SELECT doc_id, unnest(list_distinct(list_concat(list_concat(string_split(text, chr(10)),
-  string_split_regex(text, '\\n[ \\t\\r]*\\n')), [text]))) unit FROM documents WHERE text IS NOT NULL),
-u1 AS (SELECT doc_id, {split("unit")} w FROM u0),
-u AS (SELECT doc_id, {pairs("w")} bag FROM u1),
-hits AS (SELECT doc_id, licence, 2 * len(list_intersect(u.bag, t.bag))::DOUBLE / (len(u.bag) + len(t.bag)) dice
- FROM u, t WHERE len(u.bag) BETWEEN ceil(len(t.bag) * {dice!r}::DOUBLE / (2 - {dice!r}::DOUBLE) - 1e-9)
-  AND floor(len(t.bag) * (2 - {dice!r}::DOUBLE) / {dice!r}::DOUBLE + 1e-9) AND len(u.bag) > 0),
-per AS (SELECT doc_id, licence, max(dice) dice, count(*) n FROM hits WHERE dice >= {dice!r} GROUP BY ALL),
-a AS (SELECT doc_id, string_agg(licence, ',' ORDER BY licence) licences, sum(n)::BIGINT n_matches, max(dice) best_dice,
+    return f"""WITH t0 AS (SELECT template, licence, {split("text")} w FROM (VALUES {values}) v(template, licence, text)),
+t1 AS (SELECT template, licence, {pairs("w")} own FROM t0),
+t AS (SELECT template, licence, list_distinct(own) bag,
+ greatest(ceil(len(list_distinct(own)) * {dice!r}::DOUBLE / (2 - {dice!r}::DOUBLE) - 1e-9), 1)::BIGINT least,
+ floor(len(own) * (2 - {dice!r}::DOUBLE) / {dice!r}::DOUBLE + 1e-9)::BIGINT longest FROM t1),
+u0 AS (SELECT doc_id, {split("text")} w FROM documents WHERE text IS NOT NULL),
+u AS (SELECT doc_id, {pairs("w")} own FROM u0),
+near AS (SELECT doc_id, template, licence, own, bag, least, longest FROM u, t
+ WHERE len(list_intersect(list_distinct(own), bag)) >= least),
+begins AS (SELECT *, unnest(range(1, len(own) + 1)) s FROM near),
+ends AS (SELECT *, unnest(range(least, longest + 1)) n FROM begins),
+windows AS (SELECT doc_id, template, licence, bag, list_distinct(own[s:s + n - 1]) seen FROM ends WHERE s + n - 1 <= len(own)),
+hits AS (SELECT doc_id, template, licence, max(2 * len(list_intersect(seen, bag))::DOUBLE / (len(seen) + len(bag))) dice
+ FROM windows GROUP BY ALL),
+a AS (SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) licences, count(*) n_matches, max(dice) best_dice,
  first(licence ORDER BY dice DESC, licence) best_licence
- FROM per GROUP BY doc_id)
+ FROM hits WHERE dice >= {dice!r} GROUP BY doc_id)
 SELECT d.doc_id, coalesce(licences, '') licences, coalesce(n_matches, 0)::BIGINT n_matches,
  round(coalesce(best_dice, 0::DOUBLE), 6) best_dice, best_licence
 FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN a ON d.doc_id IS NOT DISTINCT FROM a.doc_id"""

@@ -66,6 +66,67 @@ def test_licences_of_odd_documents(spark):
     assert licenses.scan(df.limit(0)).collect() == []
 
 
+def best_windows(text, templates, dice):
+    """{template: (dice, first word, words)} by all windows of all lengths."""
+    own = licenses.pairs_of(text or "")
+    out = {}
+    for t, (_, wording) in enumerate(templates):
+        bag = licenses.bigrams_of(wording)
+        found = [(0.0, 0, 0)]
+        for s in range(len(own)):
+            for e in range(s + 1, min(len(own), s + licenses.bounds(wording, dice)[1]) + 1):
+                seen = set(own[s:e])
+                found.append((2 * len(seen & bag) / (len(seen) + len(bag)), -s, s - e))
+        best = max(found)
+        if best[0] >= dice:
+            out[t] = (best[0], -best[1], 1 - best[2])
+    return out
+
+
+@pytest.mark.parametrize("part", [7, licenses.PART])
+def test_licence_windows_by_brute_force(spark, part):
+    """Notices in the middle of lines, over paragraphs, changed, cut short and repeated, at all places of a part."""
+    wording = [
+        ("A", "released under the terms of the plain licence"),
+        ("B", "the work and the work and the work may be copied by all who ask for the work"),
+        ("C", "copied by all"),
+    ]
+    vocabulary = sorted({w for _, t in wording for w in t.split()}) + ["x", "y"]
+    rng = np.random.default_rng(5)
+    texts = [None, "", "x", wording[1][1], " ".join([wording[0][1]] * 4), "the work " * 30]
+    for i in range(60):
+        words = wording[i % 3][1].split()
+        for _ in range(rng.integers(0, 4)):
+            at = rng.integers(0, len(words))
+            words[at : at + rng.integers(0, 2)] = rng.choice(vocabulary, rng.integers(0, 2))
+        front, back = rng.choice(vocabulary, i // 2), rng.choice(vocabulary, rng.integers(0, 20))
+        texts.append(str(rng.choice([" ", ", ", "\n", "\n\n"])).join([*front, *words, *back]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got: dict = {}
+    for r in licenses.spans(df, templates=wording, part=part).collect():
+        got.setdefault(r.doc_id, {})[r.template] = (r.dice, r.first_word, r.n_words)
+    want = {i: best_windows(text, wording, licenses.DICE) for i, text in enumerate(texts)}
+    assert got == {i: w for i, w in want.items() if w}
+    assert {t for w in want.values() for t in w} == {0, 1, 2}
+
+
+def test_licences_inside_other_text(spark):
+    mit = next(t for i, t in licenses.TEMPLATES if i == "MIT" and len(t) > 500)
+    cut = mit.index("The above"), mit.index("THE SOFTWARE IS")
+    three = "\n\n".join([mit[: cut[0]], mit[cut[0] : cut[1]], mit[cut[1] :]])
+    rows = [
+        (1, f"A long story. {'word ' * 1500}\n\n{three}\n\n{'other ' * 1500}"),
+        (2, "It runs quickly. Released under the MIT License. It is small."),
+        (3, "\n".join(f"# {line}" for line in three.split(". "))),
+        (4, "He was released under the bridge, a permission that is hereby noted, free of doubt."),
+    ]
+    got = {r.doc_id: r for r in licenses.spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: (r.licence, r.dice) for i, r in got.items()} == {1: ("MIT", 1.0), 2: ("MIT", 1.0), 3: ("MIT", 1.0)}
+    # the last two bigrams occur before: the shortest of the best windows ends without them
+    assert (got[1].first_word, got[1].n_words) == (1503, len(licenses.pairs_of(mit)) + 1 - 2)
+    assert (got[2].first_word, got[2].n_words) == (3, 5)
+
+
 # ---- mixing
 
 
