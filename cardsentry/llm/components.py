@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardsentry.llm.common import frozen
+from cardsentry.llm.common import frozen, sent_if_small
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -36,11 +36,26 @@ def components(links: DataFrame) -> DataFrame:
         return left.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
     def follow(at: DataFrame, step: DataFrame) -> DataFrame:
-        s = step.select(F.col("node").alias("root"), F.col("to"))
+        s = sent_if_small(step.select(F.col("node").alias("root"), F.col("to")))
         return at.join(s, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
 
     # every node of a later round is one of an earlier round, so the first round names all nodes
     first = steps[0].select("node", F.col("to").alias("root"))
     roots = frozen(reduce(follow, steps[1:], first))
-    least = roots.groupBy("root").agg(F.min("node").alias("component"))
+    least = sent_if_small(frozen(roots.groupBy("root").agg(F.min("node").alias("component"))))
     return roots.join(least, "root").select("node", "component")
+
+
+def reached(known: DataFrame) -> DataFrame:
+    """Add ``reached``, the smallest id of a node's component, to ``known(component, least, ...)``, where a node is named
+    by its smallest id ``least``, or by some number where that is null, and has no component where it has no link.
+
+    A component is named by its smallest node. So that name is the smallest id, unless nodes without an id are in the
+    component: only those components are joined, and a large component is not brought together.
+    """
+    per = known.where("component IS NOT NULL").groupBy("component")
+    unnamed = per.agg(F.min("least").alias("smallest"), F.max(F.col("least").isNull()).alias("unnamed")).where("unnamed")
+    joined = known.join(sent_if_small(frozen(unnamed)), "component", "left")
+    return joined.withColumn(
+        "reached", F.when(F.col("unnamed"), F.col("smallest")).otherwise(F.coalesce("component", "least"))
+    ).drop("smallest", "unnamed")

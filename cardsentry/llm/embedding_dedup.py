@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardsentry.llm.common import batches, frozen, join_parts, lists, written
-from cardsentry.llm.components import components
+from cardsentry.llm.components import components, reached
 
 BLOCK = 2048
 BUCKET = 64
@@ -149,13 +149,12 @@ def near_duplicate_vectors(
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("vec")).agg(F.sum("n").alias("n"))
     reach = frozen(components(found.where("b IS NOT NULL").select("a", "b")))
     known = classes.select(*key, "vec", "least", "n_copies").join(reach, classes["vec"] == reach["node"], "left")
-    smallest = known.where("node IS NOT NULL").groupBy("component").agg(F.min("least").alias("smallest"))
     label = (
-        known.join(smallest, "component", "left")
+        reached(known)
         .join(counts, "vec", "left")
         .select(
             *key,
-            F.coalesce("smallest", "least").alias("reached"),
+            "reached",
             (F.coalesce("n", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"),
         )
     )

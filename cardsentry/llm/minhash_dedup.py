@@ -20,15 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardsentry.llm.common import batches, frozen, join_parts, lists, mix64, texts_of, written
-from cardsentry.llm.components import components
+from cardsentry.llm.common import batches, frozen, join_parts, lists, mix64, sent_if_small, texts_of, written
+from cardsentry.llm.components import components, reached
 
 WORDS = 5
 BANDS, ROWS = 14, 4
 BLOCK = 256
 KNOWN_WORDS = 300_000
 CHUNK = 1024
-SENT_ROWS = 1_000_000  # rows of a table that is broadcast; about 30 MB
 
 
 class WordNumbers(dict):
@@ -182,11 +181,6 @@ def links_in_blocks(members: DataFrame, similar: tuple[int, int], block: int, si
     return blocked(members, block, size).groupBy("family", "i", "j").applyInArrow(link, "a long, b long")
 
 
-def sent_if_small(table: DataFrame) -> DataFrame:
-    """A stored table of a few numbers a row, to be broadcast if a count says that it is small; else the join is a plain one."""
-    return F.broadcast(table) if table.count() <= SENT_ROWS else table
-
-
 def near_duplicates(
     docs: DataFrame,
     similar: tuple[int, int] = (85, 100),
@@ -223,8 +217,7 @@ def near_duplicates(
     links = links_in_blocks(members.select("node", "family", "n_family", "text"), similar, block, size)
     reach = frozen(components(links))
     known = classes.select(*key, "node", "least").join(reach, "node", "left")
-    least = known.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("smallest"))
-    label = known.join(least, "component", "left").select(*key, F.coalesce("smallest", "least").alias("component_id"))
+    label = reached(known).select(*key, F.col("reached").alias("component_id"))
     out = rows_of.join(frozen(label), key, "left")
     # texts without shingles have no label; what reaches no id has none either
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
