@@ -8,6 +8,10 @@ unrelated vectors stays small at any size. Equal vectors are one class and trave
 A bucket is cut into blocks; a pair of blocks is a task of its own, whatever the bucket's size, which multiplies the
 blocks and returns counts per vector and a spanning forest, never the pairs. A pair that meets in several tables counts
 in the first one only, which its two rows of signs tell.
+
+What travels to the tables is a byte per component and the length of the rest that rounding leaves. The two lengths bound
+how far the product of the rounded vectors is from the cosine: most pairs are decided by them. The few that are not are
+returned and decided by the whole vectors; a pair of blocks with many of those is done again with whole vectors.
 """
 
 import math
@@ -18,13 +22,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardsentry.llm.common import batches, frozen, join_parts, lists, written
+from cardsentry.llm.common import batches, frozen, join_parts, lists, sent_if_small, written
 from cardsentry.llm.components import components, reached
 
 BLOCK = 2048
 BUCKET = 64
 MISSED = 1e-5
 STRIPE = 256
+DOUBTS = 4  # undecided pairs per vector above which a pair of blocks is done again
+COUNT, LINK, DOUBT, AGAIN = range(4)
+PLACE = ["width", "t", "key", "i", "j"]
+FOUND = "kind int, a long, b long, n long, width int, t int, key int"
 
 
 def tables_and_bits(rows: int, threshold: float, bucket: int = BUCKET, missed: float = MISSED) -> tuple[int, int]:
@@ -36,13 +44,14 @@ def tables_and_bits(rows: int, threshold: float, bucket: int = BUCKET, missed: f
 
 
 def unit_vectors(vectors: DataFrame, tables: int, bits: int, seed: int) -> DataFrame:
-    """(vec, x, signs): the vector at length one and its bucket number in each table."""
+    """(vec, n_copies, width, x, signs, packed, small, scale, rest): the vector at length one, its bucket number in each
+    table, the same as bytes, and the vector rounded to ``scale * small`` with the length of the rest."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
         weights = 1 << np.arange(bits, dtype=np.int64)
         for part in batches(parts):
-            own, signs = [], []
+            own, signs, small, scale, rest = [], [], [], [], []
             for v in part["embedding"]:
                 x = v.values.to_numpy(zero_copy_only=False).astype(np.float64)
                 x = x / np.abs(x).max()  # the length of very large or small numbers can be told too
@@ -51,65 +60,138 @@ def unit_vectors(vectors: DataFrame, tables: int, bits: int, seed: int) -> DataF
                     planes[len(x)] = np.random.default_rng([seed, len(x)]).standard_normal((len(x), tables * bits))
                 own.append(x)
                 signs.append(((x @ planes[len(x)]).reshape(tables, bits) > 0) @ weights)
+                scale.append(np.abs(x).max() / 127)
+                rounded = np.rint(x / scale[-1])
+                small.append(rounded.astype(np.int8).tobytes())
+                rest.append(np.linalg.norm(x - rounded * scale[-1]))
+            whole = np.array(signs, "<i4")
+            packed = whole.view(np.uint8).reshape(*whole.shape, 4)[:, :, : bytes_a_sign(bits)]
+            widths = np.array([len(x) for x in own], np.int32)
             yield pa.record_batch(
                 [
                     part["vec"],
-                    lists(np.concatenate(own), np.array([len(x) for x in own]), pa.float64()),
-                    lists(np.concatenate(signs).astype(np.int32), np.full(len(signs), tables), pa.int32()),
+                    part["n_copies"],
+                    pa.array(widths),
+                    lists(np.concatenate(own), widths, pa.float64()),
+                    lists(whole.ravel(), np.full(len(signs), tables), pa.int32()),
+                    pa.array([row.tobytes() for row in packed], pa.binary()),
+                    pa.array(small, pa.binary()),
+                    pa.array(scale, pa.float64()),
+                    pa.array(rest, pa.float64()),
                 ],
-                ["vec", "x", "signs"],
+                ["vec", "n_copies", "width", "x", "signs", "packed", "small", "scale", "rest"],
             )
 
-    return vectors.select("vec", "embedding").mapInArrow(run, "vec long, x array<double>, signs array<int>")
+    return vectors.select("vec", "n_copies", "embedding").mapInArrow(
+        run,
+        "vec long, n_copies long, width int, x array<double>, signs array<int>, packed binary, small binary, "
+        "scale double, rest double",
+    )
 
 
-def verified(units: DataFrame, weights: DataFrame, threshold: float, block: int) -> DataFrame:
+def bytes_a_sign(bits: int) -> int:
+    return (bits + 7) // 8
+
+
+def compared(table: pa.Table, threshold: float, most: int) -> pa.Table:
+    """What a pair of blocks says (``FOUND``), told by whole vectors if it has them and else by rounded ones."""
+    place = [table[c][0].as_py() for c in ("width", "t", "key")]
+    width, t, _ = place
+    i, j = (table[c][0].as_py() for c in ("i", "j"))
+    vec, copies, block_of = (table[c].to_numpy() for c in ("vec", "n_copies", "block"))
+    exact = "x" in table.column_names
+    if exact:
+        x = table["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(vec), width)
+    else:
+        scale, rest = (table[c].to_numpy() for c in ("scale", "rest"))
+        # sums of products of bytes are whole numbers: single precision holds them up to this width
+        real = np.float32 if width <= 1000 else np.float64
+        x = np.frombuffer(b"".join(table["small"].to_pylist()), np.int8).reshape(len(vec), width).astype(real)
+        widest = 2 * rest.max() + rest.max() ** 2 + 1e-9
+    earlier = np.frombuffer(b"".join(table["packed"].to_pylist()), np.uint8).reshape(len(vec), t, -1) if t else None
+    left, right = np.flatnonzero(block_of == i), np.flatnonzero(block_of == j)
+    more = np.zeros(len(vec), np.int64)
+    label = np.arange(len(vec))
+    rows: dict[int, list] = {LINK: [], DOUBT: []}
+    undecided = 0
+    for s in range(0, len(left), STRIPE):
+        ours = left[s : s + STRIPE]
+        product = x[ours] @ x[right].T
+        if not exact:
+            product = product * scale[ours][:, None] * scale[right]
+        p, q = np.nonzero(product >= threshold - (0 if exact else widest))
+        cosine = product[p, q]
+        p, q = ours[p], right[q]
+        keep = p < q if i == j else np.ones(len(p), bool)
+        if t:  # pairs that an earlier table has seen count there
+            keep[keep] = ~(earlier[p[keep]] == earlier[q[keep]]).all(axis=2).any(axis=1)
+        p, q, cosine = p[keep], q[keep], cosine[keep]
+        if not exact:
+            off = rest[p] + rest[q] + rest[p] * rest[q] + 1e-9
+            open_ = np.abs(cosine - threshold) < off
+            undecided += int(open_.sum())
+            if undecided > most * len(vec):
+                return answer(AGAIN, [i], [j], [0], place)
+            rows[DOUBT].append((vec[p[open_]], vec[q[open_]]))
+            sure = ~open_ & (cosine >= threshold)
+            p, q = p[sure], q[sure]
+        np.add.at(more, p, copies[q])
+        np.add.at(more, q, copies[p])
+        p, q = join_parts(p, q, label)
+        rows[LINK].append((vec[p], vec[q]))
+    linked = np.flatnonzero(more)
+    out = [answer(COUNT, vec[linked], vec[linked], more[linked], place)]
+    for kind, pairs in rows.items():
+        if pairs:
+            a, b = (np.concatenate(c) for c in zip(*pairs, strict=True))
+            out.append(answer(kind, a, b, np.zeros(len(a), np.int64), place))
+    return pa.concat_tables(out)
+
+
+def answer(kind: int, a, b, n, place: list[int]) -> pa.Table:
+    ids = [pa.array(c, pa.int64()) for c in (a, b, n)]
+    fixed = [pa.array(np.full(len(ids[0]), v, np.int32)) for v in (kind, *place)]
+    return pa.table([fixed[0], *ids, *fixed[1:]], ["kind", "a", "b", "n", "width", "t", "key"])
+
+
+def verified(units: DataFrame, threshold: float, block: int, bits: int, doubts: int) -> DataFrame:
     """(a, b, n): for b null, that vector a has n more links; else a link of the spanning forest."""
-    keyed = units.select("vec", F.size("x").alias("width"), F.posexplode("signs").alias("t", "key"))
-    n = F.ceil(F.count(F.lit(1)) / block).cast("int")
-    buckets = keyed.groupBy("width", "t", "key").agg(n.alias("blocks"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    placed = (
-        units.join(weights, "vec")
-        .select("vec", "n_copies", "x", "signs", F.size("x").alias("width"), F.posexplode("signs").alias("t", "key"))
-        .join(buckets.select("width", "t", "key", "blocks"), ["width", "t", "key"])
-        .withColumn("block", F.pmod(F.xxhash64("vec"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("i", F.least("block", "other"))
-        .withColumn("j", F.greatest("block", "other"))
-        .select("width", "t", "key", "i", "j", "block", "vec", "n_copies", "x", "signs")
-    )
-
-    def link(table: pa.Table) -> pa.Table:
-        t, i, j, width = (table[c][0].as_py() for c in ("t", "i", "j", "width"))
-        vec, copies, block_of = (table[c].to_numpy() for c in ("vec", "n_copies", "block"))
-        flat = lambda c: table[c].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        x, signs = flat("x").reshape(len(vec), width), flat("signs").reshape(len(vec), -1)[:, :t]
-        left, right = np.flatnonzero(block_of == i), np.flatnonzero(block_of == j)
-        more = np.zeros(len(vec), np.int64)
-        label = np.arange(len(vec))
-        a, b = [], []
-        for s in range(0, len(left), STRIPE):
-            rows = left[s : s + STRIPE]
-            p, q = np.nonzero(x[rows] @ x[right].T >= threshold)
-            p, q = rows[p], right[q]
-            keep = p < q if i == j else np.ones(len(p), bool)
-            p, q = p[keep], q[keep]
-            if t:  # pairs that an earlier table has seen count there
-                new = ~(signs[p] == signs[q]).any(axis=1)
-                p, q = p[new], q[new]
-            np.add.at(more, p, copies[q])
-            np.add.at(more, q, copies[p])
-            p, q = join_parts(p, q, label)
-            a.append(vec[p])
-            b.append(vec[q])
-        linked = np.flatnonzero(more)
-        a, b = np.concatenate(a), np.concatenate(b)
-        ids = np.concatenate([vec[linked], a])
-        ends = pa.array(np.concatenate([linked, b]), pa.int64(), mask=np.arange(len(ids)) < len(linked))
-        counts = np.concatenate([more[linked], np.zeros(len(a), np.int64)])
-        return pa.table({"a": pa.array(ids, pa.int64()), "b": ends, "n": pa.array(counts, pa.int64())})
-
-    return placed.groupBy("width", "t", "key", "i", "j").applyInArrow(link, "a long, b long, n long")
+    keyed = units.select("width", F.posexplode("signs").alias("t", "key"))
+    blocks = F.ceil(F.count(F.lit(1)) / block).cast("int")
+    large = frozen(keyed.groupBy("width", "t", "key").agg(blocks.alias("blocks")).where("blocks > 1"))
+
+    def placed(*payload: str) -> DataFrame:
+        rows = units.select("vec", "n_copies", "width", "packed", *payload, F.posexplode("signs").alias("t", "key"))
+        rows = rows.withColumn("packed", F.substring("packed", F.lit(1), F.col("t") * bytes_a_sign(bits)))
+        rows = rows.join(sent_if_small(large), ["width", "t", "key"], "left").na.fill(1, ["blocks"])
+        rows = rows.withColumn("block", F.pmod(F.xxhash64("vec"), F.col("blocks")).cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        ends = {"i": F.least("block", "other"), "j": F.greatest("block", "other")}
+        return rows.withColumns(ends).select(*PLACE, "block", "vec", "n_copies", "packed", *payload)
+
+    def run(rows: DataFrame) -> DataFrame:
+        # by all of the key, so that the pairs of blocks of one bucket are many tasks
+        return rows.repartition(*PLACE).groupBy(*PLACE).applyInArrow(lambda t: compared(t, threshold, doubts), FOUND)
+
+    found = written(run(placed("small", "scale", "rest")), "found")
+    again = found.where(F.col("kind") == AGAIN).select("width", "t", "key", F.col("a").cast("int").alias("i"), F.col("b").cast("int").alias("j"))
+    if not again.isEmpty():
+        again = sent_if_small(frozen(again))
+        found = found.union(written(run(placed("x").join(again, PLACE, "left_semi")), "found"))
+    # undecided pairs are few: their vectors alone are joined
+    unsure = frozen(found.where(F.col("kind") == DOUBT).select("a", "b"))
+    needed = sent_if_small(frozen(unsure.select(F.explode(F.array("a", "b")).alias("vec")).distinct()))
+    vectors = units.select("vec", "n_copies", "x").join(needed, "vec", "left_semi")
+    one = vectors.select(F.col("vec").alias("a"), F.col("x").alias("u"), F.col("n_copies").alias("na"))
+    two = vectors.select(F.col("vec").alias("b"), F.col("x").alias("v"), F.col("n_copies").alias("nb"))
+    cosine = F.aggregate(F.zip_with("u", "v", lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+    pairs = frozen(unsure.join(one, "a").join(two, "b").where(cosine >= threshold).select("a", "b", "na", "nb"))
+    none = F.lit(None).cast("long").alias("b")
+    links = found.where(F.col("kind") == LINK).select("a", "b").union(pairs.select("a", "b"))
+    counts = found.where(F.col("kind") == COUNT).select("a", none, "n")
+    counts = counts.union(pairs.select("a", none, F.col("nb").alias("n")))
+    counts = counts.union(pairs.select(F.col("b").alias("a"), none, F.col("na").alias("n")))
+    return counts.union(links.withColumn("n", F.lit(0).cast("long")))
 
 
 def near_duplicate_vectors(
@@ -118,6 +200,7 @@ def near_duplicate_vectors(
     bucket: int = BUCKET,
     missed: float = MISSED,
     block: int = BLOCK,
+    doubts: int = DOUBTS,
     seed: int = 11,
 ) -> DataFrame:
     """Per row of ``vectors(vec_id, embedding)``: vec_id, n_links, component_id, kept.
@@ -145,7 +228,7 @@ def near_duplicate_vectors(
     classes = written(classes, "classes")
     tables, bits = tables_and_bits(classes.count(), threshold, bucket, missed)
     units = written(unit_vectors(classes, tables, bits, seed), "units")
-    found = written(verified(units, classes.select("vec", "n_copies"), threshold, block), "found")
+    found = verified(units, threshold, block, bits, doubts)
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("vec")).agg(F.sum("n").alias("n"))
     reach = frozen(components(found.where("b IS NOT NULL").select("a", "b")))
     known = classes.select(*key, "vec", "least", "n_copies").join(reach, classes["vec"] == reach["node"], "left")

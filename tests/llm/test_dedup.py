@@ -167,13 +167,15 @@ def test_embedding_query(spark):
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == sorted(brute_vectors(rows))
 
 
-def test_embedding_clusters_in_blocks(spark):
+@pytest.mark.parametrize("doubts", [0, 1000])
+def test_embedding_clusters_in_blocks(spark, doubts):
     rng = np.random.default_rng(2)
     centres = rng.standard_normal((6, 16))
     rows = [(i, [float(x) for x in centres[i % 6] + 0.18 * rng.standard_normal(16)]) for i in range(240)]
     rows += [(500 + i, rows[i][1]) for i in range(20)]  # copies
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = embedding_dedup.near_duplicate_vectors(df, block=16, bucket=16).collect()
+    # with no undecided pair allowed, blocks are done again by whole vectors
+    got = embedding_dedup.near_duplicate_vectors(df, block=16, bucket=16, doubts=doubts).collect()
     want = brute_vectors(rows)
     assert sum(n for _, n, _ in want) > 2000
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == sorted(want)
