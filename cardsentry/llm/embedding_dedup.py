@@ -26,7 +26,7 @@ from cardsentry.llm.common import batches, frozen, join_parts, lists, sent_if_sm
 from cardsentry.llm.components import components, reached
 
 BLOCK = 2048
-BUCKET = 64
+BUCKET = 512
 MISSED = 1e-5
 STRIPE = 256
 DOUBTS = 4  # undecided pairs per vector above which a pair of blocks is done again
