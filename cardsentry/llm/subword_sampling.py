@@ -364,7 +364,13 @@ def segmentations(
 
 
 def sample_segmentations(
-    docs: DataFrame, key: str = "doc_id", path: str = MODEL, samples: int = SAMPLES, alpha: float = ALPHA, seed: int = 5
+    docs: DataFrame,
+    key: str = "doc_id",
+    path: str = MODEL,
+    samples: int = SAMPLES,
+    alpha: float = ALPHA,
+    seed: int = 5,
+    decoded: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs(key, text)`` and sample: key, sample (1 for the largest perturbed value), ids,
     n_tokens, log_prob, perturbed, log_inclusion, round_trip (the ids decode to the text itself, character by character; a
@@ -372,16 +378,23 @@ def sample_segmentations(
 
     Texts of one possible segmentation, or of fewer than ``samples``, give all they have, with log_inclusion 0. Null and
     empty texts give one sample without ids, of probability 1. Rows with equal keys and texts are sampled alike; null
-    keys too. An empty table gives an empty one; other columns are ignored.
+    keys too. An empty table gives an empty one; other columns are ignored. With ``decoded``, the text that ``decode`` finds
+    for the ids is a last column: the same worker spells it, so no second one has to hold the model.
     """
     with open(path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
     names = [key, "sample", "ids", "n_tokens", "log_prob", "perturbed", "log_inclusion", "round_trip"]
+    names += ["text"] if decoded else []
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(shared.value, alpha)
         lattices = Lattices(vocabulary)
         pieces = vocabulary.pieces
+        model = None
+        if decoded:
+            import sentencepiece
+
+            model = sentencepiece.SentencePieceProcessor(model_proto=shared.value)
         for part in batches(parts):
             given = [t or "" for t in part["text"].to_pylist()]
             texts = [vocabulary.prepared(t) for t in given]
@@ -414,6 +427,7 @@ def sample_segmentations(
                         pa.array(lengths, pa.int64()),
                         *(pa.array(values[:, c]) for c in range(3)),
                         pa.array(flags),
+                        *([pa.array([model.decode(x.tolist()) for x in ids], pa.string())] if decoded else []),
                     ],
                     names,
                 )
@@ -422,7 +436,7 @@ def sample_segmentations(
     kind = docs.schema[key].dataType.simpleString()
     schema = (
         f"`{key}` {kind}, sample int, ids array<int>, n_tokens long, log_prob double, perturbed double, "
-        "log_inclusion double, round_trip boolean"
+        "log_inclusion double, round_trip boolean" + (", text string" if decoded else "")
     )
     own: Column = F.xxhash64(F.col(key), F.lit(seed))
     return docs.select(F.col(key).alias("key"), own.alias("seed"), "text").mapInArrow(run, schema)

@@ -301,6 +301,8 @@ def test_samples_of_documents(spark, docs):
     assert sorted(map(str, got.collect())) == sorted(map(str, again.collect()))
     back = subword_sampling.decode(got.where("sample = 2")).join(docs.select("doc_id", F.col("text").alias("own")), "doc_id")
     assert back.where("text != own").count() == 0
+    both = subword_sampling.sample_segmentations(docs, decoded=True).withColumnRenamed("text", "spelled")
+    assert subword_sampling.decode(both).where("NOT spelled <=> text").count() == 0
 
 
 def test_samples_of_odd_rows(spark):
