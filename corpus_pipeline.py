@@ -64,8 +64,7 @@ def subword_segmentations(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Null and empty texts give one sample without ids; repeated rows are sampled alike. Columns other than doc_id and text
     are left out. An empty table gives an empty one.
     """
-    sampled = subword_sampling.sample_segmentations(_bounded(spark, docs, sf_dir))
-    return subword_sampling.decode(sampled)
+    return subword_sampling.sample_segmentations(_bounded(spark, docs, sf_dir), decoded=True)
 
 
 def _free(docs: DataFrame, name: str) -> str:
