@@ -21,6 +21,8 @@ a counter-based generator whose key is the row's, so a row has the same samples
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -36,9 +38,10 @@ ALPHA = 1.0
 KNOWN_EDGES = 3_000_000
 SPACE = "▁"
 UNITS = re.compile(f"{SPACE}*[^{SPACE}\n\t]+|{SPACE}+|[\n\t]")
-TOGETHER = 400_000  # characters handled as one vector
-AHEAD = 192  # edges of a path for which bounds are drawn at a time
-KINDS = (np.int64, np.int32, np.float64, np.int64, np.float64)
+TOGETHER = 400_000  # characters whose texts are searched side by side
+ADDED = 16_000  # characters of words whose lattices are built side by side
+AHEAD = 384  # edges of a path for which bounds are drawn at a time
+KINDS = (np.int64, np.int32, np.float64, np.int64, np.float64, np.int32)
 
 
 class Vocabulary:
@@ -73,6 +76,10 @@ class Vocabulary:
         for i in plain:
             self.node_id[node_of[names[i]]] = i
             self.node_weight[node_of[names[i]]] = (min(-model.get_score(i), n) + 3) ** -alpha
+        self.root = np.full(0x110000, -1)  # the nodes of one character
+        self.root[self.step_key[self.step_key < 1 << 21]] = self.step_node[self.step_key < 1 << 21]
+        self.inner = np.zeros(len(node_of), bool)  # nodes that have some below them
+        self.inner[self.step_key >> 21] = True
         # an edge of several bytes has a number of its own, after the pieces
         self.spelled: list[list[int]] = []
         self.spelled_of: dict[int, int] = {}
@@ -96,9 +103,19 @@ class Vocabulary:
 
     def ids_of(self, edges: np.ndarray) -> np.ndarray:
         n = len(self.pieces)
-        if not (edges >= n).any():
+        odd = np.flatnonzero(edges >= n)
+        if not len(odd):
             return edges
-        return np.array([i for e in edges.tolist() for i in (self.spelled[e - n] if e >= n else [e])])
+        kinds, kind = np.unique(edges[odd], return_inverse=True)
+        spelled = [self.spelled[e - n] for e in kinds.tolist()]
+        size = np.ones(len(edges), np.int64)
+        size[odd] = np.array([len(x) for x in spelled])[kind]
+        ids = np.repeat(edges, size)
+        at = (np.cumsum(size) - size)[odd]
+        for j in range(int(size.max())):
+            some = size[odd] > j
+            ids[at[some] + j] = np.array([x[j] if j < len(x) else 0 for x in spelled])[kind[some]]
+        return ids
 
 
 class Lattices:
@@ -110,42 +127,64 @@ class Lattices:
 
     def clear(self) -> None:
         self.state_of: dict[str, int] = {}
-        self.room = [np.zeros(1 << 16, k) for k in KINDS]
+        self.room = [np.empty(KNOWN_EDGES + (1 << 20), k) for k in KINDS]
         self.used = [0] * len(KINDS)
 
     def append(self, parts: tuple) -> None:
         for k, part in enumerate(parts):
             end = self.used[k] + len(part)
             if end > len(self.room[k]):
-                self.room[k] = np.concatenate([self.room[k], np.zeros(max(end, 1 << 16), KINDS[k])])
+                self.room[k] = np.concatenate([self.room[k], np.empty(end, KINDS[k])])
             self.room[k][self.used[k] : end] = part
             self.used[k] = end
 
     def arrays(self) -> tuple[np.ndarray, ...]:
-        """(first edge of a state; and per edge its number, cumulative probability, next state or -1 at the unit's end,
-        probability)."""
+        """(first edge of a state; per edge its number, cumulative probability, next state or -1 at the unit's end,
+        probability; how often a state was asked for)."""
         return tuple(room[:n] for room, n in zip(self.room, self.used, strict=True))
 
     def states(self, units: list[str]) -> np.ndarray:
         """The states before the units; a unit of n characters has the n states from there on."""
         if self.used[1] > KNOWN_EDGES:
-            self.clear()
+            self.thin()
         known = self.state_of
-        found = np.array([known.get(u, -1) for u in units], np.int64)
+        found = np.fromiter(map(known.get, units, repeat(-1)), np.int64, len(units))
         absent = np.flatnonzero(found < 0).tolist()
         size = 0
         some: list[str] = []
         for u in {units[i] for i in absent}:
             some.append(u)
             size += len(u)
-            if size > TOGETHER // 4:
+            if size > ADDED:
                 self.add(some)
                 some, size = [], 0
         if some:
             self.add(some)
         found[absent] = [known[units[i]] for i in absent]
+        np.add.at(self.room[5], found, 1)
         return found
 
+    def thin(self) -> None:
+        """Forget the units that were not asked for twice since the last time; the others stay up to half of the room."""
+        units = list(self.state_of)
+        base = np.fromiter(self.state_of.values(), np.int64, len(units))
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        first, number, cut, to, p, asked = self.arrays()
+        edge_at = np.append(first, len(cut))
+        edges = edge_at[base + size] - edge_at[base]
+        order = np.argsort(-asked[base], kind="stable")
+        keep = np.sort(order[(asked[base[order]] > 1) & (np.cumsum(edges[order]) <= KNOWN_EDGES // 2)])
+        base, size, edges = base[keep], size[keep], edges[keep]
+        low = edge_at[base]
+        state_shift = base - (np.cumsum(size) - size)
+        edge_shift = low - (np.cumsum(edges) - edges)
+        state = np.arange(size.sum()) + np.repeat(state_shift, size)
+        edge = np.arange(edges.sum()) + np.repeat(edge_shift, edges)
+        to = np.where(to[edge] >= 0, to[edge] - np.repeat(state_shift, edges), -1)
+        self.clear()
+        self.append((first[state] - np.repeat(edge_shift, size), number[edge], cut[edge], to, p[edge], np.zeros(len(state), np.int32)))
+        self.state_of.update(zip([units[i] for i in keep.tolist()], (base - state_shift).tolist(), strict=True))
+
     def add(self, units: list[str]) -> None:
         """Sum the paths from every place to the unit's end, all units side by side, and from that the edges."""
         v = self.vocabulary
@@ -155,45 +194,59 @@ class Lattices:
         chars = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.int64)
         ends = np.cumsum(size)
         end_of = np.repeat(ends, size)
-        width = min(v.longest, int(size.max()))
-        weight = np.zeros((total, width))
-        number = np.zeros((total, width), np.int32)
-        at, node = np.arange(total), np.zeros(total, np.int64)
-        for k in range(width):
-            node = v.below(node, chars[at + k])
-            on = node >= 0
-            at, node = at[on], node[on]
-            weight[at, k] = v.node_weight[node]
-            number[at, k] = v.node_id[node]
-            on = at + k + 1 < end_of[at]
-            at, node = at[on], node[on]
-        bare = np.flatnonzero(weight[:, 0] == 0)
-        for char in np.unique(chars[bare]).tolist():
-            where = bare[chars[bare] == char]
-            number[where, 0], weight[where, 0] = v.bytes_edge(char)
+        # the pieces from every place on, shorter ones first; a place without a piece of one character has its bytes
+        at, node = np.arange(total), v.root[chars]
+        levels = []
+        for k in range(v.longest):
+            weight = v.node_weight[node] * (node >= 0)
+            on = weight > 0
+            levels.append((at[on], np.full(int(on.sum()), k), weight[on], v.node_id[node[on]]))
+            if not k:
+                bare = np.flatnonzero(~on)
+                for char in np.unique(chars[bare]).tolist():
+                    number, weight = v.bytes_edge(char)
+                    where = bare[chars[bare] == char]
+                    levels.append((where, np.zeros(len(where), np.int64), np.full(len(where), weight), np.full(len(where), number)))
+            on = (node >= 0) & (at + k + 1 < end_of[at]) & v.inner[node]
+            at = at[on]
+            if not len(at):
+                break
+            node = v.below(node[on], chars[at + k + 1])
+        place, k, weight, number = (np.concatenate(part) for part in zip(*levels, strict=True))
+        # long pieces first, which are the likely ones
+        order = np.argsort(place * v.longest + (v.longest - 1 - k))
+        place, k, number = place[order], k[order], number[order]
+        # edges by the characters left to the unit's end: each is summed after those that it leads to
+        rest = (end_of - np.arange(total))[place]
+        turn = np.argsort(rest.astype(np.uint16) if size[0] < 1 << 16 else rest, kind="stable")
+        share = weight[order][turn]
         # sums[i] belongs to place i of a unit plus one slot for every earlier unit's end and for its own
-        sums = np.zeros(total + len(units) + width)
+        sums = np.zeros(total + len(units) + v.longest)
         slot_end = ends + np.arange(len(units))
         sums[slot_end] = 1.0
-        ahead = np.arange(1, width + 1)
-        share = weight
-        for r in range(1, int(size[0]) + 1):
-            n = int(np.searchsorted(-size, -r, side="right"))  # units of at least r characters
-            place, slot = ends[:n] - r, slot_end[:n] - r
-            k = min(r, width)
-            w = weight[place, :k] * sums[slot[:, None] + ahead[:k]]
-            s = w.sum(axis=1)
-            share[place, :k] = w / s[:, None]
-            sums[slot] = s
-            low = np.flatnonzero(s < 1e-200)
-            if len(low):  # only ratios matter: lift the sums that are still to be used
-                span = np.minimum(slot[low][:, None] + np.arange(width + 1), slot_end[low][:, None])
+        slot = (np.arange(total) + np.repeat(np.arange(len(units)), size))[place[turn]]
+        onto = slot + k[turn] + 1
+        begin = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))  # of a place's edges
+        fan = np.diff(np.append(begin, len(slot)))
+        source = slot[begin]
+        edge_of = np.searchsorted(rest[turn], np.arange(1, int(size[0]) + 2)).tolist()
+        place_of = np.searchsorted(begin, edge_of).tolist()
+        for e, e_end, i, i_end in zip(edge_of, edge_of[1:], place_of, place_of[1:], strict=False):
+            w = share[e:e_end] * sums[onto[e:e_end]]
+            s = np.add.reduceat(w, begin[i:i_end] - e)
+            share[e:e_end] = w / np.repeat(s, fan[i:i_end])
+            sums[source[i:i_end]] = s
+            if s.min() < 1e-200:  # only ratios matter: lift the sums that are still to be used
+                low = np.flatnonzero(s < 1e-200)
+                last = slot_end[np.searchsorted(slot_end, source[i:i_end][low])]
+                span = np.minimum(source[i:i_end][low][:, None] + np.arange(v.longest + 1), last[:, None])
                 lifted = sums[span] * 1e150
                 sums[span] = lifted
-        # long pieces first, which are the likely ones
-        place, back = np.nonzero(share[:, ::-1])
-        k = width - 1 - back
-        p = share[place, k]
+        p = np.empty(len(share))
+        p[turn] = share
+        some = p > 0
+        if not some.all():
+            place, k, number, p = place[some], k[some], number[some], p[some]
         count = np.bincount(place, minlength=total)
         last = np.cumsum(count) - 1
         first = last + 1 - count
@@ -203,7 +256,7 @@ class Lattices:
         base, earlier = self.used[0], self.used[1]
         to = place + k + 1
         to = np.where(to < end_of[place], base + to, -1)
-        self.append((earlier + first, number[place, k], cut, to, p))
+        self.append((earlier + first, number, cut, to, p, np.zeros(total, np.int32)))
         self.state_of.update(zip(units, (base + ends - size).tolist(), strict=True))
 
 
@@ -241,33 +294,31 @@ class Search:
     def gumbel(self, n: int) -> np.ndarray:
         return -np.log(-np.log(np.maximum(self.rng.random(n), 2.0**-54)))
 
-    def emit(self, taken: np.ndarray, split: int, barred: list[int], value: float) -> None:
-        """Take a path (its edge row at each place) and split the rest of its set: at the edge ``split``, that edge is
+    def emit(self, place: np.ndarray, rows: np.ndarray, split: int, barred: list[int], value: float) -> None:
+        """Take a path (its places and edge rows) and split the rest of its set: at the edge ``split``, that edge is
         barred with those barred before, at every later one the path's own edge is."""
-        place = np.flatnonzero(taken >= 0)
-        rows = taken[place]
+        p = self.arrays[4][rows]
+        log = np.log(p)
         path = {"place": place, "rows": rows, "value": value, "split": split, "barred": [*barred, int(rows[max(split, 0)])]}
-        path["log"], path["before"], path["bound"] = float(np.log(self.arrays[4][rows]).sum()), 0.0, np.zeros(0)
+        path.update({"p": p, "logs": log, "log": float(log.sum()), "before": 0.0, "bound": np.zeros(0)})
         self.found.append(path)
         self.bound(path)
 
     def bound(self, path: dict) -> None:
         """Draw the bounds of the next places where the path is left."""
         low = len(path["bound"])
-        rows = path["rows"][low : low + AHEAD]
-        p = self.arrays[4][rows]
-        log = np.log(p)
+        p, log = path["p"][low : low + AHEAD], path["logs"][low : low + AHEAD]
         with np.errstate(divide="ignore"):
             rest = np.log(np.where(p < 1 - 1e-12, 1 - p, 0.0))
         mass = path["before"] + np.cumsum(log) - log + rest
         split = path["split"] - low
         if split > 0:
             mass[:split] = -np.inf  # those sets were split off the path before
-        if 0 <= split < len(rows):
+        if 0 <= split < len(p):
             left = self.arrays[4][self.edges(path["rows"][path["split"]], path["barred"])].sum()
             mass[split] = path["before"] + log[:split].sum() + (np.log(left) if left > 0 else -np.inf)
         path["before"] += float(log.sum())
-        noise = self.gumbel(len(rows))
+        noise = self.gumbel(len(p))
         with np.errstate(invalid="ignore"):
             bound = -np.logaddexp(-path["value"], -mass - noise)
         bound[~np.isfinite(mass)] = -np.inf
@@ -295,11 +346,12 @@ class Search:
             for path in more:
                 self.bound(path)
 
-    def step(self) -> bool:
-        """Emit the best path of the leading set; False if all paths are out."""
+    def leave(self) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """Choose the edge by which the best path of the leading set leaves the path it was split from. Returns what ``walk``
+        needs for the rest of it, places counted from the edge on; None if all paths are out."""
         value, path, at = self.lead()
         if path is None:
-            return False
+            return None
         path["bound"][at] = -np.inf
         row = int(path["rows"][at])
         barred = path["barred"] if at == path["split"] else [row]
@@ -313,12 +365,15 @@ class Search:
         if to >= 0:  # the unit goes on after the edge
             base, begin = self.states[unit - 1], self.begins[unit - 1]
             start, begins = np.append(start, to), np.append(begins, begin + to - base)
-        taken = walk(self.arrays, start, begins, self.rng.random(self.length))
-        before = path["place"][:at]
-        taken[before] = path["rows"][:at]
-        taken[place] = chosen
-        self.emit(taken, at, barred, value)
-        return True
+        self.left = path, at, chosen, barred, value
+        return start, begins - place, self.rng.random(self.length - place)
+
+    def take(self, taken: np.ndarray) -> None:
+        """Emit the path that ``leave`` began and ``walk`` has ended."""
+        path, at, chosen, barred, value = self.left
+        later = np.flatnonzero(taken >= 0)
+        place = np.concatenate([path["place"][: at + 1], later + path["place"][at]])
+        self.emit(place, np.concatenate([path["rows"][:at], [chosen], taken[later]]), at, barred, value)
 
 
 def log_inclusion(ahead: float) -> float:
@@ -343,18 +398,30 @@ def segmentations(
         own = slice(low, low + len(us))
         searches.append(Search(states[own], begins[own] - (begins[low] if us else 0), len(text), seed, arrays) if us else None)
         low += len(us)
-    # the first paths of all texts are walked together
-    draws = [s.draws for s in searches if s]
-    taken = walk(arrays, states, begins, np.concatenate(draws)) if draws else np.zeros(0, np.int64)
-    low = 0
+    # paths of all texts are walked together
+    live = [s for s in searches if s]
+    parts = [(s.states, s.begins, s.draws) for s in live]
+    for n in range(samples):
+        if n:
+            parts = [s.leave() for s in live]
+            live = [s for s, part in zip(live, parts, strict=True) if part]
+            parts = [part for part in parts if part]
+        if not live:
+            break
+        size = np.array([len(draws) for *_, draws in parts])
+        low = np.cumsum(size) - size
+        begins = np.concatenate([begin + at for (_, begin, _), at in zip(parts, low.tolist(), strict=True)])
+        taken = walk(arrays, np.concatenate([state for state, *_ in parts]), begins, np.concatenate([d for *_, d in parts]))
+        for search, own in zip(live, np.split(taken, low[1:]), strict=True):
+            if n:
+                search.take(own)
+            else:
+                place = np.flatnonzero(own >= 0)
+                search.emit(place, own[place], -1, [], search.top)
     for search in searches:
         if search is None:
             yield []
             continue
-        search.emit(taken[low : low + search.length], -1, [], search.top)
-        low += search.length
-        while len(search.found) < samples and search.step():
-            pass
         threshold = search.lead()[0]
         out = []
         for path in search.found:
@@ -363,6 +430,12 @@ def segmentations(
         yield out
 
 
+@lru_cache(maxsize=1)
+def lattices_of(proto: bytes, alpha: float) -> Lattices:
+    """One vocabulary a worker, and the lattices it has met, for all tasks that the worker runs."""
+    return Lattices(Vocabulary(proto, alpha))
+
+
 def sample_segmentations(
     docs: DataFrame,
     key: str = "doc_id",
@@ -387,14 +460,9 @@ def sample_segmentations(
     names += ["text"] if decoded else []
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(shared.value, alpha)
-        lattices = Lattices(vocabulary)
-        pieces = vocabulary.pieces
-        model = None
-        if decoded:
-            import sentencepiece
-
-            model = sentencepiece.SentencePieceProcessor(model_proto=shared.value)
+        lattices = lattices_of(shared.value, alpha)
+        vocabulary = lattices.vocabulary
+        pieces, model = vocabulary.pieces, vocabulary.model
         for part in batches(parts):
             given = [t or "" for t in part["text"].to_pylist()]
             texts = [vocabulary.prepared(t) for t in given]

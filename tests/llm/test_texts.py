@@ -293,6 +293,20 @@ def test_all_paths_come_out_once(lattices):
     assert all(f[3] == 0 for f in found)
 
 
+def test_words_met_twice_stay(lattices, monkeypatch):
+    monkeypatch.setattr(subword_sampling, "KNOWN_EDGES", 300)
+    vocabulary, own = lattices.vocabulary, subword_sampling.Lattices(lattices.vocabulary)
+    for n in range(12):
+        text = vocabulary.prepared(f"the number{n} of the unseen€{n * 7} words ßx{n} and the rest" + f" once{n}{n}more" * (n % 2))
+        (found,) = subword_sampling.segmentations([text], [n], 3, own)
+        (fresh,) = subword_sampling.segmentations([text], [n], 3, subword_sampling.Lattices(vocabulary))
+        for (edges, *numbers), (edges_fresh, *numbers_fresh) in zip(found, fresh, strict=True):
+            assert edges.tolist() == edges_fresh.tolist()
+            assert np.allclose(numbers, numbers_fresh)
+    assert f"{subword_sampling.SPACE}the" in own.state_of
+    assert f"{subword_sampling.SPACE}number0" not in own.state_of
+
+
 def test_samples_of_documents(spark, docs):
     got = subword_sampling.sample_segmentations(docs)
     assert got.count() == 2 * docs.count()
