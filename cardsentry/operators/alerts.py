@@ -15,6 +15,7 @@ from cardsentry.session import materialise
 ALERT_ABOVE = 0.7
 MAX_PER_WINDOW, WINDOW_SECONDS = 10, 60
 HISTORY = 100
+PART_ROWS = 200_000
 PAYLOAD_FIELDS = ["transaction_id", "amount", "amt", "fraud_score", "iso_score", "ae_score", "risk_tier", "timestamp"]
 
 
@@ -56,8 +57,8 @@ def rate_limited_alerts(
 
     The rule is sequential along time, but a pause of a window forgets everything before it. A channel is therefore cut
     where a whole window of the clock has no alert. The segments between are range-partitioned along channel and time into
-    ``tasks`` parts (default: the session's shuffle partitions), so a segment of any length goes over as many tasks as its
-    rows need. What a part hands on to the next one is the last ``limit`` sent times of the segment that runs through the
+    ``tasks`` parts (default: one for every ``PART_ROWS`` counted alerts, at most the session's shuffle partitions), so a
+    segment of any length goes over as many tasks as its rows need. What a part hands on to the next one is the last ``limit`` sent times of the segment that runs through the
     cut: at first all parts run side by side as if nothing came in, then those again whose real input is another than they
     had, until all have had their own. Inputs that differ lead to the same times again as soon as both have room, so this
     mostly takes two or three rounds; a channel that is full all along takes one a part, in which only binary searches over
@@ -81,12 +82,14 @@ def rate_limited_alerts(
     if before is not None:
         old = before.select(known(F.col("channel")).alias("channel"), F.explode("times").alias("us"))
         new = new.unionByName(old.withColumn("sent", F.lit(True)), allowMissingColumns=True)
+    new = materialise(new)  # read for the slots, the count and the parts; what makes the alerts runs once
     slot = F.floor(F.col("us") / window)
     slots = new.select("channel", slot.alias("slot")).distinct()
     along = Window.partitionBy("channel").orderBy("slot")
     segments = slots.withColumn("segment", F.col("slot") - F.row_number().over(along))
     cut = new.withColumn("slot", slot).join(segments, ["channel", "slot"])
-    n = tasks or int(alerts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = int(alerts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = tasks or min(most, max(1, -(-new.count() // PART_ROWS)))
     order = ["channel", "segment", F.desc("sent"), "us", "id"]
     # the number of a part is its partition's, so it is frozen before it is used
     parts = cut.repartitionByRange(n, *order).sortWithinPartitions(*order)

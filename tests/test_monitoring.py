@@ -163,6 +163,13 @@ def test_parts_are_even_in_one_long_segment(spark):
     assert len(sizes) == 16 and max(sizes) <= sum(sizes) / 8
 
 
+def test_few_alerts_of_a_full_channel_are_one_part(spark):
+    """A part of a channel that is full all along is one more round, so parts go by rows, not by the session's setting."""
+    df = spark.range(3_000).select((F.col("id") * 50_000).alias("us"), F.col("id").cast("string").alias("id"))
+    sent = A.rate_limited_alerts(df, F.col("us"), "id")
+    assert sent.rdd.getNumPartitions() == 1 and sent.count() == 30
+
+
 def test_eleven_alerts_and_the_free_slot(spark):
     times = [i * 1_000_000 for i in range(11)] + [60_000_000]
     df = spark.createDataFrame([(t, f"{i:02d}") for i, t in enumerate(times)], "us long, id string")
