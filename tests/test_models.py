@@ -39,6 +39,31 @@ def test_isolation_forest(spark, points, tmp_path):
     assert again.score(points).exceptAll(model.score(points)).count() == 0
 
 
+def test_no_rows_are_stored_per_tree(points, monkeypatch):
+    """Disk must not grow with rows times trees, whether nodes are cut by aggregates or in blocks."""
+    from cardsentry.models import forest
+
+    stored, real = [], forest.materialise
+
+    def counted(df):
+        out = real(df)
+        stored.append((out.count(), out.columns))
+        return out
+
+    monkeypatch.setattr(forest, "materialise", counted)
+    model = IsolationForest.fit(points, FEATURES, trees=10, max_features=1.0, local_rows=100)
+    assert all(names == model.nodes.columns for _, names in stored)  # nothing but nodes
+    stored.clear()
+    model.with_raw(points, "raw", broadcast_nodes=0).count()
+    assert [n for n, _ in stored] == [630]
+
+
+def test_nodes_with_unknown_values_are_cut_elsewhere():
+    x = np.column_stack([np.arange(64.0), np.where(np.arange(64) == 5, np.nan, 1.0), np.zeros(64)])
+    node, feature, _, path = grow(x, 3, 0, 0, np.array([0, 1, 2]), max_depth=20)
+    assert set(feature.tolist()) <= {0, -1} and (feature < 0).sum() == 64
+
+
 def test_forest_needs_normal_rows(points):
     with pytest.raises(ValueError, match="normal"):
         IsolationForest.fit(points.where("is_fraud = 1"), FEATURES)
