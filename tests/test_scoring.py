@@ -110,3 +110,21 @@ def test_both_ways_of_the_weight_search_agree(spark, monkeypatch):
     monkeypatch.setattr(SC, "FEW_POSITIVES", 3)
     curves = {r["idx"]: r["average_precision"] for r in SC.weight_search(df).collect()}
     assert len(counted) == 66 and curves == pytest.approx(counted, abs=1e-12)
+
+
+def test_weight_search_in_parts_equals_curves(spark):
+    """Many positives: every cell is cut into parts, and no row is expanded to its 66 scores."""
+    rng = np.random.default_rng(3)
+    x = np.round(rng.random((4_000, 3)), 2)
+    y = (x.sum(axis=1) + rng.normal(0, 0.5, 4_000) > 2).astype(int)
+    rows = [(*map(float, r), int(v)) for r, v in zip(x, y, strict=True)] + [(None, 0.5, float("nan"), None)]
+    df = spark.createDataFrame(rows, "iso_score double, ae_score double, xgb_score double, is_fraud int").repartition(5)
+    filled = df.na.fill(0.0, SC.SCORES)
+    found = {r["idx"]: r["average_precision"] for r in SC._precision_by_parts(filled, "is_fraud", part_rows=300).collect()}
+    for k, a, b, c in SC.weight_grid():
+        if k % 13 == 0:
+            score = F.lit(a) * F.col("iso_score") + F.lit(b) * F.col("ae_score") + F.lit(c) * F.col("xgb_score")
+            long = filled.select(F.lit(k).alias("idx"), score.alias("score"), F.col("is_fraud").alias("label"))
+            want = E.average_precision(E.curve(long, ["idx"]), ["idx"]).first()["average_precision"]
+            assert found[k] == pytest.approx(want, abs=1e-12)
+    assert sorted(found) == list(range(66))
