@@ -255,3 +255,18 @@ def test_training_plan_and_saved_scorer(spark, sf_dir, tmp_path):
     scorer.save(spark, str(tmp_path / "scorer"))
     again = Scorer.load(spark, str(tmp_path / "scorer"), LinearReconstruction)
     assert again.score(df).exceptAll(scorer.score(df)).count() == 0
+
+
+def test_a_network_step_leaves_nothing_for_the_next_one():
+    """Arrays are used again by the next batch, also by a shorter one, without changing it."""
+    from cardsentry.models.reconstruction import Network
+
+    x = np.random.default_rng(1).random((700, 3))
+    kept, fresh = Network([3, 8, 4, 3], 7), Network([3, 8, 4, 3], 7)
+    rngs = np.random.default_rng(5), np.random.default_rng(5)
+    for t, (a, b) in enumerate([(0, 256), (256, 300), (300, 556), (556, 700)], 1):
+        fresh._held = None
+        losses = [net.step(x[a:b], rng, 1e-3, t, 0.2) for net, rng in zip((kept, fresh), rngs, strict=True)]
+        assert losses[0] == losses[1]
+    assert (kept.state() == fresh.state()).all()
+    assert kept._room(100)[0][0].base is kept._held[0][0]
