@@ -270,3 +270,14 @@ def test_a_network_step_leaves_nothing_for_the_next_one():
         assert losses[0] == losses[1]
     assert (kept.state() == fresh.state()).all()
     assert kept._room(100)[0][0].base is kept._held[0][0]
+
+
+def test_boosted_rows_are_stored_in_blocks(spark, monkeypatch):
+    """Not row by row: every level of every tree reads them."""
+    from cardsentry.models import boosted
+
+    stored, real = [], boosted.materialise
+    monkeypatch.setattr(boosted, "materialise", lambda df: stored.append(real(df)) or stored[-1])
+    df = spark.range(5_000).select(F.col("id").cast("double").alias("a"), F.pmod("id", F.lit(7)).cast("double").alias("b"), (F.col("id") > 4_000).cast("int").alias("is_fraud"))
+    model = BoostedTrees.fit(df.coalesce(2), ["a", "b"], rounds=7)
+    assert len(model.trees) == 7 and stored and all(s.count() <= 4 for s in stored)
