@@ -158,6 +158,47 @@ def test_a_backlog_of_one_card_goes_through_in_pieces():
     assert sum(len(v[0]) for v in handle.stores["rows"].values()) <= 43_200 + 2 * 30 + 1
 
 
+class Counted(Store):
+    calls = 0
+
+    def __getattribute__(self, name):
+        if name in ("exists", "get", "update", "getValue", "updateValue", "removeKey", "containsKey", "iterator", "keys"):
+            Counted.calls += 1
+        return super().__getattribute__(name)
+
+
+def test_a_card_of_few_rows_asks_the_state_a_few_times(monkeypatch):
+    """Each call goes to the state store and back, so there is one value per card, not several per row; other ways of
+    keeping the rows give the same features."""
+    n, step = 1_500, 97_000_000
+    us = np.arange(n, dtype=np.int64) * step
+    rows = pd.DataFrame({"trans_num": [f"{i:06d}" for i in range(n)], "cc_num": 7, "event_us": us, "amt": (us // step % 89) / 3.0})
+    found = []
+    for few, piece in ((2_000, 20_000), (300, 20_000), (0, 400)):
+        handle = Handle()
+        monkeypatch.setattr(handle, "getMapState", handle.getValueState)
+        handle.stores = {name: Counted() for name in ("card", "minutes", "rows", "waiting", "pieces")}
+        processor = VelocityProcessor(1.0, "trans_num", piece_rows=piece, few_rows=few)
+        processor.init(handle)
+        Counted.calls, out = 0, []
+        for low in range(0, n, 500):
+            part = rows.iloc[low : low + 500].sample(frac=1.0, random_state=low)
+            assert list(processor.handleInputRows((7,), iter([part]), At(0))) == []
+            for to in (low + 250, low + 500):
+                out += processor.handleExpiredTimer((7,), At((to * step // 60_000_000) * 60_000), None)
+        out += processor.handleExpiredTimer((7,), At(2**53), None)
+        found.append(pd.concat(out, ignore_index=True))
+        if few == 2_000:
+            assert Counted.calls < 60
+    assert found[0]["trans_num"].tolist() == rows["trans_num"].tolist()
+    for other in found[1:]:
+        for c in ("trans_num", "time_since_last_txn", "rapid_fire_flag", "txn_count_1h", "txn_count_24h", "avg_amount_24h", "amount_zscore"):
+            if c == "trans_num":
+                assert other[c].tolist() == found[0][c].tolist()
+            else:
+                assert np.allclose(other[c], found[0][c], equal_nan=True, atol=1e-9), c
+
+
 @pytest.fixture(scope="module")
 def trained(spark, sf_dir):
     df = transactions(spark, sf_dir)
