@@ -1,5 +1,7 @@
 """Helpers shared by the operators of this subpackage."""
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +42,15 @@ def sent_if_small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= SENT_ROWS else table
 
 
+def let_go() -> None:
+    """Give what was freed in this process back to the system; else a worker keeps it until it ends."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit (finaliser of a splitting generator)."""
     x = x ^ (x >> np.uint64(30))

@@ -19,6 +19,7 @@ is a chain of the lattices of its words ("units": spaces and what follows them,
 a counter-based generator whose key is the row's, so a row has the same samples wherever and in whatever batch it is computed.
 """
 
+import gc
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,10 +28,11 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardsentry.llm.common import batches, lists
+from cardsentry.llm.common import batches, let_go, lists, mix64
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
@@ -38,10 +40,11 @@ ALPHA = 1.0
 KNOWN_EDGES = 3_000_000
 SPACE = "▁"
 UNITS = re.compile(f"{SPACE}*[^{SPACE}\n\t]+|{SPACE}+|[\n\t]")
-TOGETHER = 400_000  # characters whose texts are searched side by side
-ADDED = 16_000  # characters of words whose lattices are built side by side
+TOGETHER = 600_000  # characters whose texts are searched side by side
+ADDED = 40_000  # characters of words whose lattices are built side by side
 AHEAD = 384  # edges of a path for which bounds are drawn at a time
-KINDS = (np.int64, np.int32, np.float64, np.int64, np.float64, np.int32)
+KINDS = (np.int32, np.int32, np.int32, np.float64, np.int32)
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Vocabulary:
@@ -59,6 +62,8 @@ class Vocabulary:
         self.byte_id = {int(names[i][3:-1], 16): i for i in range(n) if model.is_byte(i)}
         byte_of = {i: bytes([b]) for b, i in self.byte_id.items()}
         self.pieces = [byte_of.get(i, p.encode()) for i, p in enumerate(names)]
+        self.blob = np.frombuffer(b"".join(self.pieces), np.uint8)
+        self.size = np.array([len(x) for x in self.pieces])
         self.byte_weight = float((n + 3) ** -alpha)
         self.longest = max(len(names[i]) for i in plain)
         if any(len(names[i]) > 1 and (SPACE in names[i].lstrip(SPACE) or re.search("[\n\t]", names[i])) for i in plain):
@@ -69,17 +74,29 @@ class Vocabulary:
             for j in range(1, len(names[i]) + 1):
                 node_of.setdefault(names[i][:j], len(node_of))
         steps = sorted(((node_of[p[:-1]] << 21) + ord(p[-1]), at) for p, at in node_of.items() if p)
-        self.step_key = np.array([k for k, _ in steps])
-        self.step_node = np.array([at for _, at in steps])
+        step_key = np.array([k for k, _ in steps])
+        step_node = np.array([at for _, at in steps])
         self.node_id = np.full(len(node_of), -1)
         self.node_weight = np.zeros(len(node_of))
         for i in plain:
             self.node_id[node_of[names[i]]] = i
             self.node_weight[node_of[names[i]]] = (min(-model.get_score(i), n) + 3) ** -alpha
         self.root = np.full(0x110000, -1)  # the nodes of one character
-        self.root[self.step_key[self.step_key < 1 << 21]] = self.step_node[self.step_key < 1 << 21]
+        self.root[step_key[step_key < 1 << 21]] = step_node[step_key < 1 << 21]
         self.inner = np.zeros(len(node_of), bool)  # nodes that have some below them
-        self.inner[self.step_key >> 21] = True
+        self.inner[step_key >> 21] = True
+        # steps by their spread key: each lies at its own place or, if that is taken, at the next free one
+        bits = len(steps).bit_length() + 3
+        self.shift = np.uint64(64 - bits)
+        self.step_key, self.step_node = np.full(1 << bits, -1), np.full(1 << bits, -1)
+        at = self.place_of(step_key)
+        left = np.arange(len(steps))
+        while len(left):
+            free = left[self.step_key[at[left]] < 0]
+            _, one = np.unique(at[free], return_index=True)
+            self.step_key[at[free[one]]], self.step_node[at[free[one]]] = step_key[free[one]], step_node[free[one]]
+            left = left[self.step_key[at[left]] != step_key[left]]
+            at[left] = (at[left] + 1) % (1 << bits)
         # an edge of several bytes has a number of its own, after the pieces
         self.spelled: list[list[int]] = []
         self.spelled_of: dict[int, int] = {}
@@ -94,32 +111,96 @@ class Vocabulary:
     def below(self, nodes: np.ndarray, chars: np.ndarray) -> np.ndarray:
         """The nodes one character further, -1 where there is none."""
         key = (nodes << 21) + chars
-        at = np.minimum(np.searchsorted(self.step_key, key), len(self.step_key) - 1)
-        return np.where(self.step_key[at] == key, self.step_node[at], -1)
+        at = self.place_of(key)
+        here = self.step_key[at]
+        nodes = np.where(here == key, self.step_node[at], -1)
+        left = np.flatnonzero((here != key) & (here >= 0))
+        while len(left):  # another step has the place
+            at[left] = (at[left] + 1) % len(self.step_key)
+            here = self.step_key[at[left]]
+            hit = here == key[left]
+            nodes[left[hit]] = self.step_node[at[left[hit]]]
+            left = left[~hit & (here >= 0)]
+        return nodes
+
+    def place_of(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * SPREAD) >> self.shift).astype(np.int64)
 
     def prepared(self, text: str) -> str:
         """The normal form that the pieces spell."""
         return self.model.normalize(text) if text else ""
 
-    def ids_of(self, edges: np.ndarray) -> np.ndarray:
+    def ids_of(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of edges, and where those of every edge begin and the last ones end."""
         n = len(self.pieces)
         odd = np.flatnonzero(edges >= n)
         if not len(odd):
-            return edges
+            return edges, np.arange(len(edges) + 1)
         kinds, kind = np.unique(edges[odd], return_inverse=True)
         spelled = [self.spelled[e - n] for e in kinds.tolist()]
         size = np.ones(len(edges), np.int64)
         size[odd] = np.array([len(x) for x in spelled])[kind]
         ids = np.repeat(edges, size)
-        at = (np.cumsum(size) - size)[odd]
+        begin = np.concatenate([[0], np.cumsum(size)])
+        at = begin[odd]
         for j in range(int(size.max())):
             some = size[odd] > j
             ids[at[some] + j] = np.array([x[j] if j < len(x) else 0 for x in spelled])[kind[some]]
-        return ids
+        return ids, begin
+
+
+def cut(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The units that occur in the texts, each once; and per unit of a text, in order: which of those it is, its
+    characters, and the number of its text. Same units as those that ``UNITS`` finds."""
+    whole = "".join(texts)
+    chars = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+    if not len(chars):
+        return [], *(np.zeros(0, np.int64) for _ in range(3))
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    mark, line = chars == ord(SPACE), (chars == 10) | (chars == 9)
+    begin = line.copy()
+    begin[1:] |= (mark[1:] & ~mark[:-1]) | (line[:-1] & ~mark[1:])
+    text_at = np.cumsum(size) - size
+    begin[text_at[size > 0]] = True
+    at = np.flatnonzero(begin)
+    length = np.diff(at, append=len(chars))
+    # equal units have equal sums; units of equal sums are then compared by their characters
+    place = np.arange(len(chars)) - np.repeat(at, length)
+    sums = np.add.reduceat(mix64(chars.astype(np.uint64) + (place.astype(np.uint64) << np.uint64(21))), at)
+    _, first, kind = np.unique(sums, return_index=True, return_inverse=True)
+    like = at[first][kind]
+    same = (length[first][kind] == length).all() and (chars[place + np.repeat(like, length)] == chars).all()
+    low, high = (at[first], at[first] + length[first]) if same else (at, at + length)
+    units = [whole[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+    text = np.searchsorted(text_at, at, side="right") - 1
+    if not same:
+        names = {u: i for i, u in enumerate(dict.fromkeys(units))}
+        kind = np.fromiter(map(names.get, units), np.int64, len(units))
+        units = list(names)
+    return units, kind, length, text
+
+
+def spells(vocabulary: Vocabulary, ids: np.ndarray, lengths: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """Per sequence, one after the other in ``ids``, whether its pieces spell the text."""
+    size = vocabulary.size[ids]
+    ends = np.concatenate([[0], np.cumsum(size)])
+    own = np.diff(ends[np.concatenate([[0], np.cumsum(lengths)])])
+    good = own == np.array([len(t) for t in texts])
+    if not good.all():
+        keep = np.repeat(good, lengths)
+        ids, size = ids[keep], size[keep]
+        ends = np.concatenate([[0], np.cumsum(size)])
+    begin = (np.cumsum(vocabulary.size) - vocabulary.size)[ids]
+    spelled = vocabulary.blob[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])]
+    bad = spelled != np.frombuffer(b"".join([t for t, g in zip(texts, good.tolist(), strict=True) if g]), np.uint8)
+    if bad.any():
+        at = np.cumsum(own[good])
+        good[np.flatnonzero(good)[np.unique(np.searchsorted(at, np.flatnonzero(bad), side="right"))]] = False
+    return good
 
 
 class Lattices:
-    """Units' lattices as arrays: per place its edges with cumulative probabilities."""
+    """Units' lattices as arrays: per place its edges with their probabilities."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
@@ -139,8 +220,8 @@ class Lattices:
             self.used[k] = end
 
     def arrays(self) -> tuple[np.ndarray, ...]:
-        """(first edge of a state; per edge its number, cumulative probability, next state or -1 at the unit's end,
-        probability; how often a state was asked for)."""
+        """(first edge of a state; per edge its number, next state or -1 at the unit's end, probability, negative for the
+        last edge of a state; how many times a state was asked for, once for all texts that are searched side by side)."""
         return tuple(room[:n] for room, n in zip(self.room, self.used, strict=True))
 
     def states(self, units: list[str]) -> np.ndarray:
@@ -149,19 +230,16 @@ class Lattices:
             self.thin()
         known = self.state_of
         found = np.fromiter(map(known.get, units, repeat(-1)), np.int64, len(units))
-        absent = np.flatnonzero(found < 0).tolist()
-        size = 0
-        some: list[str] = []
-        for u in {units[i] for i in absent}:
-            some.append(u)
-            size += len(u)
-            if size > ADDED:
-                self.add(some)
-                some, size = [], 0
-        if some:
-            self.add(some)
-        found[absent] = [known[units[i]] for i in absent]
-        np.add.at(self.room[5], found, 1)
+        absent = np.flatnonzero(found < 0)
+        if len(absent):
+            some = list(dict.fromkeys([units[i] for i in absent.tolist()]))
+            size = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
+            parts = np.flatnonzero(np.diff(size // ADDED, prepend=0)).tolist()
+            for low, high in zip([0, *parts], [*parts, len(some)], strict=True):
+                if low < high:
+                    self.add(some[low:high])
+            found[absent] = np.fromiter(map(known.get, [units[i] for i in absent.tolist()]), np.int64, len(absent))
+        self.room[4][found] += 1
         return found
 
     def thin(self) -> None:
@@ -169,8 +247,8 @@ class Lattices:
         units = list(self.state_of)
         base = np.fromiter(self.state_of.values(), np.int64, len(units))
         size = np.fromiter(map(len, units), np.int64, len(units))
-        first, number, cut, to, p, asked = self.arrays()
-        edge_at = np.append(first, len(cut))
+        first, number, to, p, asked = self.arrays()
+        edge_at = np.append(first, len(to))
         edges = edge_at[base + size] - edge_at[base]
         order = np.argsort(-asked[base], kind="stable")
         keep = np.sort(order[(asked[base[order]] > 1) & (np.cumsum(edges[order]) <= KNOWN_EDGES // 2)])
@@ -182,7 +260,7 @@ class Lattices:
         edge = np.arange(edges.sum()) + np.repeat(edge_shift, edges)
         to = np.where(to[edge] >= 0, to[edge] - np.repeat(state_shift, edges), -1)
         self.clear()
-        self.append((first[state] - np.repeat(edge_shift, size), number[edge], cut[edge], to, p[edge], np.zeros(len(state), np.int32)))
+        self.append((first[state] - np.repeat(edge_shift, size), number[edge], to, p[edge], np.zeros(len(state), np.int32)))
         self.state_of.update(zip([units[i] for i in keep.tolist()], (base - state_shift).tolist(), strict=True))
 
     def add(self, units: list[str]) -> None:
@@ -212,9 +290,9 @@ class Lattices:
             if not len(at):
                 break
             node = v.below(node[on], chars[at + k + 1])
-        place, k, weight, number = (np.concatenate(part) for part in zip(*levels, strict=True))
         # long pieces first, which are the likely ones
-        order = np.argsort(place * v.longest + (v.longest - 1 - k))
+        place, k, weight, number = (np.concatenate(part) for part in zip(*reversed(levels), strict=True))
+        order = np.argsort(place.astype(np.uint16) if total < 1 << 16 else place, kind="stable")
         place, k, number = place[order], k[order], number[order]
         # edges by the characters left to the unit's end: each is summed after those that it leads to
         rest = (end_of - np.arange(total))[place]
@@ -250,30 +328,33 @@ class Lattices:
         count = np.bincount(place, minlength=total)
         last = np.cumsum(count) - 1
         first = last + 1 - count
-        cut = np.cumsum(p)
-        cut -= np.repeat(cut[first] - p[first], count)
-        cut[last] = 2.0  # the last edge takes what rounding leaves
+        p[last] *= -1
         base, earlier = self.used[0], self.used[1]
         to = place + k + 1
         to = np.where(to < end_of[place], base + to, -1)
-        self.append((earlier + first, number, cut, to, p, np.zeros(total, np.int32)))
+        self.append((earlier + first, number, to, p, np.zeros(total, np.int32)))
         self.state_of.update(zip(units, (base + ends - size).tolist(), strict=True))
 
 
 def walk(arrays: tuple, states: np.ndarray, begins: np.ndarray, draws: np.ndarray) -> np.ndarray:
     """Sample a path from every state to its unit's end. ``begins`` are the states' places in the text, for each of which
     there is a number in ``draws``. Returns the edge row that starts at each place, or -1."""
-    first, _, cut, to, *_ = arrays
+    first, _, to, p, _ = arrays
     taken = np.full(len(draws), -1, np.int64)
     now, shift = states, begins - states
     while len(now):
         place = now + shift
         u = draws[place]
         at = first[now]
-        left = np.flatnonzero(u >= cut[at])
+        share = p[at]
+        left = np.flatnonzero((u >= share) & (share > 0))  # the last edge takes what rounding leaves
+        u, share = u[left], share[left]
         while len(left):
+            u -= share
             at[left] += 1
-            left = left[u[left] >= cut[at[left]]]
+            share = p[at[left]]
+            on = (u >= share) & (share > 0)
+            left, u, share = left[on], u[on], share[on]
         taken[place] = at
         now = to[at]
         on = now >= 0
@@ -297,7 +378,7 @@ class Search:
     def emit(self, place: np.ndarray, rows: np.ndarray, split: int, barred: list[int], value: float) -> None:
         """Take a path (its places and edge rows) and split the rest of its set: at the edge ``split``, that edge is
         barred with those barred before, at every later one the path's own edge is."""
-        p = self.arrays[4][rows]
+        p = np.abs(self.arrays[3][rows])
         log = np.log(p)
         path = {"place": place, "rows": rows, "value": value, "split": split, "barred": [*barred, int(rows[max(split, 0)])]}
         path.update({"p": p, "logs": log, "log": float(log.sum()), "before": 0.0, "bound": np.zeros(0)})
@@ -315,7 +396,7 @@ class Search:
         if split > 0:
             mass[:split] = -np.inf  # those sets were split off the path before
         if 0 <= split < len(p):
-            left = self.arrays[4][self.edges(path["rows"][path["split"]], path["barred"])].sum()
+            left = np.abs(self.arrays[3][self.edges(path["rows"][path["split"]], path["barred"])]).sum()
             mass[split] = path["before"] + log[:split].sum() + (np.log(left) if left > 0 else -np.inf)
         path["before"] += float(log.sum())
         noise = self.gumbel(len(p))
@@ -325,9 +406,9 @@ class Search:
         path["bound"] = np.concatenate([path["bound"], bound])
 
     def edges(self, row: int, barred: list[int]) -> list[int]:
-        first, cut = self.arrays[0], self.arrays[2]
-        state = int(np.searchsorted(first, row, side="right")) - 1
-        high = int(first[state + 1]) if state + 1 < len(first) else len(cut)
+        first, to = self.arrays[0], self.arrays[2]
+        state = int(np.searchsorted(first, first.dtype.type(row), side="right")) - 1
+        high = int(first[state + 1]) if state + 1 < len(first) else len(to)
         return [r for r in range(int(first[state]), high) if r not in barred]
 
     def lead(self) -> tuple[float, dict | None, int]:
@@ -356,12 +437,12 @@ class Search:
         row = int(path["rows"][at])
         barred = path["barred"] if at == path["split"] else [row]
         allowed = self.edges(row, barred)
-        share = np.cumsum(self.arrays[4][allowed])
+        share = np.cumsum(np.abs(self.arrays[3][allowed]))
         u = self.rng.random() * share[-1]
         chosen = allowed[min(int(np.searchsorted(share, u, side="right")), len(allowed) - 1)]
         place = int(path["place"][at])
         unit = int(np.searchsorted(self.begins, place, side="right"))
-        start, begins, to = self.states[unit:], self.begins[unit:], int(self.arrays[3][chosen])
+        start, begins, to = self.states[unit:], self.begins[unit:], int(self.arrays[2][chosen])
         if to >= 0:  # the unit goes on after the edge
             base, begin = self.states[unit - 1], self.begins[unit - 1]
             start, begins = np.append(start, to), np.append(begins, begin + to - base)
@@ -387,17 +468,15 @@ def segmentations(
     texts: list[str], seeds: list[int], samples: int, lattices: Lattices
 ) -> Iterator[list[tuple[np.ndarray, float, float, float]]]:
     """Per text its samples (edge numbers, log p, perturbed value, log of the inclusion score), the largest value first."""
-    units = [UNITS.findall(t) for t in texts]
-    flat = [u for us in units for u in us]
-    states = lattices.states(flat)
+    units, kind, length, text_of = cut(texts)
+    states = lattices.states(units)[kind]
     arrays = lattices.arrays()
-    length = np.fromiter(map(len, flat), np.int64, len(flat))
     begins = np.cumsum(length) - length
+    ends = np.searchsorted(text_of, np.arange(len(texts)), side="right").tolist()
     searches, low = [], 0
-    for us, text, seed in zip(units, texts, seeds, strict=True):
-        own = slice(low, low + len(us))
-        searches.append(Search(states[own], begins[own] - (begins[low] if us else 0), len(text), seed, arrays) if us else None)
-        low += len(us)
+    for end, text, seed in zip(ends, texts, seeds, strict=True):
+        searches.append(Search(states[low:end], begins[low:end] - begins[low], len(text), seed, arrays) if text else None)
+        low = end
     # paths of all texts are walked together
     live = [s for s in searches if s]
     parts = [(s.states, s.begins, s.draws) for s in live]
@@ -433,7 +512,9 @@ def segmentations(
 @lru_cache(maxsize=1)
 def lattices_of(proto: bytes, alpha: float) -> Lattices:
     """One vocabulary a worker, and the lattices it has met, for all tasks that the worker runs."""
-    return Lattices(Vocabulary(proto, alpha))
+    lattices = Lattices(Vocabulary(proto, alpha))
+    gc.freeze()  # what is there now stays; collections needn't visit it
+    return lattices
 
 
 def sample_segmentations(
@@ -460,46 +541,50 @@ def sample_segmentations(
     names += ["text"] if decoded else []
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()  # of what this worker's tasks of earlier stages left
         lattices = lattices_of(shared.value, alpha)
         vocabulary = lattices.vocabulary
-        pieces, model = vocabulary.pieces, vocabulary.model
+        model = vocabulary.model
         for part in batches(parts):
-            given = [t or "" for t in part["text"].to_pylist()]
-            texts = [vocabulary.prepared(t) for t in given]
-            # what the pieces of the normal form decode to: marks are spaces, the first one is put in front
-            whole = [n.replace(SPACE, " ") == (f" {t}" if t else "") for n, t in zip(texts, given, strict=True)]
             seeds = [s & ((1 << 64) - 1) for s in part["seed"].to_pylist()]
+            size = pc.fill_null(pc.utf8_length(part["text"]), 0).to_pylist()
             i = 0
-            while i < len(texts):
-                j, size = i, 0
-                while j < len(texts) and (j == i or size + len(texts[j]) <= TOGETHER):
-                    size += len(texts[j])
+            while i < len(size):
+                j, chars = i + 1, size[i]
+                while j < len(size) and chars + size[j] <= TOGETHER:
+                    chars += size[j]
                     j += 1
-                ids, rows, scores, flags = [], [], [], []
-                for k, found in enumerate(segmentations(texts[i:j], seeds[i:j], samples, lattices)):
-                    spelled = texts[i + k].encode()
-                    for n, (edges, *numbers) in enumerate(found or [(np.zeros(0, np.int64), 0.0, 0.0, 0.0)]):
-                        own = vocabulary.ids_of(edges)
-                        ids.append(own)
-                        rows.append((i + k, n + 1))
+                given = [t or "" for t in part["text"].slice(i, j - i).to_pylist()]
+                texts = [vocabulary.prepared(t) for t in given]
+                # what the pieces of the normal form decode to: marks are spaces, the first one is put in front
+                whole = [n.replace(SPACE, " ") == (f" {t}" if t else "") for n, t in zip(texts, given, strict=True)]
+                paths, rows, scores = [], [], []
+                for k, found in enumerate(segmentations(texts, seeds[i:j], samples, lattices)):
+                    for n, (edges, *numbers) in enumerate(found or [(np.zeros(0, np.int32), 0.0, 0.0, 0.0)]):
+                        paths.append(edges)
+                        rows.append((k, n + 1))
                         scores.append(numbers)
-                        flags.append(whole[i + k] and b"".join([pieces[x] for x in own.tolist()]) == spelled)
                 at = np.array(rows)
                 values = np.array(scores)
-                lengths = np.array([len(x) for x in ids])
+                ids, begin = vocabulary.ids_of(np.concatenate(paths))
+                ends = begin[np.cumsum([len(x) for x in paths])]
+                lengths = np.diff(ends, prepend=0)
+                coded = [t.encode() for t in texts]
+                flags = spells(vocabulary, ids, lengths, [coded[t] for t, _ in rows]) & np.array([whole[t] for t, _ in rows])
                 yield pa.record_batch(
                     [
-                        part["key"].take(pa.array(at[:, 0])),
+                        part["key"].slice(i, j - i).take(pa.array(at[:, 0])),
                         pa.array(at[:, 1], pa.int32()),
-                        lists(np.concatenate(ids).astype(np.int32), lengths, pa.int32()),
+                        lists(ids.astype(np.int32, copy=False), lengths, pa.int32()),
                         pa.array(lengths, pa.int64()),
                         *(pa.array(values[:, c]) for c in range(3)),
                         pa.array(flags),
-                        *([pa.array([model.decode(x.tolist()) for x in ids], pa.string())] if decoded else []),
+                        *([pa.array([model.decode(x.tolist()) for x in np.split(ids, ends[:-1])], pa.string())] if decoded else []),
                     ],
                     names,
                 )
                 i = j
+        let_go()
 
     kind = docs.schema[key].dataType.simpleString()
     schema = (

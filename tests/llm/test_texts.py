@@ -307,6 +307,33 @@ def test_words_met_twice_stay(lattices, monkeypatch):
     assert f"{subword_sampling.SPACE}number0" not in own.state_of
 
 
+def test_texts_are_cut_side_by_side(lattices, monkeypatch):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("▁▁\n\tab€𝄞") for _ in range(rng.randrange(30))) for _ in range(500)] + ["", "▁" * 50, "\n▁a"]
+    for _ in range(2):
+        units, kind, length, text = subword_sampling.cut(texts)
+        assert len(set(units)) == len(units)
+        got = [[] for _ in texts]
+        for k, n, t in zip(kind.tolist(), length.tolist(), text.tolist(), strict=True):
+            got[t].append(units[k])
+            assert n == len(units[k])
+        assert got == [subword_sampling.UNITS.findall(t) for t in texts]
+        monkeypatch.setattr(subword_sampling, "mix64", lambda x: x * 0)  # all sums are equal
+    assert subword_sampling.cut(["", ""])[0] == []
+
+
+def test_sequences_that_do_not_spell_their_text(lattices):
+    vocabulary = lattices.vocabulary
+    texts = [vocabulary.prepared(t) for t in ("on the table", "", "of it", "ö €")]
+    paths = [f[0][0] if f else np.zeros(0, np.int32) for f in subword_sampling.segmentations(texts, [1, 2, 3, 4], 1, lattices)]
+    ids, begin = vocabulary.ids_of(np.concatenate(paths))
+    lengths = np.diff(begin[np.cumsum([len(p) for p in paths])], prepend=0)
+    coded = [t.encode() for t in texts]
+    assert subword_sampling.spells(vocabulary, ids, lengths, coded).tolist() == [True] * 4
+    for wrong in (b"longer" + coded[2], b"x" * len(coded[2])):
+        assert subword_sampling.spells(vocabulary, ids, lengths, [*coded[:2], wrong, coded[3]]).tolist() == [True, True, False, True]
+
+
 def test_samples_of_documents(spark, docs):
     got = subword_sampling.sample_segmentations(docs)
     assert got.count() == 2 * docs.count()
