@@ -158,6 +158,22 @@ def test_a_backlog_of_one_card_goes_through_in_pieces():
     assert sum(len(v[0]) for v in handle.stores["rows"].values()) <= 43_200 + 2 * 30 + 1
 
 
+def test_a_missing_amount_leaves_the_window():
+    day = 86_400_000_000
+    for few in (2_000, 0):
+        processor = VelocityProcessor(1.0, "trans_num", piece_rows=1, few_rows=few)
+        processor.init(Handle())
+        us = np.array([0, day // 2, 3 * day])
+        rows = pd.DataFrame({"trans_num": list("abc"), "cc_num": 7, "event_us": us, "amt": [np.nan, 4.0, 6.0]})
+        out = []
+        for i in range(3):
+            assert list(processor.handleInputRows((7,), iter([rows.iloc[i : i + 1]]), At(0))) == []
+            out += processor.handleExpiredTimer((7,), At(int(us[i]) // 1000 + 60_000), None)
+        got = pd.concat(out)
+        assert got["txn_count_24h"].tolist() == [1, 2, 1]
+        assert got["avg_amount_24h"].isna().tolist() == [True, True, False] and got["avg_amount_24h"].iloc[2] == 6.0
+
+
 class Counted(Store):
     calls = 0
 
