@@ -23,7 +23,6 @@ import gc
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -37,16 +36,61 @@ from cardsentry.llm.common import batches, let_go, lists, mix64
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 ALPHA = 1.0
-KNOWN_EDGES = 3_000_000
+KNOWN_EDGES = 2_000_000
 SPACE = "▁"
 UNITS = re.compile(f"{SPACE}*[^{SPACE}\n\t]+|{SPACE}+|[\n\t]")
-TOGETHER = 600_000  # characters whose texts are searched side by side
+TOGETHER = 300_000  # characters whose texts are searched side by side
 ADDED = 40_000  # characters of words whose lattices are built side by side
 AHEAD = 384  # edges of a path for which bounds are drawn at a time
-KINDS = (np.int32, np.int32, np.int32, np.float64, np.int32)
+KINDS = (np.int32, np.int32, np.int32, np.float64, np.int32, np.int32)
+LAST = 1 << 21  # marks the last character of a unit
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
+class Table:
+    """Numbers by keys of 63 bits, in arrays: a key lies at its own place or, if that is taken, at the next free one."""
+
+    def __init__(self, bits: int = 16):
+        self.shift, self.used = np.uint64(64 - bits), 0
+        self.keys, self.values = np.full(1 << bits, -1), np.full(1 << bits, -1, np.int32)
+
+    def place_of(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * SPREAD) >> self.shift).view(np.int64)
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Add different keys that are not there yet."""
+        self.used += len(keys)
+        if 2 * self.used > len(self.keys):
+            full = self.keys >= 0
+            keys, values = np.concatenate([self.keys[full], keys]), np.concatenate([self.values[full], values])
+            self.__init__((3 * len(keys)).bit_length())
+            self.used = len(keys)
+        at = self.place_of(keys)
+        left = np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[at[left]] < 0]
+            self.keys[at[free]] = keys[free]  # one of those with the same place stays
+            free = free[self.keys[at[free]] == keys[free]]
+            self.values[at[free]] = values[free]
+            left = left[self.keys[at[left]] != keys[left]]
+            at[left] = (at[left] + 1) % len(self.keys)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The numbers of keys, -1 for those that are not there."""
+        at = self.place_of(keys)
+        here = self.keys.take(at)
+        hit = here == keys
+        found = np.where(hit, self.values.take(at), -1)
+        left = np.flatnonzero(~hit & (here >= 0))
+        while len(left):  # another key has the place
+            at[left] = (at[left] + 1) % len(self.keys)
+            here = self.keys[at[left]]
+            hit = here == keys[left]
+            found[left[hit]] = self.values[at[left[hit]]]
+            left = left[~hit & (here >= 0)]
+        return found
+
+
 class Vocabulary:
     """Pieces of a model file that was read on the driver."""
 
@@ -62,8 +106,7 @@ class Vocabulary:
         self.byte_id = {int(names[i][3:-1], 16): i for i in range(n) if model.is_byte(i)}
         byte_of = {i: bytes([b]) for b, i in self.byte_id.items()}
         self.pieces = [byte_of.get(i, p.encode()) for i, p in enumerate(names)]
-        self.blob = np.frombuffer(b"".join(self.pieces), np.uint8)
-        self.size = np.array([len(x) for x in self.pieces])
+        self.spelling = pa.array(self.pieces, pa.large_binary())
         self.byte_weight = float((n + 3) ** -alpha)
         self.longest = max(len(names[i]) for i in plain)
         if any(len(names[i]) > 1 and (SPACE in names[i].lstrip(SPACE) or re.search("[\n\t]", names[i])) for i in plain):
@@ -85,18 +128,8 @@ class Vocabulary:
         self.root[step_key[step_key < 1 << 21]] = step_node[step_key < 1 << 21]
         self.inner = np.zeros(len(node_of), bool)  # nodes that have some below them
         self.inner[step_key >> 21] = True
-        # steps by their spread key: each lies at its own place or, if that is taken, at the next free one
-        bits = len(steps).bit_length() + 3
-        self.shift = np.uint64(64 - bits)
-        self.step_key, self.step_node = np.full(1 << bits, -1), np.full(1 << bits, -1)
-        at = self.place_of(step_key)
-        left = np.arange(len(steps))
-        while len(left):
-            free = left[self.step_key[at[left]] < 0]
-            _, one = np.unique(at[free], return_index=True)
-            self.step_key[at[free[one]]], self.step_node[at[free[one]]] = step_key[free[one]], step_node[free[one]]
-            left = left[self.step_key[at[left]] != step_key[left]]
-            at[left] = (at[left] + 1) % (1 << bits)
+        self.steps = Table()
+        self.steps.put(step_key, step_node)
         # an edge of several bytes has a number of its own, after the pieces
         self.spelled: list[list[int]] = []
         self.spelled_of: dict[int, int] = {}
@@ -110,21 +143,7 @@ class Vocabulary:
 
     def below(self, nodes: np.ndarray, chars: np.ndarray) -> np.ndarray:
         """The nodes one character further, -1 where there is none."""
-        key = (nodes << 21) + chars
-        at = self.place_of(key)
-        here = self.step_key[at]
-        nodes = np.where(here == key, self.step_node[at], -1)
-        left = np.flatnonzero((here != key) & (here >= 0))
-        while len(left):  # another step has the place
-            at[left] = (at[left] + 1) % len(self.step_key)
-            here = self.step_key[at[left]]
-            hit = here == key[left]
-            nodes[left[hit]] = self.step_node[at[left[hit]]]
-            left = left[~hit & (here >= 0)]
-        return nodes
-
-    def place_of(self, key: np.ndarray) -> np.ndarray:
-        return ((key.astype(np.uint64) * SPREAD) >> self.shift).astype(np.int64)
+        return self.steps.get((nodes.astype(np.int64) << 21) + chars)
 
     def prepared(self, text: str) -> str:
         """The normal form that the pieces spell."""
@@ -149,13 +168,12 @@ class Vocabulary:
         return ids, begin
 
 
-def cut(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """The units that occur in the texts, each once; and per unit of a text, in order: which of those it is, its
-    characters, and the number of its text. Same units as those that ``UNITS`` finds."""
-    whole = "".join(texts)
-    chars = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+def bounds(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The characters of all texts; and per unit of a text, in order: where it begins, its characters, and the number of
+    its text. Same units as those that ``UNITS`` finds."""
+    chars = np.frombuffer("".join(texts).encode("utf-32-le"), np.int32)
     if not len(chars):
-        return [], *(np.zeros(0, np.int64) for _ in range(3))
+        return chars, *(np.zeros(0, np.int64) for _ in range(3))
     size = np.fromiter(map(len, texts), np.int64, len(texts))
     mark, line = chars == ord(SPACE), (chars == 10) | (chars == 9)
     begin = line.copy()
@@ -163,40 +181,32 @@ def cut(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray
     text_at = np.cumsum(size) - size
     begin[text_at[size > 0]] = True
     at = np.flatnonzero(begin)
-    length = np.diff(at, append=len(chars))
-    # equal units have equal sums; units of equal sums are then compared by their characters
-    place = np.arange(len(chars)) - np.repeat(at, length)
+    return chars, at, np.diff(at, append=len(chars)), np.searchsorted(text_at, at, side="right") - 1
+
+
+def sums_of(chars: np.ndarray, place: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A sum per unit, from its characters and their places in it; equal units have equal sums."""
     sums = np.add.reduceat(mix64(chars.astype(np.uint64) + (place.astype(np.uint64) << np.uint64(21))), at)
-    _, first, kind = np.unique(sums, return_index=True, return_inverse=True)
-    like = at[first][kind]
-    same = (length[first][kind] == length).all() and (chars[place + np.repeat(like, length)] == chars).all()
-    low, high = (at[first], at[first] + length[first]) if same else (at, at + length)
-    units = [whole[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
-    text = np.searchsorted(text_at, at, side="right") - 1
-    if not same:
-        names = {u: i for i, u in enumerate(dict.fromkeys(units))}
-        kind = np.fromiter(map(names.get, units), np.int64, len(units))
-        units = list(names)
-    return units, kind, length, text
+    return (sums >> np.uint64(1)).view(np.int64)
+
+
+def cut(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The units that occur in the texts, each once; and per unit of a text, in order: which of those it is, its
+    characters, and the number of its text."""
+    _, at, length, text = bounds(texts)
+    whole = "".join(texts)
+    units = [whole[a:b] for a, b in zip(at.tolist(), (at + length).tolist(), strict=True)]
+    names = {u: i for i, u in enumerate(dict.fromkeys(units))}
+    return list(names), np.fromiter(map(names.get, units), np.int64, len(units)), length, text
 
 
 def spells(vocabulary: Vocabulary, ids: np.ndarray, lengths: np.ndarray, texts: list[bytes]) -> np.ndarray:
     """Per sequence, one after the other in ``ids``, whether its pieces spell the text."""
-    size = vocabulary.size[ids]
-    ends = np.concatenate([[0], np.cumsum(size)])
-    own = np.diff(ends[np.concatenate([[0], np.cumsum(lengths)])])
-    good = own == np.array([len(t) for t in texts])
-    if not good.all():
-        keep = np.repeat(good, lengths)
-        ids, size = ids[keep], size[keep]
-        ends = np.concatenate([[0], np.cumsum(size)])
-    begin = (np.cumsum(vocabulary.size) - vocabulary.size)[ids]
-    spelled = vocabulary.blob[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])]
-    bad = spelled != np.frombuffer(b"".join([t for t, g in zip(texts, good.tolist(), strict=True) if g]), np.uint8)
-    if bad.any():
-        at = np.cumsum(own[good])
-        good[np.flatnonzero(good)[np.unique(np.searchsorted(at, np.flatnonzero(bad), side="right"))]] = False
-    return good
+    spelled = vocabulary.spelling.take(pa.array(ids))
+    ends = np.frombuffer(spelled.buffers()[1], np.int64)[: len(ids) + 1]
+    ends = ends[np.concatenate([[0], np.cumsum(lengths)])].tolist()
+    blob = memoryview(spelled.buffers()[2] or b"")
+    return np.array([bytes(blob[a:b]) == t for a, b, t in zip(ends, ends[1:], texts, strict=False)], bool)
 
 
 class Lattices:
@@ -207,7 +217,7 @@ class Lattices:
         self.clear()
 
     def clear(self) -> None:
-        self.state_of: dict[str, int] = {}
+        self.known = Table()  # states before units, by the units' sums
         self.room = [np.empty(KNOWN_EDGES + (1 << 20), k) for k in KINDS]
         self.used = [0] * len(KINDS)
 
@@ -221,56 +231,95 @@ class Lattices:
 
     def arrays(self) -> tuple[np.ndarray, ...]:
         """(first edge of a state; per edge its number, next state or -1 at the unit's end, probability, negative for the
-        last edge of a state; how many times a state was asked for, once for all texts that are searched side by side)."""
+        last edge of a state; how many times a state was asked for, once for all texts that are searched side by side; the
+        character after a state, with ``LAST`` for the last of a unit)."""
         return tuple(room[:n] for room, n in zip(self.room, self.used, strict=True))
 
-    def states(self, units: list[str]) -> np.ndarray:
-        """The states before the units; a unit of n characters has the n states from there on."""
+    @property
+    def state_of(self) -> dict[str, int]:
+        """The states before the units that are known, by name."""
+        spelled, base, _ = self.units()
+        names = (spelled & (LAST - 1)).tobytes().decode("utf-32-le")
+        return {names[a:b]: a for a, b in zip(base.tolist(), [*base[1:].tolist(), len(names)], strict=True)}
+
+    def units(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The characters of all states; the first state and the size of every unit."""
+        spelled = self.arrays()[5]
+        size = np.diff(np.flatnonzero(spelled >= LAST), prepend=-1)
+        return spelled, np.cumsum(size) - size, size
+
+    def states(self, chars: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The states before the units, which begin in ``chars`` one after the other; a unit of n characters has the n
+        states from there on."""
+        if not len(at):
+            return np.zeros(0, np.int64)
         if self.used[1] > KNOWN_EDGES:
             self.thin()
-        known = self.state_of
-        found = np.fromiter(map(known.get, units, repeat(-1)), np.int64, len(units))
+        place = np.arange(len(chars)) - np.repeat(at, length)
+        sums = sums_of(chars, place, at)
+        found = self.known.get(sums).astype(np.int64)
         absent = np.flatnonzero(found < 0)
         if len(absent):
-            some = list(dict.fromkeys([units[i] for i in absent.tolist()]))
-            size = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
-            parts = np.flatnonzero(np.diff(size // ADDED, prepend=0)).tolist()
-            for low, high in zip([0, *parts], [*parts, len(some)], strict=True):
-                if low < high:
-                    self.add(some[low:high])
-            found[absent] = np.fromiter(map(known.get, [units[i] for i in absent.tolist()]), np.int64, len(absent))
+            new, one, kind = np.unique(sums[absent], return_index=True, return_inverse=True)
+            one = absent[one]
+            states = self.add_all(chars, at[one], length[one])
+            self.known.put(new, states)
+            found[absent] = states[kind]
+        # units of equal sums are compared by their characters; one that differs has a lattice of its own
+        own = chars.copy()
+        own[at + length - 1] |= LAST
+        odd = np.flatnonzero(self.arrays()[5].take(place + np.repeat(found, length), mode="clip") != own)
+        if len(odd):
+            odd = np.unique(np.searchsorted(at, odd, side="right") - 1)
+            names = [chars[a : a + n].tobytes().decode("utf-32-le") for a, n in zip(at[odd].tolist(), length[odd].tolist(), strict=True)]
+            names, kind, *_ = cut(names)
+            whole, begins, size, _ = bounds(names)
+            found[odd] = self.add_all(whole, begins, size)[kind]
         self.room[4][found] += 1
         return found
 
     def thin(self) -> None:
         """Forget the units that were not asked for twice since the last time; the others stay up to half of the room."""
-        units = list(self.state_of)
-        base = np.fromiter(self.state_of.values(), np.int64, len(units))
-        size = np.fromiter(map(len, units), np.int64, len(units))
-        first, number, to, p, asked = self.arrays()
+        spelled, base, size = self.units()
+        first, number, to, p, asked, _ = self.arrays()
         edge_at = np.append(first, len(to))
         edges = edge_at[base + size] - edge_at[base]
         order = np.argsort(-asked[base], kind="stable")
         keep = np.sort(order[(asked[base[order]] > 1) & (np.cumsum(edges[order]) <= KNOWN_EDGES // 2)])
         base, size, edges = base[keep], size[keep], edges[keep]
         low = edge_at[base]
-        state_shift = base - (np.cumsum(size) - size)
+        begins = np.cumsum(size) - size
+        state_shift = base - begins
         edge_shift = low - (np.cumsum(edges) - edges)
-        state = np.arange(size.sum()) + np.repeat(state_shift, size)
+        place = np.arange(size.sum())
+        state = place + np.repeat(state_shift, size)
         edge = np.arange(edges.sum()) + np.repeat(edge_shift, edges)
         to = np.where(to[edge] >= 0, to[edge] - np.repeat(state_shift, edges), -1)
+        chars = spelled[state]
+        kept = (first[state] - np.repeat(edge_shift, size), number[edge], to, p[edge], np.zeros(len(state), np.int32), chars)
         self.clear()
-        self.append((first[state] - np.repeat(edge_shift, size), number[edge], to, p[edge], np.zeros(len(state), np.int32)))
-        self.state_of.update(zip([units[i] for i in keep.tolist()], (base - state_shift).tolist(), strict=True))
-
-    def add(self, units: list[str]) -> None:
-        """Sum the paths from every place to the unit's end, all units side by side, and from that the edges."""
+        self.append(kept)
+        if len(keep):
+            self.known.put(sums_of(chars & (LAST - 1), place - np.repeat(begins, size), begins), begins)
+
+    def add_all(self, chars: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """``add`` some units at a time."""
+        parts = np.flatnonzero(np.diff(np.cumsum(length) // ADDED, prepend=0)).tolist()
+        states = [np.zeros(0, np.int64)]
+        for low, high in zip([0, *parts], [*parts, len(at)], strict=True):
+            if low < high:
+                states.append(self.add(chars, at[low:high], length[low:high]))
+        return np.concatenate(states)
+
+    def add(self, chars: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Sum the paths from every place to the unit's end, all units side by side, and from that the edges. Returns the
+        states before the units."""
         v = self.vocabulary
-        units = sorted(units, key=len, reverse=True)
-        size = np.array([len(u) for u in units])
+        longest = np.argsort(-length, kind="stable")
+        size = length[longest]
         total = int(size.sum())
-        chars = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.int64)
         ends = np.cumsum(size)
+        chars = chars[np.arange(total) + np.repeat(at[longest] - ends + size, size)].astype(np.int64)
         end_of = np.repeat(ends, size)
         # the pieces from every place on, shorter ones first; a place without a piece of one character has its bytes
         at, node = np.arange(total), v.root[chars]
@@ -299,10 +348,10 @@ class Lattices:
         turn = np.argsort(rest.astype(np.uint16) if size[0] < 1 << 16 else rest, kind="stable")
         share = weight[order][turn]
         # sums[i] belongs to place i of a unit plus one slot for every earlier unit's end and for its own
-        sums = np.zeros(total + len(units) + v.longest)
-        slot_end = ends + np.arange(len(units))
+        sums = np.zeros(total + len(size) + v.longest)
+        slot_end = ends + np.arange(len(size))
         sums[slot_end] = 1.0
-        slot = (np.arange(total) + np.repeat(np.arange(len(units)), size))[place[turn]]
+        slot = (np.arange(total) + np.repeat(np.arange(len(size)), size))[place[turn]]
         onto = slot + k[turn] + 1
         begin = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))  # of a place's edges
         fan = np.diff(np.append(begin, len(slot)))
@@ -332,14 +381,17 @@ class Lattices:
         base, earlier = self.used[0], self.used[1]
         to = place + k + 1
         to = np.where(to < end_of[place], base + to, -1)
-        self.append((earlier + first, number, to, p, np.zeros(total, np.int32)))
-        self.state_of.update(zip(units, (base + ends - size).tolist(), strict=True))
+        chars[ends - 1] |= LAST
+        self.append((earlier + first, number, to, p, np.zeros(total, np.int32), chars))
+        states = np.empty(len(size), np.int64)
+        states[longest] = base + ends - size
+        return states
 
 
 def walk(arrays: tuple, states: np.ndarray, begins: np.ndarray, draws: np.ndarray) -> np.ndarray:
     """Sample a path from every state to its unit's end. ``begins`` are the states' places in the text, for each of which
     there is a number in ``draws``. Returns the edge row that starts at each place, or -1."""
-    first, _, to, p, _ = arrays
+    first, _, to, p, *_ = arrays
     taken = np.full(len(draws), -1, np.int64)
     now, shift = states, begins - states
     while len(now):
@@ -468,10 +520,9 @@ def segmentations(
     texts: list[str], seeds: list[int], samples: int, lattices: Lattices
 ) -> Iterator[list[tuple[np.ndarray, float, float, float]]]:
     """Per text its samples (edge numbers, log p, perturbed value, log of the inclusion score), the largest value first."""
-    units, kind, length, text_of = cut(texts)
-    states = lattices.states(units)[kind]
+    chars, begins, length, text_of = bounds(texts)
+    states = lattices.states(chars, begins, length)
     arrays = lattices.arrays()
-    begins = np.cumsum(length) - length
     ends = np.searchsorted(text_of, np.arange(len(texts)), side="right").tolist()
     searches, low = [], 0
     for end, text, seed in zip(ends, texts, seeds, strict=True):

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import sys
 from collections import Counter, defaultdict
 
 import duckdb
@@ -322,6 +323,42 @@ def test_texts_are_cut_side_by_side(lattices, monkeypatch):
     assert subword_sampling.cut(["", ""])[0] == []
 
 
+def test_known_words_are_no_objects(lattices):
+    """A worker keeps words in arrays: a text of new words leaves fewer objects than words."""
+    rng = random.Random(8)
+    text = lattices.vocabulary.prepared(" ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(20_000)))
+    own = subword_sampling.Lattices(lattices.vocabulary)
+    before = sys.getallocatedblocks()
+    for _ in subword_sampling.segmentations([text], [3], 2, own):
+        pass
+    assert sys.getallocatedblocks() - before < 10_000
+    assert len(own.state_of) > 19_900
+
+
+def test_words_of_equal_sums_keep_their_lattices(lattices, monkeypatch):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(("a", "the", "then", "het", "ö€", "on\n")) for _ in range(12)) for _ in range(30)] + ["", "the"]
+    texts = [lattices.vocabulary.prepared(t) for t in texts]
+    want = list(subword_sampling.segmentations(texts, range(len(texts)), 2, subword_sampling.Lattices(lattices.vocabulary)))
+    monkeypatch.setattr(subword_sampling, "mix64", lambda x: x * 0)
+    own = subword_sampling.Lattices(lattices.vocabulary)
+    for _ in range(2):
+        for a, b in zip(want, subword_sampling.segmentations(texts, range(len(texts)), 2, own), strict=True):
+            assert [(p.tolist(), *numbers) for p, *numbers in a] == [(p.tolist(), *numbers) for p, *numbers in b]
+    assert len(own.state_of) > 5
+
+
+def test_table_finds_what_was_put():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 1 << 63, 60_000))
+    table = subword_sampling.Table(4)
+    for part in np.array_split(rng.permutation(len(keys)), 9):
+        table.put(keys[part], part)
+    assert (table.get(keys) == np.arange(len(keys))).all()
+    other = rng.integers(0, 1 << 63, 1_000)
+    assert (table.get(other[~np.isin(other, keys)]) == -1).all()
+
+
 def test_sequences_that_do_not_spell_their_text(lattices):
     vocabulary = lattices.vocabulary
     texts = [vocabulary.prepared(t) for t in ("on the table", "", "of it", "ö €")]
