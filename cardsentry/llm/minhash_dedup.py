@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardsentry.llm.common import batches, frozen, join_parts, lists, mix64, sent_if_small, texts_of, written
+from cardsentry.llm.common import batches, frozen, join_parts, let_go, lists, mix64, sent_if_small, texts_of, written
 from cardsentry.llm.components import components, reached
 
 WORDS = 5
@@ -97,6 +97,8 @@ def profiles(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                 ],
                 ["doc_id", "node", "n_shingles", "d1", "d2", "bands"],
             )
+        numbers.clear()
+        let_go()
 
     schema = "doc_id long, node long, n_shingles long, d1 long, d2 long, bands array<long>"
     return docs.select("doc_id", "node", "text").mapInArrow(run, schema)
@@ -124,6 +126,8 @@ def blocked(members: DataFrame, block: int, size: int) -> DataFrame:
             yield pa.record_batch(
                 [p["node"], p["family"], p["n_family"], d1, d2, own], ["node", "family", "n_family", "d1", "d2", "items"]
             )
+        numbers.clear()
+        let_go()
 
     n = F.ceil(F.col("n_family") / block).cast("int")
     return (

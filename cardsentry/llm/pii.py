@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardsentry.llm.boosting import Boosted, boost
-from cardsentry.llm.common import batches, frozen, mix64
+from cardsentry.llm.common import batches, frozen, let_go, mix64
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 4_000  # candidates of a kind that the trees of a half are fitted to
@@ -201,6 +201,7 @@ def candidates(docs: DataFrame) -> DataFrame:
             key = pa.array((mix64(np.array(keys, np.uint64)) >> np.uint64(1)).view(np.int64))
             columns = [pa.array(half, pa.int32()), pa.array(kinds, pa.int32()), key, pa.array(x, pa.binary())]
             yield pa.record_batch([*columns, pa.array(y, pa.int32()), pa.array(free, pa.bool_())], ["half", "kind", "key", "x", "y", "free"])
+        let_go()
 
     return docs.select("text").mapInArrow(run, "half int, kind int, key long, x binary, y int, free boolean")
 
@@ -229,6 +230,7 @@ def score_counts(found: DataFrame, trees: tuple[Boosted, Boosted]) -> DataFrame:
             score = np.where(half == 0, shared.value[0].raw(x), shared.value[1].raw(x))
             step = pa.array(np.floor(score * STEP).astype(np.int64))
             yield pa.record_batch([part["kind"], step, part["y"]], ["kind", "step", "y"])
+        let_go()
 
     scored = found.where("free").select("half", "kind", "x", "y").mapInArrow(run, "kind int, step long, y int")
     return scored.groupBy("kind", "step").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("right"))
@@ -285,6 +287,7 @@ def find(docs: DataFrame, model: PiiModel) -> DataFrame:
             types = [pa.int64()] * 4 + [pa.string(), pa.string(), pa.int64()]
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
             yield pa.record_batch([part["doc_id"], *columns], names)
+        let_go()
 
     schema = ", ".join(["doc_id long", *(f"{c} long" for c in counts), "base_sha256 string, spans string, n_added long"])
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
@@ -301,6 +304,7 @@ def redact(docs: DataFrame, model: PiiModel) -> DataFrame:
     def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
             yield pd.Series([None if t is None else redacted(t, shared.value) for t in part], dtype=object)
+        let_go()
 
     return docs.withColumn("text", clean("text"))
 

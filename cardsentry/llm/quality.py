@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardsentry.llm.common import batches, mix64, texts_of
+from cardsentry.llm.common import batches, let_go, mix64, texts_of
 
 BUCKETS = 1 << 17
 NGRAMS = (3, 4, 5)
@@ -157,6 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityMode
             packed = [(packed_ids(i), zlib.compress(s.tobytes(), 1)) for i, s in zip(ids, shares, strict=True)]
             columns = [part["doc_id"], part["label"], *(pa.array(c, pa.binary()) for c in zip(*packed, strict=True))]
             yield pa.record_batch(columns, ["doc_id", "label", "ids", "shares"])
+        let_go()
 
     # at most `sample` small rows are broadcast
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
@@ -191,6 +192,8 @@ def score(
             texts = [x.encode() if x else b"" for x in part]
             scores = [shared.value.scores(texts[i : i + 200], known) for i in range(0, len(texts), 200)]
             yield pd.Series(np.concatenate(scores) if scores else np.zeros(0))
+        known.clear()
+        let_go()
 
     scored = docs.withColumn(names[0], of("text"))
     return scored.withColumn(names[1], (F.col(names[0]) >= threshold).cast("int"))

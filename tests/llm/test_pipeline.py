@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cardsentry.llm import catalog, mixing, pii, quality
+from cardsentry.llm import catalog, minhash_dedup, mixing, pii, quality
 from cardsentry.llm.common import read, written
 from tests.llm.test_dedup import brute_groups
 from tests.llm.test_texts import plain_spans
@@ -91,3 +91,26 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = written(stage(spark, docs, SF), "stage")
     assert docs.count() == 0
+
+
+def test_workers_give_back_what_their_tasks_took(spark, tmp_path, monkeypatch):
+    """Idle workers of one stage stand beside those of the next: every Python task ends by letting go."""
+    rows = [(k, f"tell {k} of the words, call +49 30 1234567{k % 7} or 10.0.0.{k}", k % 2) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    jobs = {
+        minhash_dedup: [lambda: minhash_dedup.near_duplicates(docs)],
+        pii: [lambda: pii.candidates(docs), lambda: pii.redact(docs, pii.PiiModel((None, None), {}))],
+        quality: [lambda: quality.score(docs, quality.fit(docs, docs))],
+    }
+    for module, parts in jobs.items():
+        for n, part in enumerate(parts):
+            at = str(tmp_path / f"{module.__name__}-{n}")
+
+            def noted(at=at):
+                with open(at, "a") as f:
+                    f.write("x")
+
+            monkeypatch.setattr(module, "let_go", noted, raising=False)
+            assert part().collect()
+            with open(at) as f:
+                assert f.read()
