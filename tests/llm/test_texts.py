@@ -33,7 +33,8 @@ def docs(spark):
 def test_sql(spark, name):
     sf_dir = "/root/testdata/sf0.01"
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     df = catalog.QUERIES[name](spark, sf_dir)
     cur = con.execute(catalog.SQL[name])
     assert rows_of(df.columns, df.collect()) == rows_of([d[0] for d in cur.description], cur.fetchall())
