@@ -111,7 +111,7 @@ def _precision_by_parts(df: DataFrame, label: str, part_rows: int = PART_ROWS) -
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(cell, scores, 1 for positives) of a bunch of rows."""
         held: list[np.ndarray] = []
-        for last, b in _marked(batches):
+        for last, b in marked(batches):
             y = pc.fill_null(pc.equal(b["label"], 1), False).to_numpy(zero_copy_only=False)
             held.append(np.column_stack([*(b[c].to_numpy(zero_copy_only=False) for c in SCORES), y]))
             if last or sum(map(len, held)) >= BUNCH_ROWS:
@@ -162,7 +162,7 @@ def _precision_by_parts(df: DataFrame, label: str, part_rows: int = PART_ROWS) -
     return areas.groupBy(F.col("idx").cast("int").alias("idx")).agg(precision)
 
 
-def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch]]:
+def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch]]:
     """The batches that have rows, and which one is the last."""
     held = None
     for b in batches:

@@ -58,6 +58,38 @@ def test_no_rows_are_stored_per_tree(points, monkeypatch):
     assert [n for n, _ in stored] == [630]
 
 
+def test_trees_are_sent_to_blocks_a_few_at_a_time(spark, points, monkeypatch, tmp_path):
+    """What one pass sends is let go of before the next one, nothing but the blocks stays, and the forest is the same."""
+    from pathlib import Path
+
+    from cardsentry.models import forest
+    from cardsentry.session import shared_dir
+
+    calls = []
+    monkeypatch.setattr(forest, "let_go", lambda spark: calls.append(spark))
+    kept = lambda: sorted(p.name for p in Path(shared_dir(spark).removeprefix("file:")).glob("*-*") if p.name.startswith(("drawn-", "rows-")))
+    before = kept()
+    at_once, one_by_one = (IsolationForest.fit(points, FEATURES, trees=6, local_rows=100, pass_bytes=n) for n in (10**9, 1))
+    assert len(calls) == 1 + 6  # one when a fit ends, and one between two passes
+    assert at_once.nodes.exceptAll(one_by_one.nodes).count() == 0 and at_once.nodes.count() == one_by_one.nodes.count()
+    want, got = (at_once.with_raw(points, "raw", broadcast_nodes=n).select("trans_num", F.round("raw", 9)) for n in (10**9, 0))
+    assert want.exceptAll(got).count() == 0 and got.count() == 630
+    assert kept() == before
+    # a forest that was saved node by node
+    at_once.save(spark, str(tmp_path / "packed"))
+    at_once.nodes.write.parquet(str(tmp_path / "plain/nodes"))
+    spark.read.parquet(str(tmp_path / "packed/scalars")).write.parquet(str(tmp_path / "plain/scalars"))
+    again = IsolationForest.load(spark, str(tmp_path / "plain"))
+    assert again.score(points).exceptAll(at_once.score(points)).count() == 0
+
+
+def test_chunks_are_tasks_of_their_own(spark, points):
+    model = IsolationForest.fit(points, FEATURES, trees=3)
+    tasks = []
+    model._with_path(points, "raw", lambda df: tasks.append(df.rdd.getNumPartitions()), broadcast_nodes=0)
+    assert tasks[0] > 1
+
+
 def test_nodes_with_unknown_values_are_cut_elsewhere():
     x = np.column_stack([np.arange(64.0), np.where(np.arange(64) == 5, np.nan, 1.0), np.zeros(64)])
     node, feature, _, path = grow(x, 3, 0, 0, np.array([0, 1, 2]), max_depth=20)
