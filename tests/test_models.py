@@ -289,6 +289,24 @@ def test_training_plan_and_saved_scorer(spark, sf_dir, tmp_path):
     assert again.score(df).exceptAll(scorer.score(df)).count() == 0
 
 
+def test_training_query_saves_what_it_trained(spark, sf_dir, monkeypatch):
+    """As the method says: load, split, features, models, blend, evaluation, and everything saved."""
+    from cardsentry.plans import catalog_models
+
+    saved = []
+    small = {"forest_options": {"trees": 5}, "boosted_options": {"rounds": 2}, "network": False}
+    monkeypatch.setattr(catalog_models, "train", lambda df, **given: train(df, **small, **given))
+    real = Scorer.save
+    monkeypatch.setattr(Scorer, "save", lambda self, spark, path: (real(self, spark, path), saved.append((self, path))))
+    rows = {(r["section"], r["model"], r["metric"]): r["value"] for r in catalog_models._train(spark, sf_dir).collect()}
+    (scorer, path), = saved
+    df = transactions(spark, sf_dir)
+    assert Scorer.load(spark, path, LinearReconstruction).score(df).exceptAll(scorer.score(df)).count() == 0
+    parts = [rows["sizes", part, "rows"] for part in ("train", "validation", "test")]
+    assert rows["sizes", "all", "rows"] == sum(parts) == df.count()
+    assert spark.read.parquet(f"{path}/evaluation").count() == len(rows)
+
+
 def test_a_network_step_leaves_nothing_for_the_next_one():
     """Arrays are used again by the next batch, also by a shorter one, without changing it."""
     from cardsentry.models.reconstruction import Network
