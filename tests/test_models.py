@@ -331,3 +331,22 @@ def test_boosted_rows_are_stored_in_blocks(spark, monkeypatch):
     df = spark.range(5_000).select(F.col("id").cast("double").alias("a"), F.pmod("id", F.lit(7)).cast("double").alias("b"), (F.col("id") > 4_000).cast("int").alias("is_fraud"))
     model = BoostedTrees.fit(df.coalesce(2), ["a", "b"], rounds=7)
     assert len(model.trees) == 7 and stored and all(s.count() <= 4 for s in stored)
+
+
+def test_margins_that_were_carried_on_leave_nothing_behind(spark, points, monkeypatch):
+    from pathlib import Path
+
+    from cardsentry.models import boosted
+
+    real, folders = boosted.materialise, []
+
+    def seen(df):
+        out = real(df)
+        folders.append(Path(out._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get().removeprefix("file:")))
+        assert folders[-1].exists()
+        return out
+
+    monkeypatch.setattr(boosted, "materialise", seen)
+    model = BoostedTrees.fit(points, FEATURES, points, rounds=12, step=0.3)  # carried on twice
+    assert len(model.trees) == 12 and len(folders) == 6
+    assert not any(f.exists() for f in folders)
