@@ -279,3 +279,26 @@ def test_a_repeated_batch_replaces_its_output(spark, tmp_path, trained):
     sink(batch, 0)
     assert spark.read.json(str(tmp_path / "scored")).count() == df.count()
     assert spark.read.json(str(tmp_path / "log")).count() == df.count()
+
+
+def test_scored_micro_batches_equal_the_scored_stream(spark, tmp_path, trained):
+    """Rows that come in time order, part by part, compressed, and are scored as tables, with a forest of any size."""
+    from cardsentry.plans.catalog_streaming import _in_time
+    from cardsentry.sources import files
+
+    df, scorer = trained
+    parts = _in_time(df, 400)
+    assert len(parts) == 3 and sum(p.count() for p in parts) == df.count()
+    ends = [p.agg(F.min("trans_date_trans_time"), F.max("trans_date_trans_time")).first() for p in parts]
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:], strict=False))
+    timeless = df.limit(2).withColumn("trans_date_trans_time", F.lit(None).cast("timestamp"))
+    assert sum(p.count() for p in _in_time(df.unionByName(timeless), 400)) == df.count() + 2
+    stream = stream_of(spark, tmp_path, [*parts, end_mark(df)])
+    got = by_id(collect(spark, tmp_path, scoring.stream_score(stream, scorer)))
+    out = str(tmp_path / "tables")
+    sink = scoring.scored_batches(scorer, run.write_batches(out))
+    run.process_available(scoring.placed(stream, scorer), str(tmp_path / "placed"), sink)
+    assert by_id(run.read_batches(spark, out).drop("batch")) == got
+    files.write_jsonl(df.select("trans_num"), str(tmp_path / "lines"), compression="gzip")
+    assert all(f.name.endswith(".gz") for f in (tmp_path / "lines").glob("part-*"))
+    assert spark.read.json(str(tmp_path / "lines")).count() == df.count()
